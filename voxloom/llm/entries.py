@@ -12,6 +12,42 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Problem 1
+def p1_entities(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.names import link_names, narrator_names
+
+    return link_names(narrator_names(table(spark, d, "audiobooks"))).select(F.col("id").alias("narrator_index"), F.col("entity").cast("int").alias("entity"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.session import materialize
+
+    e = materialize(p1_entities(spark, d), "entities")
+    a = e.select(F.col("narrator_index").alias("narrator_index_a"), "entity")
+    b = e.select(F.col("narrator_index").alias("narrator_index_b"), "entity")
+    return a.join(b, "entity").where("narrator_index_a < narrator_index_b").drop("entity")
+
+
+# Problem 2
+def _transcripts(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.lookalikes import transcript_records
+
+    seg = table(spark, d, "segments").select("segment_id", "final_transcript", "processing_timestamp")
+    return transcript_records(seg, table(spark, d, "samples").select("sample_id", "transcript"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.lookalikes import equal_looks
+
+    return equal_looks(_transcripts(spark, d))
+
+
+def p2_normalized(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.lookalikes import with_skeletons
+
+    return with_skeletons(_transcripts(spark, d)).select("record", "skeleton")
+
+
 # Problem 3: at most floor(0.02 N) segments of a speaker
 SPEAKER_SHARE = 0.02
 
