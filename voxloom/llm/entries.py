@@ -111,6 +111,17 @@ def p9_mix_report(spark: SparkSession, d: str) -> DataFrame:
     return mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
 
 
+# Problem 10
+def p10_repaired(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.encoding import repaired_texts
+
+    return repaired_texts(table(spark, d, "documents")).select("doc_id", F.array_join("steps", " ").alias("steps"), "repaired")
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_repaired(spark, d).select("doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit() and callable(f)}
     return dict(sorted(found.items(), key=lambda x: (int(x[0][1:].split("_")[0]), x[0])))
