@@ -68,6 +68,34 @@ def p3_capped_manifest(spark: SparkSession, d: str) -> DataFrame:
     return _capped(spark, d).where("kept").drop("kept")
 
 
+# Problem 4: a rater with 20 scores or more whose scores follow the others' less than this
+MIN_SCORES, MIN_RELIABILITY = 20, 0.4
+
+
+def _consensus(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    from voxloom.llm.consensus import consensus, session_labels
+
+    return consensus(session_labels(table(spark, d, "user_sessions").select("user_id", "scores", "saved_at")))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _consensus(spark, d)[1].where((F.col("n_scores") >= MIN_SCORES) & (F.col("reliability") < MIN_RELIABILITY)).select("user_id")
+
+
+def p4_consensus(spark: SparkSession, d: str) -> DataFrame:
+    return _consensus(spark, d)[0]
+
+
+def p4_reliability(spark: SparkSession, d: str) -> DataFrame:
+    return _consensus(spark, d)[1]
+
+
+def p4_agreement(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.consensus import agreement, session_labels
+
+    return agreement(session_labels(table(spark, d, "user_sessions").select("user_id", "scores", "saved_at")))
+
+
 # Problem 7
 def p7_splits(spark: SparkSession, d: str) -> DataFrame:
     from voxloom.llm.splitting import assign_splits
