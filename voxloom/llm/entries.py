@@ -96,6 +96,41 @@ def p4_agreement(spark: SparkSession, d: str) -> DataFrame:
     return agreement(session_labels(table(spark, d, "user_sessions").select("user_id", "scores", "saved_at")))
 
 
+# Problem 6
+DIMENSIONS = 96
+
+
+def _centroids(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.vectors import valid_vectors
+
+    return valid_vectors(table(spark, d, "speaker_centroids"), "centroid_id", "centroid_embedding", DIMENSIONS, ["computed_at"])
+
+
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.vectors import valid_vectors
+
+    return valid_vectors(table(spark, d, "segment_embeddings"), "segment_id", "embedding", DIMENSIONS, ["extracted_at"])
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.similar import similar_pairs
+
+    p = similar_pairs(_centroids(spark, d), DIMENSIONS, 5, 0.80)
+    return p.select(F.col("id_a").alias("centroid_id_a"), F.col("id_b").alias("centroid_id_b"))
+
+
+def p6_centroid_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.similar import most_similar
+
+    return most_similar(_centroids(spark, d), DIMENSIONS, 5, 0.0, 0.8).withColumnsRenamed({"id": "centroid_id", "neighbour": "neighbour_id"})
+
+
+def p6_segment_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.similar import most_similar
+
+    return most_similar(_segments(spark, d), DIMENSIONS, 5, 0.0, 0.8, "id % 50 = 0").withColumnsRenamed({"id": "segment_id", "neighbour": "neighbour_id"})
+
+
 # Problem 7
 def p7_splits(spark: SparkSession, d: str) -> DataFrame:
     from voxloom.llm.splitting import assign_splits
