@@ -96,10 +96,36 @@ def p4_agreement(spark: SparkSession, d: str) -> DataFrame:
     return agreement(session_labels(table(spark, d, "user_sessions").select("user_id", "scores", "saved_at")))
 
 
-# Problem 6
+# Problem 5
 DIMENSIONS = 96
 
 
+def p5_members(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.voices import find_voices
+
+    return find_voices(_segments(spark, d), DIMENSIONS)[0].withColumnRenamed("id", "segment_id")
+
+
+def p5_voices(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.voices import find_voices
+
+    return find_voices(_segments(spark, d), DIMENSIONS)[1]
+
+
+def p5_centroid_voices(spark: SparkSession, d: str) -> DataFrame:
+    from voxloom.llm.voices import find_voices
+
+    return find_voices(_centroids(spark, d), DIMENSIONS)[1]
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    m = p5_members(spark, d)
+    return m.where("segment_id != cluster").select(F.col("cluster").alias("segment_id_a"), F.col("segment_id").alias("segment_id_b"))
+
+
+# Problem 6
+
+
 def _centroids(spark: SparkSession, d: str) -> DataFrame:
     from voxloom.llm.vectors import valid_vectors
 
