@@ -30,7 +30,8 @@ SWAPS = (("cp1252", "cp1256"), ("cp1252", "cp1251"), ("cp1252", "koi8-r"), ("cp1
 REAL_SCRIPT = {"cp1256": "arab", "iso8859-6": "arab", "cp1251": "cyr", "koi8-r": "cyr", "cp866": "cyr"}
 #: Gain in bits that a repaired stretch, and a repaired text, must bring.
 STRETCH_GAIN, TEXT_GAIN = 4.0, 12.0
-MAX_STEPS = 24
+#: Most texts looked into, and how many in a row may bring nothing better.
+MAX_STEPS, PATIENCE = 24, 3
 LOST = "�"
 
 
@@ -324,12 +325,14 @@ def repair(text: str, model: Plausibility) -> tuple[str, list[str], float]:
         return text, [], 0.0
     start = best = None
     queue: list[tuple[float, int, str, list[str]]] = [(0.0, 0, text, [])]
-    seen, pushed, steps = {hash(text)}, 0, 0
-    while queue and steps < MAX_STEPS:
+    seen, pushed, steps, idle = {hash(text)}, 0, 0, 0
+    while queue and steps < MAX_STEPS and idle < PATIENCE:
         cost, _, here, path = heapq.heappop(queue)
         steps += 1
         if path and (best is None or cost < best[0]):
-            best = (cost, here, path)
+            best, idle = (cost, here, path), 0
+        else:
+            idle += 1
         for name, new, gain in _moves(here, model):
             if gain >= STRETCH_GAIN and hash(new) not in seen:
                 seen.add(hash(new))
