@@ -78,8 +78,8 @@ def nearest_centroid(points: DataFrame, centroids: DataFrame, group: str, point:
     """Best centroid of the same group by dot product; confidence is half the product."""
     j = points.select(group, point, vector).join(centroids.select(group, label, centroid), group)
     s = j.withColumn("_s", dot(F.col(vector), F.col(centroid)))
-    best = s.groupBy(group, point).agg(F.max(F.struct("_s", (-F.col(label)).alias("l"))).alias("b"))
-    return best.select(group, point, (-F.col("b.l")).alias(label), (F.col("b._s") * 0.5).alias("confidence"))
+    best = s.groupBy(group, point).agg(F.max(F.struct("_s", (-F.col(label)).alias("l"))).alias("_b"))
+    return best.select(group, point, (-F.col("_b.l")).alias(label), (F.col("_b._s") * 0.5).alias("confidence"))
 
 
 def pairs_within(df: DataFrame, group: str, identifier: str, vector: str, dim_unit: bool = True) -> DataFrame:
