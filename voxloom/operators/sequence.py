@@ -42,7 +42,7 @@ def keep_last(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
 def _one(df: DataFrame, key: list[str], order: list[Column], pick) -> DataFrame:
     rest = [c for c in df.columns if c not in key]
     o = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-    best = df.groupBy(*key).agg(pick(F.struct(o.alias("o"), *rest)).alias("_r"))
+    best = df.groupBy(*key).agg(pick(F.struct(o.alias("_order"), *rest)).alias("_r"))
     return best.select(*key, *[F.col(f"_r.`{c}`").alias(c) for c in rest]).select(*df.columns)
 
 
