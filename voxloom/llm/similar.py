@@ -131,8 +131,8 @@ def most_similar(v: DataFrame, dim: int, k: int = 5, least: float = -1.0, slack:
     lonely = lay.outliers.where(queries).select("id", "v", F.lit(-1).alias("shard"), F.lit(float(least)).alias("cos"))
     asks = asks.unionByName(lonely)
     # the vectors that lie alone, for all queries
-    for ids, x in outlier_blocks(lay):
-        block = sc.broadcast((ids, x))
+    for alone, x in outlier_blocks(lay.outliers.select("id", "v"), lay.n_outliers, dim):
+        block = sc.broadcast((alone["id"].to_numpy("int64"), x))
 
         def direct(batches, block=block):
             for pdf in batches:

@@ -64,7 +64,7 @@ def valid_vectors(df: DataFrame, identifier: str, vector: str, dim: int, order:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_v") + ", v binary"
     packed = src.mapInPandas(pack, schema)
     last = packed.groupBy("id").agg(F.max(F.struct(*[f"_o{i}" for i in range(len(order))], "v")).alias("r"))
-    return materialize(last.select("id", F.col("r.v").alias("v")), "vectors")
+    return last.select("id", F.col("r.v").alias("v"))
 
 
 @dataclass
@@ -91,6 +91,12 @@ class Layout:
     dim: int
     n: int
     n_outliers: int
+    written: tuple[DataFrame, ...]
+
+    def release(self) -> None:
+        """Delete the written tables; nothing of this layout may be read afterwards."""
+        for t in self.written:
+            release(t)
 
 
 def _pivots(v: DataFrame, count: int, dim: int) -> np.ndarray:
@@ -143,9 +149,11 @@ def _pack_cells(pivots: np.ndarray, count: np.ndarray, size: int) -> tuple[np.nd
 def lay_out(v: DataFrame, dim: int, reach: float, per_pivot: int = 32, shard_size: int = 4096) -> Layout:
     """Place vectors (``id, v``) in cells and shards."""
     spark = v.sparkSession
+    v = materialize(v, "vectors")
     n = v.count()
     pivots = _pivots(v, min(MAX_PIVOTS, max(16, n // per_pivot)), dim)
     first = materialize(_nearest(v, pivots, 0, dim, reach), "level-1")
+    release(v)
     far = first.where("cell < 0").select("id", "v")
     n_far = far.count()
     more = _pivots(far, min(MAX_PIVOTS, max(16, n_far // max(2, per_pivot // 4))), dim) if n_far else np.zeros((0, dim))
@@ -165,12 +173,13 @@ def lay_out(v: DataFrame, dim: int, reach: float, per_pivot: int = 32, shard_siz
     out = placed.join(table, "cell").select("id", "v", F.col("c").alias("cell"), (F.col("s") + F.pmod(F.xxhash64("id"), F.col("p"))).cast("int").alias("shard"))
     n_out = n_far - second.where("cell >= 0").count() if n_far else 0
     outliers = second.where("cell < 0").select("id", "v")
-    return Layout(out, outliers, cells, dim, n, n_out)
+    return Layout(out, outliers, cells, dim, n, n_out, (first, second) if n_far else (first,))
 
 
-def outlier_blocks(layout: Layout):
-    """Outliers as arrays (ids, unit vectors), a bounded block at a time."""
-    parts = -(-layout.n_outliers // OUTLIER_BLOCK)
+def outlier_blocks(outliers: DataFrame, n: int, dim: int):
+    """Outliers (``id, v`` and more) as a table without v and unit vectors, a bounded block
+    at a time."""
+    parts = -(-n // OUTLIER_BLOCK)
     for b in range(parts):
-        block = layout.outliers.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(parts)) == b).toPandas()
-        yield block["id"].to_numpy("int64"), unpack(block["v"], layout.dim)
+        block = outliers.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(parts)) == b).toPandas()
+        yield block.drop(columns="v"), unpack(block["v"], dim)
