@@ -35,10 +35,11 @@ FILLERS = {"صدای", "صدا", "هنری", "صوتی", "art", "audio", "sound"
 ENDINGS = {"نیا", "دوست", "یان", "فر", "پور", "خواه", "وند", "نژاد", "زاده"}
 # Persian letters of equal sound, and the consonants they are written with in Latin.
 SAME_SOUND = str.maketrans({"ذ": "ز", "ض": "ز", "ظ": "ز", "ص": "س", "ث": "س", "ط": "ت", "ح": "ه", "غ": "ق", "ع": "ا", "آ": "ا", "أ": "ا", "إ": "ا", "ؤ": "و", "ئ": "ی", "ي": "ی", "ى": "ی", "ك": "ک", "ة": "ه", "ۀ": "ه", "ە": "ه", "ء": ""})
+SAME_FORM = str.maketrans("أإيىك", "اایی" + "ک")
 CONSONANTS = {"ب": "b", "پ": "p", "ت": "t", "ج": "j", "چ": "C", "خ": "K", "د": "d", "ر": "r", "ز": "z", "ژ": "Z", "س": "s", "ش": "S", "ف": "f", "ق": "G", "ک": "k", "گ": "g", "ل": "l", "م": "m", "ن": "n", "ه": "h"}
 DIGRAPHS = {"kh": "K", "sh": "S", "ch": "C", "zh": "Z", "gh": "G"}
 
-WEIGHT_THRESHOLD, GRAM_THRESHOLD = 0.8, 0.5
+WEIGHT_THRESHOLD, GRAM_THRESHOLD = 0.8, 0.33
 
 
 def sound(token: str) -> str:
@@ -46,13 +47,18 @@ def sound(token: str) -> str:
     if re.search("[a-z]", token):
         token = re.sub("kh|sh|ch|zh|gh", lambda m: DIGRAPHS[m[0]], token.replace("q", "gh").replace("ph", "f").replace("c", "k") if "ch" not in token else token)
         return re.sub("[^a-zA-Z]|[aeiouywv]", "", token).replace("x", "ks")
-    return "".join(CONSONANTS.get(c, "") for c in token)
+    return "".join(CONSONANTS.get(c, "") for c in token.translate(SAME_SOUND))
+
+
+def _unified(token: str) -> str:
+    """Letters of equal sound as one, but for the first, which initials are told apart by."""
+    return token[:1].translate(SAME_FORM) + token[1:].translate(SAME_SOUND)
 
 
 def initial(token: str) -> str:
     """Latin class of the first letter; all vowels are one class."""
-    c = token[:1]
-    if c in "اaeiou":
+    c = token[:1].translate(SAME_SOUND)
+    if c in "اaeiou" or not c:
         return "a"
     return {"و": "v", "ی": "y"}.get(c) or CONSONANTS.get(c, c)[:1].lower()
 
@@ -82,14 +88,14 @@ def parse_name(text: str) -> tuple[list[str], bool, bool]:
     kinds = [BODIES[w] for w in words if w in BODIES]
     if kinds:
         core = [w for w in words if w not in BODIES and w not in FILLERS]
-        return ([kinds[0], *[c.translate(SAME_SOUND) for c in core]], True, bool(core))
+        return ([kinds[0], *map(_unified, core)], True, bool(core))
     merged: list[str] = []
     for w in words:
         if w in ENDINGS and merged and len(merged[-1]) > 1:
             merged[-1] += w
         else:
             merged.append(w)
-    tokens = [w if re.search("[a-z]", w) else ("آ" if w == "آ" else w.translate(SAME_SOUND)) for w in merged]
+    tokens = [w if re.search("[a-z]", w) else _unified(w) for w in merged]
     return [w for w in tokens if w], False, any(len(w) > 1 for w in tokens)
 
 
@@ -111,6 +117,12 @@ def edits(a: str, b: str, most: int = 2) -> int:
     return one[-1]
 
 
+def _within(a: str, b: str) -> bool:
+    """Whether the letters of a occur in b in this order."""
+    rest = iter(b)
+    return len(a) >= 2 and all(c in rest for c in a)
+
+
 def token_similarity(a: str, b: str) -> tuple[float, bool]:
     """Similarity of two tokens, and whether one is only a short form of the other."""
     if a == b:
@@ -120,12 +132,12 @@ def token_similarity(a: str, b: str) -> tuple[float, bool]:
     latin_a, latin_b = bool(re.search("[a-z]", a)), bool(re.search("[a-z]", b))
     if len(a) == 1 or len(b) == 1:
         if latin_a == latin_b:
-            same = a[0] == b[0] if "آ" not in (a, b) else {a[0], b[0]} <= {"آ", "ا"}
+            same = a[0] == b[0]
         else:
-            same = initial(a.replace("آ", "ا")) == initial(b.replace("آ", "ا"))
+            same = initial(a) == initial(b)
         return (0.95 if same else 0.0), len(a) != len(b)
     if latin_a or latin_b:
-        x, y = sound(a), sound(b)
+        x, y = sound(a).replace("Z", "j"), sound(b).replace("Z", "j")  # both are written j
         if x == y and len(x) >= 2 or x == y and initial(a) == initial(b) and len(x) == 1:
             return 0.97, False
         if edits(x, y, 1) <= 1 and min(len(x), len(y)) >= 5:
@@ -139,6 +151,8 @@ def token_similarity(a: str, b: str) -> tuple[float, bool]:
     if len(short) >= 2 and len(long) - len(short) >= 1:
         if short.endswith("ی") and len(short) >= 3 and long.startswith(short[:-1]) or len(short) >= 3 and long.startswith(short):
             return 0.92, True
+        if short.endswith("ی") and len(short) <= 4 and len(short) >= 3 and short[0] == long[0] and _within(sound(short), sound(long)):
+            return 0.9, True
         if len(short) >= 3 and short[:2] == long[:2] and sound(short) and sound(long).startswith(sound(short)) and len(long) <= len(short) + 2:
             return 0.9, True
     return 0.0, False
