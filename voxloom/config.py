@@ -8,7 +8,11 @@ from pathlib import Path
 
 
 def _path(name: str, default: str):
-    return field(default_factory=lambda: str(Path(os.environ.get(name, default)).expanduser()))
+    def value() -> str:
+        text = os.environ.get(name, default)
+        return str(Path(text).expanduser()) if text else ""
+
+    return field(default_factory=value)
 
 
 @dataclass(frozen=True)
