@@ -93,3 +93,23 @@ def test_constant_position_marks_nobody(spark):
     rows = [("g", i, [1.0, float(i % 3)]) for i in range(20)] + [("g", 99, [1.0, 50.0])]
     out = V.outliers(spark.createDataFrame(rows, "g string, i int, v array<double>"), "g", "i", "v", 2).where("outlier").collect()
     assert [r.i for r in out] == [99]
+
+
+def test_every_vector_of_a_large_book_is_clustered(spark):
+    x, _ = groups(400, 4, d=8, spread=0.3)
+    x = np.vstack([x, groups(3, 1, d=8, seed=5, spread=0.01)[0]])  # a speaker of three segments
+    d = spark.createDataFrame([(1, i, row.tolist()) for i, row in enumerate(x)], "b long, i long, v array<double>")
+    got = C.local_speakers(d, "b", "i", "v", 8).orderBy("i").toPandas()
+    keep = C.drop_outliers(x)
+    labels = C.ensemble(C.normalize(x)[keep])
+    assert len(got) == len(x) and (got["speaker_id"].to_numpy()[keep] == labels).all()
+    assert np.allclose(got["speaker_confidence"].to_numpy()[keep], C.confidences(C.normalize(x)[keep], labels), atol=1e-6)
+
+
+def test_leading_vectors_against_dense_form():
+    x, truth = groups(60, 4, d=8, spread=0.5)
+    a = np.maximum(x @ x.T, 0)
+    s = 1 / np.sqrt(a.sum(axis=1))
+    v = np.linalg.eigh(a * s[:, None] * s[None, :])[1][:, -4:]
+    u = C._leading_vectors(x, 4, 1)
+    assert np.allclose(u @ u.T, v @ v.T, atol=1e-6)

@@ -16,8 +16,8 @@ from voxloom.session import materialize
 
 # Most speakers tried, DBSCAN radii and neighbours, merge distance, least samples of a merged speaker.
 MAX_SPEAKERS, EPS, MIN_POINTS, MERGE_DISTANCE, MERGE_SAMPLES = 15, np.arange(0.10, 1.0, 0.05), 3, 0.15, 100
-#: A book's embeddings beyond this number are assigned to the clusters of a hashed sample of it.
-BOOK_SAMPLE = 1500
+#: Rows up to which a matrix of all pairs is decomposed; rows that meet all others at a time.
+DENSE, BLOCK = 1500, 512
 
 
 def normalize(x: np.ndarray) -> np.ndarray:
@@ -32,11 +32,21 @@ def average_link(x: np.ndarray, k: int | None = None, below: float | None = None
     The mean distance of two clusters follows from the sums of their vectors, so memory
     grows with the rows, not their pairs; merges follow nearest-neighbour chains.
     """
+    return cut_tree(len(x), merge_tree(x), k, below)
+
+
+def merge_tree(x: np.ndarray) -> list[tuple[float, int, int]]:
+    """All merges of average link: distance, least row of one cluster and of the other."""
     n = len(x)
-    total, size, alive = x.astype("f8").copy(), np.ones(n), np.ones(n, bool)
+    total, size, alive, row = x.astype("f8").copy(), np.ones(n), np.ones(n, bool), np.arange(n)
     merges: list[tuple[float, int, int]] = []
     chain: list[int] = []
+    left = n
     for _ in range(n - 1):
+        if len(alive) > 64 and left < 0.7 * len(alive):  # what is merged away is not compared any more
+            kept = np.flatnonzero(alive)
+            chain = np.searchsorted(kept, chain).tolist()
+            total, size, row, alive = total[kept], size[kept], row[kept], np.ones(len(kept), bool)
         if not chain:
             chain = [int(np.flatnonzero(alive)[0])]
         while True:
@@ -50,10 +60,15 @@ def average_link(x: np.ndarray, k: int | None = None, below: float | None = None
                 break
             chain.append(best)
         a, b = sorted((chain.pop(), chain.pop()))
-        merges.append((float(d[best]), a, b))
+        merges.append((float(d[best]), int(row[a]), int(row[b])))
         total[a] += total[b]
         size[a] += size[b]
         alive[b] = False
+        left -= 1
+    return merges
+
+
+def cut_tree(n: int, merges: list[tuple[float, int, int]], k: int | None = None, below: float | None = None) -> np.ndarray:
     order = sorted(range(len(merges)), key=lambda i: (merges[i][0], i))
     order = [i for i in order if below is None or merges[i][0] < below]
     if k is not None:
@@ -73,28 +88,31 @@ def average_link(x: np.ndarray, k: int | None = None, below: float | None = None
     return np.unique([find(i) for i in range(n)], return_inverse=True)[1]
 
 
-def _mean_to_clusters(x: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mean cosine distance of each row to each cluster (own row left out), cluster sizes."""
+def silhouette(x: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Silhouette of each unit vector by cosine distance; 0 in clusters of one.
+
+    The mean distance to a cluster (own row left out) follows from the sum of its vectors.
+    """
     k = labels.max() + 1
+    if k < 2:
+        return np.zeros(len(x))
     total, size = np.zeros((k, x.shape[1])), np.bincount(labels, minlength=k).astype("f8")
     np.add.at(total, labels, x)
-    s = x @ total.T
-    own = np.arange(len(x)), labels
-    s[own] -= 1
-    n = np.tile(size, (len(x), 1))
-    n[own] -= 1
-    return 1 - s / np.where(n > 0, n, 1), size
-
-
-def silhouette(x: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Silhouette of each unit vector by cosine distance; 0 in clusters of one."""
-    if labels.max() < 1:
-        return np.zeros(len(x))
-    d, size = _mean_to_clusters(x, labels)
-    a = d[np.arange(len(x)), labels]
-    d[np.arange(len(x)), labels] = np.inf
-    b = d.min(axis=1)
-    return np.where(size[labels] > 1, (b - a) / np.maximum(np.maximum(a, b), 1e-12), 0.0)
+    out = np.empty(len(x))
+    step = max(1, 2_000_000 // k)
+    for i in range(0, len(x), step):
+        la = labels[i : i + step]
+        s = x[i : i + step] @ total.T
+        own = np.arange(len(la)), la
+        s[own] -= 1
+        n = np.tile(size, (len(la), 1))
+        n[own] -= 1
+        d = 1 - s / np.where(n > 0, n, 1)
+        near = d[own]
+        d[own] = np.inf
+        other = d.min(axis=1)
+        out[i : i + step] = np.where(size[la] > 1, (other - near) / np.maximum(np.maximum(near, other), 1e-12), 0.0)
+    return out
 
 
 def dispersion(x: np.ndarray, labels: np.ndarray) -> float:
@@ -104,39 +122,52 @@ def dispersion(x: np.ndarray, labels: np.ndarray) -> float:
     return float((np.bincount(labels) ** 2).sum() - (t * t).sum())
 
 
-def dbscan(x: np.ndarray, eps: float, points: int = MIN_POINTS) -> np.ndarray:
-    near = (1 - x @ x.T) <= eps
-    core = near.sum(axis=1) >= points
+def near_counts(x: np.ndarray, radii) -> np.ndarray:
+    """Rows within each radius of each row, itself included; a row per radius."""
+    out = np.zeros((len(radii), len(x)), "int64")
+    for i in range(0, len(x), BLOCK):
+        d = 1 - x[i : i + BLOCK] @ x.T
+        for j, r in enumerate(radii):
+            out[j, i : i + BLOCK] = (d <= r).sum(axis=1)
+    return out
+
+
+def dbscan(x: np.ndarray, eps: float, points: int = MIN_POINTS, near: np.ndarray | None = None) -> np.ndarray:
+    """Density clusters; a row on the border belongs to the cluster of the lowest core row."""
+    core = (near_counts(x, [eps])[0] if near is None else near) >= points
     labels, cur = np.full(len(x), -1), 0
-    for i in range(len(x)):
-        if not core[i] or labels[i] >= 0:
+    for i in np.flatnonzero(core):
+        if labels[i] >= 0:
             continue
-        todo = [i]
+        todo = np.array([i])
         labels[i] = cur
-        while todo:
-            j = todo.pop()
-            if core[j]:
-                new = np.flatnonzero(near[j] & (labels < 0))
+        while len(todo):
+            found = []
+            for j in range(0, len(todo), BLOCK):
+                reached = ((1 - x[todo[j : j + BLOCK]] @ x.T) <= eps).any(axis=0)
+                new = np.flatnonzero(reached & (labels < 0))
                 labels[new] = cur
-                todo.extend(new.tolist())
+                found.append(new[core[new]])
+            todo = np.concatenate(found)
         cur += 1
     return labels
 
 
-def estimate_speakers(x: np.ndarray) -> int:
+def estimate_speakers(x: np.ndarray, tree: list | None = None) -> int:
     """Median of three estimates: silhouette, elbow, density; 2 if there is none."""
     n, found = len(x), []
+    tree = merge_tree(x) if tree is None else tree
     ks = range(2, min(MAX_SPEAKERS, n - 1) + 1)
-    tries = {k: average_link(x, k) for k in ks}
+    tries = {k: cut_tree(n, tree, k) for k in ks}
     scores = {k: silhouette(x, la).mean() for k, la in tries.items() if np.bincount(la).min() >= 2}
     if scores:
         found.append(max(scores, key=lambda k: (scores[k], -k)))
-    w = [dispersion(x, average_link(x, 1))] + [dispersion(x, la) for la in tries.values()]
+    w = [dispersion(x, cut_tree(n, tree, 1))] + [dispersion(x, la) for la in tries.values()]
     if len(w) > 2:
         found.append(int(np.argmax(np.diff(w, 2))) + 2)
     best = None
-    for eps in EPS:
-        la = dbscan(x, float(eps))
+    for eps, near in zip(EPS, near_counts(x, EPS)):
+        la = dbscan(x, float(eps), near=near)
         k = la.max() + 1
         if k >= 2 and (la < 0).mean() < 0.5:
             s = silhouette(x, np.where(la < 0, k, la)).mean()
@@ -148,12 +179,46 @@ def estimate_speakers(x: np.ndarray) -> int:
 
 
 def spectral(x: np.ndarray, k: int, seed: int = 42) -> np.ndarray:
+    if len(x) > DENSE:
+        return kmeans(normalize(_leading_vectors(x, k, seed)), k, seed)
     a = np.maximum(x @ x.T, 0)
     d = 1 / np.sqrt(np.maximum(a.sum(axis=1), 1e-12))
     _, v = np.linalg.eigh(a * d[:, None] * d[None, :])
     return kmeans(normalize(v[:, -k:]), k, seed)
 
 
+def _leading_vectors(x: np.ndarray, k: int, seed: int, limit: float = 1e-7) -> np.ndarray:
+    """Eigenvectors of the ``k`` largest eigenvalues (ascending) of the scaled similarities
+    of all rows, by a block Krylov space that starts anew from its best vectors; the
+    similarities are made a block of rows at a time and never kept."""
+
+    def times(y: np.ndarray) -> np.ndarray:
+        out = np.empty((n, y.shape[1]))
+        for i in range(0, n, BLOCK):
+            out[i : i + BLOCK] = np.maximum(x[i : i + BLOCK] @ x.T, 0) @ y
+        return out
+
+    n = len(x)
+    d = 1 / np.sqrt(np.maximum(times(np.ones((n, 1))), 1e-12))
+    width = k + 8
+    new = np.linalg.qr(np.random.default_rng(seed).normal(size=(n, width)))[0]
+    basis, image = np.zeros((n, 0)), np.zeros((n, 0))
+    for _ in range(300):
+        made = d * times(d * new)
+        basis, image = np.hstack([basis, new]), np.hstack([image, made])
+        value, small = np.linalg.eigh(basis.T @ image)
+        v, w = basis @ small[:, -width:], image @ small[:, -width:]
+        off = w - v * value[-width:]
+        if np.linalg.norm(off[:, -k:], axis=0).max() < limit:
+            return v[:, -k:]
+        if basis.shape[1] > 8 * width:
+            basis, image = v, w
+        new = off
+        for _ in range(2):
+            new = np.linalg.qr(new - basis @ (basis.T @ new))[0]
+    raise RuntimeError(f"eigenvectors of {n} rows did not settle")
+
+
 def kmeans(x: np.ndarray, k: int, seed: int = 42, rounds: int = 50) -> np.ndarray:
     rng = np.random.default_rng(seed)
     c = [x[rng.integers(len(x))]]
@@ -163,7 +228,7 @@ def kmeans(x: np.ndarray, k: int, seed: int = 42, rounds: int = 50) -> np.ndarra
     c = np.array(c)
     labels = np.zeros(len(x), int)
     for _ in range(rounds):
-        new = ((x[:, None, :] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+        new = np.concatenate([((x[i : i + BLOCK, None, :] - c[None]) ** 2).sum(axis=2).argmin(axis=1) for i in range(0, len(x), BLOCK)])
         if (new == labels).all():
             break
         labels = new
@@ -200,21 +265,28 @@ def ensemble(x: np.ndarray, k: int | None = None) -> np.ndarray:
     """Best of three methods by silhouette, or their co-membership consensus if that is better."""
     if len(x) < 3:
         return np.zeros(len(x), int)
-    k = min(k or estimate_speakers(x), len(x) - 1)
-    made = [f(x, k) for f in (average_link, spectral, gaussian_mixture)]
+    tree = merge_tree(x)
+    k = min(k or estimate_speakers(x, tree), len(x) - 1)
+    made = [cut_tree(len(x), tree, k), spectral(x, k), gaussian_mixture(x, k)]
     scores = [silhouette(x, la).mean() for la in made]
     best = int(np.argmax(scores))
-    together = np.mean([la[:, None] == la[None, :] for la in made], axis=0)
-    joint = _link_matrix(1 - together, k)
+    # rows that all methods label alike are at distance 0 and merge first
+    kinds, first, of = np.unique(np.array(made).T, axis=0, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    place = np.empty(len(order), int)
+    place[order] = np.arange(len(order))
+    kinds, of = kinds[order], place[of.ravel()]
+    together = np.mean([la[:, None] == la[None, :] for la in kinds.T], axis=0)
+    joint = _link_matrix(1 - together, k, np.bincount(of).astype("f8"))[of]
     return joint if silhouette(x, joint).mean() > scores[best] else made[best]
 
 
-def _link_matrix(d: np.ndarray, k: int) -> np.ndarray:
-    """Average link from a distance matrix (rows of a bounded sample)."""
+def _link_matrix(d: np.ndarray, k: int, size: np.ndarray) -> np.ndarray:
+    """Average link from a matrix of the distances of groups of ``size`` equal rows."""
     n = len(d)
     d = d.astype("f8").copy()
     np.fill_diagonal(d, np.inf)
-    size, label = np.ones(n), np.arange(n)
+    size, label = size.copy(), np.arange(n)
     for _ in range(n - k):
         a, b = sorted(divmod(int(np.argmin(d)), n))
         new = (d[a] * size[a] + d[b] * size[b]) / (size[a] + size[b])
@@ -254,18 +326,13 @@ def drop_outliers(x: np.ndarray, limit: float = 3.0, min_left: int = 10) -> np.n
 def local_speakers(df: DataFrame, book: str, identifier: str, vector: str, dim: int, least: int = 4) -> DataFrame:
     """``book, identifier, speaker_id, speaker_confidence, status`` per valid vector.
 
-    Books with fewer than ``least`` valid vectors are skipped.  A book of more than
-    ``BOOK_SAMPLE`` vectors is clustered on a hashed sample of that size; all its other
-    vectors go to the nearest cluster (half the product as confidence), in parts of bounded
-    size, so no book is gathered whole.
+    Books with fewer than ``least`` valid vectors are skipped.  All vectors of a book are
+    clustered, in one task: its memory grows with the book's vectors, its time with their
+    pairs.
     """
     from voxloom.operators.vectors import is_valid
 
     v = materialize(df.where(is_valid(F.col(vector), dim)).select(F.col(book).alias("b"), F.col(identifier).alias("i"), F.col(vector).alias("v")).dropDuplicates(["b", "i"]), "vectors")
-    size = v.groupBy("b").agg(F.count("*").alias("n"))
-    sampled = materialize(v.join(size, "b"), "sized").withColumn("_in", F.col("n") <= BOOK_SAMPLE)
-    share = F.lit(0.9 * BOOK_SAMPLE) / F.col("n")
-    sampled = sampled.withColumn("_in", F.col("_in") | (F.pmod(F.xxhash64("i"), F.lit(1 << 20)) / float(1 << 20) < share))
     schema = "b long, i long, speaker_id int, speaker_confidence double, status string"
 
     def cluster(key, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -286,16 +353,7 @@ def local_speakers(df: DataFrame, book: str, identifier: str, vector: str, dim:
             labels[~keep], conf[~keep] = s.argmax(axis=1), s.max(axis=1) * 0.5
         return pd.DataFrame({"b": pdf["b"], "i": pdf["i"], "speaker_id": labels, "speaker_confidence": conf, "status": "completed"})
 
-    inside = sampled.where("_in").select(F.col("b").cast("long"), F.col("i").cast("long"), "v")
-    done = materialize(inside.groupBy("b").applyInPandas(cluster, schema), "clusters")
-    from voxloom.operators.vectors import elementwise, nearest_centroid, with_unit
-
-    rest = with_unit(sampled.where("not _in").select(F.col("b").cast("long"), F.col("i").cast("long"), "v"), "v", "u")
-    u = with_unit(inside, "v", "u").join(done.where("status = 'completed'"), ["b", "i"])
-    cents = elementwise(u.join(rest.select("b").distinct(), "b", "left_semi"), ["b", "speaker_id"], "u", dim, F.avg)
-    more = nearest_centroid(rest, materialize(cents, "centroids"), "b", "i", "u", "speaker_id", "centroid")
-    more = more.select("b", "i", F.col("speaker_id").cast("int"), F.col("confidence").alias("speaker_confidence"), F.lit("completed").alias("status"))
-    out = done.unionByName(more)
+    out = materialize(v.select(F.col("b").cast("long"), F.col("i").cast("long"), "v").groupBy("b").applyInPandas(cluster, schema), "clusters")
     return out.select(F.col("b").alias(book), F.col("i").alias(identifier), "speaker_id", F.round("speaker_confidence", 6).alias("speaker_confidence"), "status")
 
 
