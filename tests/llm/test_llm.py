@@ -356,6 +356,18 @@ def test_round_trip(model, text, codec):
     assert steps and gain > 0 and got == text
 
 
+@pytest.mark.parametrize("codec", ["mac_roman", "cp1250", "cp1253", "koi8-r", "cp866", "iso8859-6", "cp1256", "cp437"])
+def test_one_damaged_letter(model, codec):
+    chars = encoding.char_of(codec)
+    bad = "".join(chr(b) if b < 0x80 else chars[b] for b in "è".encode())
+    assert encoding.repair(CLEAN[1].replace("pièce", f"pi{bad}ce"), model)[0] == CLEAN[1]
+
+
+def test_one_letter_before_punctuation_stays(model):
+    text = "صدا را فقط؛ باز کرد"  # the bytes of these two would be another letter
+    assert encoding.repair(text, model) == (text, [], 0.0)
+
+
 def test_twice_and_in_place(model):
     chars = encoding.char_of("cp1252")
     spoil = lambda t: "".join(chr(b) if b < 0x80 else chars[b] for b in t.encode("utf-8"))

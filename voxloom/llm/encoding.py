@@ -227,6 +227,16 @@ def _read_utf8(stretch: str, codec: str, model: Plausibility) -> tuple[str, int]
     return "".join(out), len(out)
 
 
+def _belongs(shown: str, new: str, before: str, after: str, model: Plausibility) -> bool:
+    """Whether the letter that one sequence becomes is of the script of the word it stands
+    in, while what was shown is no part of such a word: letters of other scripts, or a
+    sign (punctuation may follow a letter in sound text)."""
+    script = SCRIPT.get(model.kind(new[0]))
+    around = {SCRIPT.get(model.kind(c)) for c in (before[-1:], after[:1]) if c} - {None}
+    foreign = all(SCRIPT.get(model.kind(c)) != script for c in shown) or unicodedata.category(shown[-1])[0] in "SNC"
+    return script is not None and around == {script} and foreign
+
+
 def from_utf8(text: str, codec: str, model: Plausibility) -> tuple[str, float]:
     """Read UTF-8 that was shown in a code page; the new text and the bits gained."""
     found, sure = [], False
@@ -241,8 +251,8 @@ def from_utf8(text: str, codec: str, model: Plausibility) -> tuple[str, float]:
         if gain > STRETCH_GAIN:
             found.append((m.start(), m.end(), new, gain))
             # one sequence alone may be chance where its parts are usual characters
-            alone = codec in ("cp1252", "cp1251") or codec in ("cp437", "cp850") and model.kind(new[0]) != "a"
-            sure |= n >= 2 and gain >= 12 or n == 1 and alone and gain >= 8
+            alone = codec in ("cp1252", "cp1251") or codec in ("cp437", "cp850") and model.kind(new[0]) != "a" or _belongs(s, new, before, after, model)
+            sure |= n >= 2 and gain >= 12 or n == 1 and alone and gain >= 8 or len(s) >= 3 and gain >= 12
     return _replaced(text, found) if sure or len(found) >= 3 else (text, 0.0)
 
 
