@@ -139,3 +139,14 @@ def test_components(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert {got[i] for i in range(1, 31)} == {1} and got[102] == 100 and got[200] == 200 and got[69] == 50
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_raters_order_all_items(spark, tmp_path):
+    from voxloom.plans.work import rater_orders
+
+    spark.range(120).selectExpr("id as audio_index").write.parquet(f"{tmp_path}/samples.parquet")
+    spark.range(3).selectExpr("id as user_id").write.parquet(f"{tmp_path}/user_sessions.parquet")
+    orders = {}
+    for r in rater_orders(spark, str(tmp_path)).orderBy("user_id", "place").collect():
+        orders.setdefault(r.user_id, []).append(r.audio_index)
+    assert all(sorted(o) == list(range(120)) for o in orders.values()) and len({tuple(o) for o in orders.values()}) == 3

@@ -112,12 +112,20 @@ def first_ten_per_book(spark, d):
 
 @query("SELECT user_id, audio_index, (row_number() OVER (PARTITION BY user_id ORDER BY md5('42:' || user_id || ':' || audio_index), user_id, audio_index))::INT AS place FROM (SELECT DISTINCT user_id FROM user_sessions), (SELECT DISTINCT audio_index FROM samples WHERE audio_index < 50)")
 def rater_shuffle(spark, d):
-    """Each rater's own order of the first fifty items, as the session draws it."""
+    """Each rater's own order of the first fifty items; ``rater_orders`` has all of them."""
     items = table(spark, d, "samples").where("audio_index < 50").select("audio_index").distinct()
     pairs = table(spark, d, "user_sessions").select("user_id").distinct().crossJoin(F.broadcast(items))  # fifty rows
     return shuffled_rank(pairs, "user_id", ["user_id", "audio_index"], "place")
 
 
+@query("SELECT user_id, audio_index, (row_number() OVER (PARTITION BY user_id ORDER BY md5('42:' || user_id || ':' || audio_index), user_id, audio_index))::INT AS place FROM (SELECT DISTINCT user_id FROM user_sessions), (SELECT DISTINCT audio_index FROM samples WHERE audio_index IS NOT NULL)")
+def rater_orders(spark, d):
+    """Each rater's own order of all items, as the session draws it."""
+    items = table(spark, d, "samples").where("audio_index is not null").select("audio_index").distinct()
+    pairs = table(spark, d, "user_sessions").select("user_id").distinct().crossJoin(items)
+    return shuffled_rank(pairs, "user_id", ["user_id", "audio_index"], "place")
+
+
 @query("SELECT sample_id, (row_number() OVER (ORDER BY md5('42:' || sample_id), sample_id))::INT AS place FROM (SELECT DISTINCT sample_id FROM samples)")
 def samples_shuffled(spark, d):
     return shuffled_rank(table(spark, d, "samples").select("sample_id").distinct(), None, ["sample_id"], "place")
