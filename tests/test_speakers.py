@@ -113,3 +113,18 @@ def test_leading_vectors_against_dense_form():
     v = np.linalg.eigh(a * s[:, None] * s[None, :])[1][:, -4:]
     u = C._leading_vectors(x, 4, 1)
     assert np.allclose(u @ u.T, v @ v.T, atol=1e-6)
+
+
+def test_global_speakers_follow_the_merge(spark, data):
+    from voxloom.plans import speakers as P
+
+    want = {r.centroid_id: r.final_cluster for r in P.global_merge(spark, data).collect()}
+    found = P.merged_summary(spark, data).collect()
+    assert len(found) == len(set(want.values())) and sorted(r.global_speaker_id for r in found) == list(range(len(found)))
+    samples = {r.centroid_id: r.num_samples for r in P.centroids(spark, data).collect()}
+    sums = {}
+    for c, f in want.items():
+        sums[f] = sums.get(f, 0) + samples[c]
+    assert [r.total_samples for r in sorted(found, key=lambda r: r.global_speaker_id)] == sorted(sums.values(), reverse=True)
+    checked = P.merged_validation(spark, data).collect()
+    assert len(checked) == len(found) and all(r.validation == 1 for r in checked if r.least is None)

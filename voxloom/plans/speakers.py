@@ -129,12 +129,12 @@ RULE = f"""WITH f AS ({FIXED}), g AS (SELECT cluster, count(DISTINCT title_index
     r AS (SELECT *, (row_number() OVER (ORDER BY total_samples DESC, final_cluster) - 1)::INT AS global_speaker_id FROM t)"""
 
 
-def ranked(spark, d):
-    """Members and clusters under the evidence rule, clusters ranked by their samples."""
+def ranked(members, own):
+    """Members and clusters under the evidence rule, clusters ranked by their samples;
+    ``own`` names the cluster of a member that is left alone."""
     from pyspark.sql import Window
 
-    m = fixed(spark, d).withColumn("own", F.col("centroid_id") + 1_000_000)
-    m = C.evidence_rule(m, "cluster", "own", "title_index", "num_samples")
+    m = C.evidence_rule(members.withColumn("own", own), "cluster", "own", "title_index", "num_samples")
     t = m.groupBy("final_cluster").agg(F.sum("num_samples").alias("total_samples"), F.count_distinct("title_index").alias("num_books"), F.array_join(F.array_sort(F.collect_set("title_index")), ", ").alias("books"))
     place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("total_samples"), "final_cluster")) - 1  # over clusters, not members
     return m, t.withColumn("global_speaker_id", place)
@@ -142,13 +142,17 @@ def ranked(spark, d):
 
 @query(f"{RULE} SELECT global_speaker_id, total_samples, num_books, books FROM r")
 def global_summary(spark, d):
-    return ranked(spark, d)[1].select("global_speaker_id", "total_samples", "num_books", "books")
+    return ranked(fixed(spark, d), F.col("centroid_id") + 1_000_000)[1].select("global_speaker_id", "total_samples", "num_books", "books")
 
 
 @query(f"""{RULE} SELECT e.segment_id, coalesce(max(global_speaker_id), -1) AS global_speaker_id FROM ({VALID}) e
     LEFT JOIN (SELECT title_index, local_speaker_id, min(global_speaker_id) AS global_speaker_id FROM m JOIN r USING (final_cluster) GROUP BY 1, 2) x ON e.title_index = x.title_index AND e.speaker_id = x.local_speaker_id GROUP BY 1""")
 def global_ids(spark, d):
-    m, t = ranked(spark, d)
+    return segment_ids(spark, d, *ranked(fixed(spark, d), F.col("centroid_id") + 1_000_000))
+
+
+def segment_ids(spark, d, m, t):
+    """The global speaker of each segment, -1 where its speaker has none."""
     names = m.join(t.select("final_cluster", "global_speaker_id"), "final_cluster").groupBy("title_index", F.col("local_speaker_id").alias("speaker_id")).agg(F.min("global_speaker_id").alias("global_speaker_id"))
     e = embeddings(spark, d).select("segment_id", "title_index", "speaker_id").join(names, ["title_index", "speaker_id"], "left")
     return e.select("segment_id", F.coalesce("global_speaker_id", F.lit(-1)).alias("global_speaker_id"))
@@ -161,3 +165,28 @@ LEAST = f"SELECT a.title_index, min(list_cosine_similarity(a.embedding, b.embedd
 def cluster_validation(spark, d):
     p = V.pairs_within(centroids(spark, d), "title_index", "centroid_id", "centroid_embedding").groupBy("title_index").agg(F.min("cos").alias("least"))
     return p.select("title_index", F.round("least", 5).alias("least"), F.round(C.validation_score(F.col("least")), 4).alias("validation"))
+
+
+def merged_ranked(spark, d):
+    """Clusters of the merge itself; each is named by its least centroid, so a member left alone keeps its own number."""
+    m, t = ranked(merged(spark, d), F.col("centroid_id"))
+    return materialize(m, "ranked"), t
+
+
+@query()
+def merged_summary(spark, d):
+    return merged_ranked(spark, d)[1].select("global_speaker_id", "total_samples", "num_books", "books")
+
+
+@query()
+def merged_ids(spark, d):
+    return segment_ids(spark, d, *merged_ranked(spark, d))
+
+
+@query()
+def merged_validation(spark, d):
+    """Least cosine inside each global speaker's cluster; 1 for a speaker of one centroid."""
+    m, t = merged_ranked(spark, d)
+    p = V.pairs_within(m, "final_cluster", "centroid_id", "centroid_embedding").groupBy("final_cluster").agg(F.min("cos").alias("least"))
+    v = t.join(p, "final_cluster", "left")
+    return v.select("global_speaker_id", F.round("least", 5).alias("least"), F.round(F.when(F.col("least").isNull(), 1.0).otherwise(C.validation_score(F.col("least"))), 4).alias("validation"))
