@@ -167,11 +167,9 @@ def p7_splits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_split_shares(spark: SparkSession, d: str) -> DataFrame:
-    from voxloom.llm.splitting import _whole
+    from voxloom.llm.splitting import split_report
 
-    got = p7_splits(spark, d).groupBy("split").agg(F.count("*").alias("n_segments"), F.count_distinct("component").alias("n_components"))
-    shares = table(spark, d, "split_targets").select("split", "target_share")
-    return shares.join(got, "split", "left").fillna(0).withColumn("reached_share", F.col("n_segments") / F.sum("n_segments").over(_whole()))
+    return split_report(p7_splits(spark, d), table(spark, d, "split_targets"))
 
 
 # Problem 8

@@ -30,10 +30,11 @@ def distinct_texts(docs: DataFrame, identifier: str = "doc_id", text: str = "tex
 def mixing_rates(texts: DataFrame, targets: DataFrame, total_tokens: int | None = None) -> DataFrame:
     """Per target source: its tokens, share, cap and rate.
 
-    Without ``total_tokens`` the mix is the largest in which every source that has any
-    text reaches its share within its cap.  With it, a source whose cap is too low
-    gives what it can.  Targets are few, as the user writes them; repeated targets of a
-    source are taken once (the largest).
+    ``total_tokens`` is the size aimed at, by default all tokens that the listed sources
+    have.  A source gets ``share * total / tokens`` copies of each text, or its cap where
+    that is less: then it gives what the cap allows, no other source makes up for it, and
+    the report says what share it reached.  Targets are few, as the user writes them;
+    repeated targets of a source are taken once (the largest).
     """
     goal = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     have = texts.groupBy("source").agg(F.sum("n_tokens").alias("source_tokens"), F.count("*").alias("n_texts"))
@@ -41,7 +42,7 @@ def mixing_rates(texts: DataFrame, targets: DataFrame, total_tokens: int | None
     usable = (F.col("source_tokens") > 0) & (F.col("target_share") > 0)
     share = F.when(usable, F.col("target_share")) / F.sum(F.when(usable, F.col("target_share"))).over(_all())
     t = t.withColumn("_share", share)
-    total = F.lit(total_tokens).cast("double") if total_tokens is not None else F.min(F.col("max_repeats") * F.col("source_tokens") / F.col("_share")).over(_all())
+    total = F.lit(total_tokens).cast("double") if total_tokens is not None else F.sum(F.when(usable, F.col("source_tokens"))).over(_all())
     rate = F.least(F.col("max_repeats").cast("double"), F.col("_share") * total / F.col("source_tokens"))
     return t.withColumn("rate", F.coalesce(rate, F.lit(0.0))).drop("_share")
 

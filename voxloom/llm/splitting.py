@@ -1,10 +1,10 @@
 """Problem 7: splits in given shares that keep related records together.
 
 Records that share any entity belong to one component (large-star small-star over the
-entities).  A component's hashed identifier falls into one of the splits' ranges.
-Components so large that a hash would ruin the shares (more than ``heavy`` of all
-records, so at most 1/heavy of them) are placed first, largest first, where most room is
-left; the ranges are then proportional to what is left of each split.
+entities).  Every component's hashed identifier falls into one of the splits' ranges,
+whatever its size, so the split of a component depends on nothing but its identifier and
+the shares: a table that grows moves no component.  The price is that a few very large
+components may pull the reached shares away from the targets; ``split_report`` says how far.
 """
 
 from __future__ import annotations
@@ -47,40 +47,34 @@ def record_components(df: DataFrame, identifier: str, entities: list[str], no_en
     return out.select(F.col("_id").alias(identifier), F.coalesce("component", "_first").alias("component"), "n_rows")
 
 
-def assign_splits(
-    df: DataFrame, identifier: str, entities: list[str], shares: dict[str, float], no_entity: dict[str, list] | None = None, heavy: float = 0.0001, seed: int = 42
-) -> DataFrame:
+def assign_splits(df: DataFrame, identifier: str, entities: list[str], shares: dict[str, float], no_entity: dict[str, list] | None = None, seed: int = 42) -> DataFrame:
     """``identifier, component, split`` for every distinct identifier of ``df``.
 
     ``shares`` are relative and must be positive in sum; a split of share 0 gets nothing.
-    The same table gives the same splits.  Only the heavy components, at most 1/heavy
-    of them, are looked at on the driver.
+    The ranges follow the splits' names in order.  An empty table gives an empty result.
     """
-    total_share = sum(shares.values())
-    if not shares or total_share <= 0 or min(shares.values()) < 0:
+    total = sum(shares.values())
+    if not shares or total <= 0 or min(shares.values()) < 0:
         raise ValueError("shares must be non-negative and not all zero")
-    records = materialize(record_components(df, identifier, entities, no_entity), "components")
-    sizes = materialize(records.groupBy("component").agg(F.count("*").alias("n")), "sizes")
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    room = {s: w / total_share * total for s, w in shares.items()}
-    big = sizes.where(F.col("n") > heavy * total).orderBy(F.desc("n"), "component").collect() if total else []
-    placed = []
-    for r in big:
-        split = max((s for s in shares if shares[s] > 0), key=lambda s: (room[s], s))
-        room[split] -= r["n"]
-        placed.append((r["component"], split))
-    left = {s: max(0.0, x) for s, x in room.items() if shares[s] > 0}
-    if not sum(left.values()):
-        left = {s: w for s, w in shares.items() if w > 0}
+    records = record_components(df, identifier, entities, no_entity)
     bounds, at = [], 0.0
-    for s in sorted(left):
-        at += left[s] / sum(left.values())
+    for s in sorted(s for s, w in shares.items() if w > 0):
+        at += shares[s] / total
         bounds.append((s, at))
     u = _unit(F.col("component"), seed)
-    by_hash = reduce(lambda rest, b: F.when(u < b[1], b[0]).otherwise(rest), reversed(bounds[:-1]), F.lit(bounds[-1][0]))
-    spark = df.sparkSession
-    fixed = F.broadcast(spark.createDataFrame(placed, "component string, _fixed string"))
-    return records.join(fixed, "component", "left").select(identifier, "component", F.coalesce("_fixed", by_hash).alias("split"))
+    split = reduce(lambda rest, b: F.when(u < b[1], b[0]).otherwise(rest), reversed(bounds[:-1]), F.lit(bounds[-1][0]))
+    return records.select(identifier, "component", split.alias("split"))
+
+
+def split_report(assigned: DataFrame, targets: DataFrame) -> DataFrame:
+    """``targets`` (``split, target_share``) with records, components, the share reached and
+    the share of all records that the split's largest component holds."""
+    comp = assigned.groupBy("split", "component").agg(F.count("*").alias("n"))
+    got = comp.groupBy("split").agg(F.sum("n").alias("n_segments"), F.count("*").alias("n_components"), F.max("n").alias("_largest"))
+    r = targets.select("split", "target_share").join(got, "split", "left").fillna(0)
+    total = F.nullif(F.sum("n_segments").over(_whole()), F.lit(0))
+    share = lambda c: F.coalesce(F.col(c) / total, F.lit(0.0))
+    return r.withColumns({"reached_share": share("n_segments"), "largest_component_share": share("_largest")}).drop("_largest")
 
 
 def _whole():
