@@ -1,12 +1,14 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from voxloom.operators import metrics as M
 from voxloom.operators import search as R
 from voxloom.operators import signal as S
 from voxloom.operators.components import connected_components
 from voxloom.operators.incremental import completed_groups, pending, work_queue
-from voxloom.operators.sequence import first_seen_index, keep_first, keep_last, upsert
+from voxloom.operators.sequence import first_seen_index, keep_first, keep_last, number_within, shuffled_rank, upsert
 
 
 def islands(spark, frames):
@@ -106,6 +108,59 @@ def test_trim_checks_around(spark):
     assert R.largest_trim(3000, 9000, lambda x: False) == 0
 
 
+def test_an_empty_transcript_matches_nothing(spark):
+    rows = [(1, 5000, "", ""), (2, 5000, None, ""), (3, 5000, "x", None), (4, 5000, "x", " x ")]
+    d = spark.createDataFrame(rows, "k int, duration_ms int, target string, says string")
+    got = {r.k: (r.start_trimmed_ms, r.end_trimmed_ms) for r in R.trim_searched(d, "k", lambda row: lambda a, b: row["says"]).collect()}
+    assert got == {1: (0, 0), 2: (0, 0), 3: (0, 0), 4: (2000, 2500)}
+
+
+def test_buckets_change_nothing(spark):
+    rnd = random.Random(5)
+    rows = [(i % 3, i, float(rnd.randint(0, 400)), float(rnd.randint(1, 30))) for i in range(500)]
+    d = spark.createDataFrame(rows, "k int, i int, s double, len double").withColumn("e", F.col("s") + F.col("len"))
+    for gaps in (True, False):
+        forms = [S.repair_timeline(d, "k", "s", "e", ["s", "i"], gaps, b).select("i", "fixed_start").collect() for b in (None, F.floor(F.col("s") / 20))]
+        assert sorted(forms[0]) == sorted(forms[1])
+    for group in ("k", None):
+        forms = [number_within(d, group, ["s", "i"], "n", b).select("i", "n").collect() for b in (None, F.floor(F.col("s") / 20))]
+        assert sorted(forms[0]) == sorted(forms[1])
+    order = shuffled_rank(d.select("i"), None, ["i"], "place").collect()
+    assert sorted(r.place for r in order) == list(range(1, 501))
+
+
+def test_edit_distance_of_any_vocabulary(spark, monkeypatch):
+    rnd = random.Random(2)
+    pairs = [([rnd.choice("abcdefg") for _ in range(rnd.randint(0, 12))], [rnd.choice("abcdefg") for _ in range(rnd.randint(0, 12))]) for _ in range(80)]
+    d = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a array<string>, b array<string>")
+    fast = {r.i: r.n for r in M.with_word_distance(d, "a", "b", "n").collect()}
+    monkeypatch.setattr(M, "CODES", 3)  # most pairs have more words than that
+    assert fast == {r.i: r.n for r in M.with_word_distance(d, "a", "b", "n").collect()} == {i: M.edit_distance(a, b) for i, (a, b) in enumerate(pairs)}
+
+
+def test_audio_scores(spark):
+    rng = np.random.default_rng(0)
+    loud = (0.5 * rng.normal(size=16000)).clip(-1, 1)
+    rows = [("short", [0.5] * 100, 16000), ("empty", [], 16000), ("loud", loud.tolist(), 16000), ("zero", [0.0] * 16000, 16000), ("bad", None, 0)]
+    d = spark.createDataFrame(rows, "path string, samples array<double>, sample_rate int").withColumn("extra", F.lit(1))
+    got = {r.path: r for r in S.audio_scores(d).collect()}
+    assert set(got) == {"short", "empty", "loud", "zero"} and got["loud"].extra == 1
+    for s in ("short", "empty"):
+        assert (got[s].snr_db, got[s].silence_percentage, got[s].is_clean, got[s].quality_score) == (0, 100, True, 0)
+    assert got["zero"].snr_db == float("-inf")
+    # the same as the declared form over one row per sample
+    y = spark.createDataFrame([("loud", float(v)) for v in loud], "c string, y double")
+    m = S.clip_metrics(y, "c", "y").first()
+    for a, b in ((m.snr_db, got["loud"].snr_db), (m.dynamic_range_db, got["loud"].dynamic_range_db), (m.clipping_percentage, got["loud"].clipping_percentage)):
+        assert abs(a - b) < 1e-6
+    assert S.audio_scores(d, lambda y, rate: True).where("path = 'loud'").first().is_clean is False
+
+
+def test_throughput(spark):
+    d = spark.createDataFrame([("a", 2.0), ("a", 2.0), ("b", 0.0)], "g string, s double")
+    assert {(r.g, r["items"], r.per_second) for r in M.throughput(d, ["g"], "s").collect()} == {("a", 2, 0.5), ("b", 1, None)}
+
+
 def test_choice_of_rows(spark):
     d = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, None), (2, 1, None)], "k int, o int, v string")
     assert sorted(tuple(r) for r in keep_first(d, ["k"], [F.col("o")]).collect()) == [(1, 1, "a"), (2, 1, None)]
@@ -142,11 +197,11 @@ def test_components(spark):
 
 
 def test_raters_order_all_items(spark, tmp_path):
-    from voxloom.plans.work import rater_orders
+    from voxloom.plans.work import rater_shuffle
 
     spark.range(120).selectExpr("id as audio_index").write.parquet(f"{tmp_path}/samples.parquet")
     spark.range(3).selectExpr("id as user_id").write.parquet(f"{tmp_path}/user_sessions.parquet")
     orders = {}
-    for r in rater_orders(spark, str(tmp_path)).orderBy("user_id", "place").collect():
+    for r in rater_shuffle(spark, str(tmp_path)).orderBy("user_id", "place").collect():
         orders.setdefault(r.user_id, []).append(r.audio_index)
     assert all(sorted(o) == list(range(120)) for o in orders.values()) and len({tuple(o) for o in orders.values()}) == 3

@@ -7,6 +7,7 @@ from voxloom.config import Config
 from voxloom.functions.models import apply_model, final_status, spectral_embedding
 from voxloom.operators import release as L
 from voxloom.sources import audio as A
+from voxloom.sources import state as S
 from voxloom.sources import tables as T
 
 
@@ -33,10 +34,97 @@ def test_stage_tables(spark, tmp_path):
 
 
 def test_upsert_table(spark, tmp_path):
-    p, kind = str(tmp_path / "r"), "k int, t int, v string"
-    T.merge_into(spark, p, spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], kind), ["k"], [F.col("t")])
-    out = T.merge_into(spark, p, spark.createDataFrame([(2, 5, "d"), (1, 1, "old")], kind), ["k"], [F.col("t")])
+    p, kind, key, order = str(tmp_path / "r"), "k int, t int, v string", ["k"], [F.col("t")]
+    assert S.read_state(spark, p, kind, key, order).count() == 0
+    S.merge_into(spark, p, spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], kind), key, order)
+    out = S.merge_into(spark, p, spark.createDataFrame([(2, 5, "d"), (1, 1, "old")], kind), key, order)
     assert sorted(tuple(r) for r in out.collect()) == [(1, 2, "b"), (2, 5, "d")]
+    # a writer that died before it moved the pointer leaves the state as it was
+    spark.createDataFrame([(1, 99, "lost")], kind).write.parquet(f"{p}/part-dead")
+    assert sorted(tuple(r) for r in S.read_state(spark, p, kind, key, order).collect()) == [(1, 2, "b"), (2, 5, "d")]
+    before = S.read_state(spark, p, kind, key, order)
+    for i in range(6):  # folded on the way; a reader of before a fold can still read
+        out = S.merge_into(spark, p, spark.createDataFrame([(3, i, str(i))], kind), key, order, most_parts=3)
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 2, "b"), (2, 5, "d"), (3, 5, "5")]
+    assert before.schema == out.schema
+
+
+def test_checkpoint(spark, tmp_path):
+    from voxloom.sources.checkpoint import Checkpoint, file_key
+
+    c = Checkpoint(spark, str(tmp_path / "c"))
+    a = file_key("book", "a.csv", 1)
+    assert a != file_key("book", "a.csv", 2) and not c.is_completed(a)
+    c.mark_failed(a, "broken")
+    assert c.is_failed(a)
+    c.mark_completed(a, {"rows": 3})
+    again = Checkpoint(spark, str(tmp_path / "c"))
+    assert again.is_completed(a) and not again.is_failed(a) and again.result(a) == {"rows": 3}
+    todo = spark.createDataFrame([(a,), ("other",)], "key string")
+    assert [r.key for r in again.left(todo).collect()] == ["other"]
+
+
+def test_other_sources(spark, tmp_path):
+    for f in ("a/x_embedding.csv", "a/b_embeddings.csv", "a/embedding_backup.csv", "b/speakers.csv"):
+        (tmp_path / "t" / f).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "t" / f).write_text("segment_path,v\np,1\n")
+    found = T.embedding_tables(spark, str(tmp_path / "t")).collect()
+    assert [(r.folder, r.path.rsplit("/", 1)[1]) for r in found] == [("a", "b_embeddings.csv")]
+    d = T.union_tables(spark.createDataFrame([(1, "x")], "i int, s string"), spark.createDataFrame([(2, 0.5)], "i int, q double"))
+    assert sorted((r.i, r.s, r.q) for r in d.collect()) == [(1, "x", None), (2, None, 0.5)]
+    for f in ("m/one/metadata.csv", "m/two/metadata.csv", "m/two/deep/metadata.csv"):
+        (tmp_path / f).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / f).write_text("segment_path,final_transcript\np,t\n,u\n")
+    schema = "segment_path string, final_transcript string"
+    assert T.read_stage(spark, str(tmp_path / "m"), schema, "book").count() == 6
+    assert T.read_stage(spark, str(tmp_path / "m/*/metadata.csv"), schema, "book", recursive=False).count() == 4
+    left = T.read_stage(spark, str(tmp_path / "m"), schema, "book", completed=spark.createDataFrame([("one",)], "book string"), required="segment_path")
+    assert {(r.book, r.segment_path) for r in left.collect()} == {("two", "p"), ("deep", "p")}
+    rows = [("/b/2.wav", "b", "2", 1.0), ("/a/1.wav", "a", "1", 2.0), ("/b/2.wav", "b", "2", 9.0)]
+    m = T.master_table(spark.createDataFrame(rows, "file_path string, audiobook_folder string, filename string, q double"), order=["q"]).collect()
+    assert [(r.file_path, r.q) for r in m] == [("/a/1.wav", 2.0), ("/b/2.wav", 1.0)]
+    T.write_outputs(d, str(tmp_path / "out"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 2
+    who = spark.createDataFrame([("one", 1), ("two", 2)], "book string, speaker int")
+    T.write_labels(who, who, who.select("speaker"), str(tmp_path / "labels"), "book")
+    assert spark.read.parquet(str(tmp_path / "labels/global")).count() == 2
+
+
+def test_suffixes_and_listing(spark, tmp_path):
+    for name in ("b.mp4", "a.wav", "c.wma", "d.opus"):
+        (tmp_path / name).write_bytes(b"x")
+    assert {r.path.rsplit("/", 1)[1]: r.place for r in A.listing(A.audio_files(spark, str(tmp_path))).collect()} == {"a.wav": 0, "b.mp4": 1}
+    assert {r.path.rsplit("/", 1)[1] for r in A.audio_files(spark, str(tmp_path), A.CLIPS).collect()} == {"a.wav", "c.wma"}
+
+
+def test_resampling_keeps_low_tones_and_drops_high_ones():
+    t = np.arange(44100) / 44100
+    low, high = np.sin(2 * np.pi * 440 * t), np.sin(2 * np.pi * 12000 * t)
+    for to in (16000, 22050, 48000):
+        got = A.resample(low, 44100, to)
+        want = np.sin(2 * np.pi * 440 * np.arange(len(got)) / to)
+        assert len(got) == to and np.abs(got - want)[200:-200].max() < 2e-3
+    assert np.abs(A.resample(high, 44100, 16000))[200:-200].max() < 0.02  # above half the new rate
+    assert len(A.resample(np.zeros(0), 8000, 16000)) == 0
+
+
+def test_large_files_and_channels(spark, tmp_path):
+    import io
+    import wave
+
+    out = io.BytesIO()
+    with wave.open(out, "wb") as w:
+        w.setnchannels(2)
+        w.setsampwidth(2)
+        w.setframerate(8000)
+        w.writeframes(np.tile(np.array([1000, -1000], "<i2"), 4000).tobytes())
+    (tmp_path / "two.wav").write_bytes(out.getvalue())
+    f = A.audio_files(spark, str(tmp_path))
+    mean, both = A.decoded(f, None, None).first(), A.decoded(f, None, None, mono=False).first()
+    assert not any(mean.samples) and [len(c) for c in both.samples] == [4000, 4000] and both.samples[0][0] == -both.samples[1][0]
+    mb = len(out.getvalue()) / 2**20
+    assert A.decoded(f, 16000, None, only_above_mb=mb * 1.0001).first().sample_rate == 8000
+    assert A.decoded(f, 16000, None, only_above_mb=mb * 0.9999).first().sample_rate == 16000
 
 
 def test_audio(spark, tmp_path):
@@ -51,6 +139,8 @@ def test_audio(spark, tmp_path):
     assert got["x.wav"].sample_rate == 16000 and len(got["x.wav"].samples) == 16000
     assert abs(max(map(abs, got["x.wav"].samples)) - 0.95) < 1e-6
     assert got["bad.wav"].samples is None and got["bad.wav"].sample_rate == 0
+    good, bad = A.readable(A.decoded(files))
+    assert good.count() == 2 and bad.first().path.endswith("bad.wav") and bad.first().error
     quiet = {r.path.rsplit("/", 1)[1]: r for r in A.decoded(files, silence_on_error=True).collect()}
     assert len(quiet["bad.wav"].samples) == 16000
     d = A.decoded(files, rate=None, peak=None).where("samples is not null").withColumn("cut", A.trimmed(F.col("samples"), F.lit(100), F.lit(200), 8000))

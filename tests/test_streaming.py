@@ -18,7 +18,7 @@ def test_upsert_stream(spark, tmp_path):
         spark.createDataFrame(part, R.EVENT).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     q = R.run_upsert(R.rating_events(spark, str(tmp_path / "in"), per_trigger=1), str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination(120)
-    got = {(r.user_id, r.audio_index, r.question): r.score for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    got = {(r.user_id, r.audio_index, r.question): r.score for r in R.read_ratings(spark, str(tmp_path / "out")).collect()}
     # a half step counts for text_match only
     assert got == {(1, 0, "naturalness"): 4.0, (1, 0, "similarity"): 2.0, (1, 0, "text_match"): 2.5, (2, 5, "similarity"): 5.0}
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from voxloom.operators.components import connected_components
 from voxloom.session import materialize
 
-# Most speakers tried, DBSCAN radii and neighbours, merge distance, least samples of a merged speaker.
-MAX_SPEAKERS, EPS, MIN_POINTS, MERGE_DISTANCE, MERGE_SAMPLES = 15, np.arange(0.10, 1.0, 0.05), 3, 0.15, 100
+# Most speakers tried, DBSCAN radii and neighbours, merge distance, least samples of a merged speaker, most dimensions.
+MAX_SPEAKERS, EPS, MIN_POINTS, MERGE_DISTANCE, MERGE_SAMPLES, MAX_DIM = 15, np.arange(0.10, 1.0, 0.05), 3, 0.15, 100, 512
 #: Rows up to which a matrix of all pairs is decomposed; rows that meet all others at a time.
 DENSE, BLOCK = 1500, 512
 
@@ -164,7 +164,7 @@ def estimate_speakers(x: np.ndarray, tree: list | None = None) -> int:
         found.append(max(scores, key=lambda k: (scores[k], -k)))
     w = [dispersion(x, cut_tree(n, tree, 1))] + [dispersion(x, la) for la in tries.values()]
     if len(w) > 2:
-        found.append(int(np.argmax(np.diff(w, 2))) + 2)
+        found.append(int(np.argmax(np.diff(w, 2))) + 3)  # w starts at one cluster, and the entry two after the bend counts
     best = None
     for eps, near in zip(EPS, near_counts(x, EPS)):
         la = dbscan(x, float(eps), near=near)
@@ -262,14 +262,26 @@ def gaussian_mixture(x: np.ndarray, k: int, seed: int = 42, rounds: int = 30) ->
 
 
 def ensemble(x: np.ndarray, k: int | None = None) -> np.ndarray:
-    """Best of three methods by silhouette, or their co-membership consensus if that is better."""
+    """Best of three methods by silhouette, or their co-membership consensus if that is better.
+    A method that fails, or finds one cluster only, is left out; if all do, average link stands."""
     if len(x) < 3:
         return np.zeros(len(x), int)
     tree = merge_tree(x)
     k = min(k or estimate_speakers(x, tree), len(x) - 1)
-    made = [cut_tree(len(x), tree, k), spectral(x, k), gaussian_mixture(x, k)]
-    scores = [silhouette(x, la).mean() for la in made]
+    made, scores = [], []
+    for method in (lambda: cut_tree(len(x), tree, k), lambda: spectral(x, k), lambda: gaussian_mixture(x, k)):
+        try:
+            la = method()
+        except (np.linalg.LinAlgError, RuntimeError, ValueError):
+            continue
+        if 1 < la.max() + 1 < len(x):  # a silhouette needs several clusters, and fewer than rows
+            made.append(la)
+            scores.append(silhouette(x, la).mean())
+    if not made:
+        return cut_tree(len(x), tree, k)
     best = int(np.argmax(scores))
+    if len(made) == 1:
+        return made[best]
     # rows that all methods label alike are at distance 0 and merge first
     kinds, first, of = np.unique(np.array(made).T, axis=0, return_index=True, return_inverse=True)
     order = np.argsort(first)
@@ -277,7 +289,7 @@ def ensemble(x: np.ndarray, k: int | None = None) -> np.ndarray:
     place[order] = np.arange(len(order))
     kinds, of = kinds[order], place[of.ravel()]
     together = np.mean([la[:, None] == la[None, :] for la in kinds.T], axis=0)
-    joint = _link_matrix(1 - together, k, np.bincount(of).astype("f8"))[of]
+    joint = _link_matrix(1 - together, made[0].max() + 1, np.bincount(of).astype("f8"))[of]
     return joint if silhouette(x, joint).mean() > scores[best] else made[best]
 
 
@@ -323,6 +335,16 @@ def drop_outliers(x: np.ndarray, limit: float = 3.0, min_left: int = 10) -> np.n
     return keep if keep.sum() > min_left else np.ones(len(x), bool)
 
 
+def principal(x: np.ndarray, most: int = MAX_DIM) -> np.ndarray:
+    """Rows in at most so many principal components; as they are if they have no more dimensions."""
+    if x.shape[1] <= most:
+        return x
+    z = x - x.mean(axis=0)
+    _, _, v = np.linalg.svd(z, full_matrices=False)
+    v = v[: min(most, len(x) - 1)]
+    return z @ (v * np.sign(v[np.arange(len(v)), np.abs(v).argmax(axis=1)])[:, None]).T
+
+
 def local_speakers(df: DataFrame, book: str, identifier: str, vector: str, dim: int, least: int = 4) -> DataFrame:
     """``book, identifier, speaker_id, speaker_confidence, status`` per valid vector.
 
@@ -344,8 +366,9 @@ def local_speakers(df: DataFrame, book: str, identifier: str, vector: str, dim:
         keep = drop_outliers(raw)
         x = normalize(raw)
         labels, conf = np.full(n, -1), np.zeros(n)
-        labels[keep] = ensemble(x[keep])
-        conf[keep] = confidences(x[keep], labels[keep])
+        z = normalize(principal(x[keep])) if dim > MAX_DIM else x[keep]
+        labels[keep] = ensemble(z)
+        conf[keep] = confidences(z, labels[keep])
         k = labels.max() + 1
         c = np.array([x[labels == j].mean(axis=0) for j in range(k)])
         if (~keep).any():
@@ -358,14 +381,15 @@ def local_speakers(df: DataFrame, book: str, identifier: str, vector: str, dim:
 
 
 def prune_speakers(df: DataFrame, book: str, speaker: str, confidence: str, limit: float = 0.4) -> DataFrame:
-    """Confident rows of speakers with at least an average share of their book's confident
-    rows (two at least), speakers numbered anew from 0."""
+    """Confident rows of speakers that hold at least an equal share of their book's confident
+    rows (two at least), speakers numbered anew from 0.  The share is that of all the book's
+    speakers, those without a confident row included."""
     from voxloom.operators.sequence import relabel
 
     sure = df.where(F.col(confidence) >= limit)
-    n = sure.groupBy(book, speaker).agg(F.count("*").alias("_n"))
+    n = df.groupBy(book, speaker).agg(F.count_if(F.col(confidence) >= limit).alias("_n"))
     per = n.groupBy(book).agg(F.sum("_n").alias("_all"), F.count("*").alias("_k"))
-    kept = n.join(per, book).where(F.col("_n") >= F.greatest(F.lit(2), F.floor(F.col("_all") / F.col("_k")))).select(book, speaker)
+    kept = n.join(per, book).where(F.col("_n") >= F.greatest(F.lit(2), F.floor(F.col("_all") * (F.lit(1.0) / F.col("_k"))))).select(book, speaker)
     return relabel(sure.join(kept, [book, speaker]), book, speaker, "new_speaker_id")
 
 

@@ -64,8 +64,12 @@ def trim_searched(df: DataFrame, key: str, transcriber: Callable[[dict], Callabl
     ``df`` has ``key, duration_ms, target`` and what the transcriber needs: it gets a row
     and returns a function of the milliseconds cut at start and end that gives the text.
     The end is trimmed first, then the start, both within the budget of the whole length.
+    A transcript that is missing or empty matches nothing, an empty target neither.
     """
 
+    def match(got: str | None, target: str) -> bool:
+        return bool(got) and got.strip() == target
+
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
@@ -73,8 +77,8 @@ def trim_searched(df: DataFrame, key: str, transcriber: Callable[[dict], Callabl
                 text, ms = transcriber(row), int(row["duration_ms"])
                 target = (row["target"] or "").strip()
                 budget = min(3000, ms // 2) // TRIM_STEP * TRIM_STEP
-                end = largest_trim(budget, ms, lambda t: text(0, t).strip() == target)
-                start = largest_trim(budget, ms - end, lambda t: text(t, end).strip() == target)
+                end = largest_trim(budget, ms, lambda t: match(text(0, t), target))
+                start = largest_trim(budget, ms - end, lambda t: match(text(t, end), target))
                 out.append((row[key], start, end, ms - start - end))
             yield pd.DataFrame(out, columns=[key, "start_trimmed_ms", "end_trimmed_ms", "final_duration_ms"])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,9 +19,28 @@ def first_seen_index(df: DataFrame, column: str, position: str, name: str) -> Da
     return df.join(numbered.select(F.col(column).alias("_k"), name), F.col(column).eqNullSafe(F.col("_k"))).drop("_k")
 
 
-def number_within(df: DataFrame, group: str, order: list, name: str) -> DataFrame:
-    """Running number within a group, from 0."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1)
+def number_within(df: DataFrame, group: str | None, order: list, name: str, bucket: Column | None = None) -> DataFrame:
+    """Running number within a group, from 0.
+
+    ``bucket`` splits a large group: a value that never falls along the order.  Rows are
+    then sorted within their bucket only, and start where the buckets before it end.
+    """
+    key = [group] if group else []
+    if bucket is None:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1)
+    d = df.withColumn("_b", bucket)
+    # one small row per bucket
+    before = Window.partitionBy(*(key or [F.lit(1)])).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    start = d.groupBy(*key, "_b").agg(F.count("*").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    j = attach(d, start, [*key, "_b"])
+    return j.withColumn(name, (F.col("_start") + F.row_number().over(Window.partitionBy(*key, "_b").orderBy(*order)) - 1)).drop("_b", "_start")
+
+
+def attach(df: DataFrame, per: DataFrame, keys: list[str]) -> DataFrame:
+    """The columns of ``per`` (a row per key) beside each row; null keys match each other."""
+    other = per.withColumnsRenamed({c: f"_key{i}" for i, c in enumerate(keys)})
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(keys)])
+    return df.join(other, same).drop(*[f"_key{i}" for i in range(len(keys))])
 
 
 def relabel(df: DataFrame, group: str, label: str, name: str) -> DataFrame:
@@ -52,7 +73,13 @@ def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
 
 
 def shuffled_rank(df: DataFrame, group: str | None, seed_columns: list[str], name: str, seed: int = 42) -> DataFrame:
-    """A fixed random order within a group, from a hash of the seed and the columns."""
+    """A fixed random order within a group, from a hash of the seed and the columns.
+
+    Without a group the whole table is ordered: in buckets by the hash's first digits, so
+    that no task sorts all of it.
+    """
     h = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in seed_columns]))
-    w = Window.partitionBy(group) if group else Window.partitionBy(F.lit(1))
-    return df.withColumn(name, F.row_number().over(w.orderBy(h, *seed_columns)))
+    if group:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(h, *seed_columns)))
+    d = number_within(df.withColumn("_h", h), None, ["_h", *seed_columns], name, F.substring("_h", 1, 3))
+    return d.withColumn(name, (F.col(name) + 1).cast("int")).drop("_h")

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.operators.sequence import attach
+
 # Frame length, clipping and silence levels, percentile of the noise floor.
 FRAME, RATE, CLIPPED, SILENT, FLOOR_PERCENTILE, TINY = 480, 16000, 0.95, 0.01, 0.05, 1e-10
 
@@ -32,19 +38,26 @@ def speech_islands(frames: DataFrame, key: str, at: str, order: list[str], speec
     return runs.join(whole, key).select(key, "island_start", F.coalesce("_l.n", "_total").alias("island_end"))
 
 
-def repair_timeline(df: DataFrame, key: str, start: str, end: str, order: list[str], fill_gaps: bool = True) -> DataFrame:
+def repair_timeline(df: DataFrame, key: str, start: str, end: str, order: list[str], fill_gaps: bool = True, bucket: Column | None = None) -> DataFrame:
     """Segments without overlap: a segment starts where the kept ones before it end.
 
     With ``fill_gaps`` (the original behaviour) it also starts there if there was a gap.
     Segments that end no later than that are dropped.  Null bounds are dropped.
+    ``bucket`` splits a long timeline: a value that never falls along the order (a span of
+    time).  Rows are then sorted within their bucket; what the buckets before it reached,
+    one small row each, is carried in.
     """
-    w = Window.partitionBy(key).orderBy(*order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    d = df.where(F.col(start).isNotNull() & F.col(end).isNotNull())
-    first = F.first(start).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    reached = F.greatest(F.max(end).over(before), first)
-    begin = F.coalesce(reached, F.col(start)) if fill_gaps else F.greatest(F.col(start), F.max(end).over(before))
-    return d.withColumn("fixed_start", begin).where(F.col("fixed_start") < F.col(end)).withColumn("fixed_end", F.col(end))
+    d = df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("_b", F.lit(0) if bucket is None else bucket)
+    per = d.groupBy(key, "_b").agg(F.max(end).alias("_m"), F.min(F.struct(*order, F.col(start).alias("_s"))).alias("_f"))
+    along = Window.partitionBy(key).orderBy("_b")
+    carry = F.max("_m").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry")
+    first = F.first("_f._s").over(along.rowsBetween(Window.unboundedPreceding, 0)).alias("_first")
+    d = attach(d, per.select(key, "_b", carry, first), [key, "_b"])
+    before = Window.partitionBy(key, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    last = F.greatest(F.max(end).over(before), "_carry")
+    begin = F.greatest(last, "_first") if fill_gaps else F.greatest(F.col(start), last)
+    d = d.withColumn("fixed_start", begin).where(F.col("fixed_start") < F.col(end)).withColumn("fixed_end", F.col(end))
+    return d.drop("_b", "_carry", "_first")
 
 
 def decibel(x: Column, factor: float) -> Column:
@@ -66,6 +79,42 @@ def clip_metrics(samples: DataFrame, clip: str, y: str) -> DataFrame:
     return d.withColumns({"snr_db": decibel(F.col("power") / (F.col("floor") + TINY), 10), "dynamic_range_db": decibel(F.col("peak") / (F.col("rms") + TINY), 20)})
 
 
+def audio_scores(decoded: DataFrame, has_music: Callable[[np.ndarray, int], bool] | None = None) -> DataFrame:
+    """Metrics and composite score of whole decoded clips (``path, samples, sample_rate``,
+    other columns are kept), computed on the sample arrays, a row per clip.
+
+    A clip of less than a second, an empty one included, has fixed metrics: silence 100,
+    all else 0, no music, clean, score 0.  ``has_music`` is the music detector's slot; by
+    default nothing is music.  Clips that could not be read have no row.
+    """
+    music = has_music or (lambda y, rate: False)
+    rest = [c for c in decoded.columns if c not in ("samples", "error")]
+    kept = ", ".join(f"`{c}` {decoded.schema[c].dataType.simpleString()}" for c in rest)
+    names = ["duration", "snr_db", "dynamic_range_db", "clipping_percentage", "silence_percentage", "has_background_music"]
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for samples, rate in zip(pdf["samples"], pdf["sample_rate"]):
+                y = np.asarray(samples, "f8")
+                seconds = len(y) / rate
+                if seconds < 1:
+                    out.append((seconds, 0.0, 0.0, 0.0, 100.0, False))
+                    continue
+                p, a = y * y, np.abs(y)
+                power, rms = float(p.mean()), float(np.sqrt(p.mean()))
+                with np.errstate(divide="ignore"):
+                    snr = 10 * np.log10(power / (np.percentile(p, 100 * FLOOR_PERCENTILE) + TINY))
+                    span = 20 * np.log10(a.max() / (rms + TINY))
+                out.append((seconds, float(snr), float(span), 100.0 * float((a > CLIPPED).mean()), 100.0 * float((a < SILENT).mean()), bool(music(y, int(rate)))))
+            yield pd.concat([pdf[rest].reset_index(drop=True), pd.DataFrame(out, columns=names)], axis=1)
+
+    d = decoded.where("samples is not null and sample_rate > 0").select(*rest, "samples")
+    d = d.mapInPandas(work, f"{kept}, duration double, snr_db double, dynamic_range_db double, clipping_percentage double, silence_percentage double, has_background_music boolean")
+    d = d.withColumn("is_clean", ~F.col("has_background_music"))
+    return d.withColumn("quality_score", clip_score(*[F.col(c) for c in ("snr_db", "sample_rate", "clipping_percentage", "silence_percentage", "dynamic_range_db", "duration", "is_clean")]))
+
+
 def clip_score(snr: Column, rate: Column, clipping: Column, silence: Column, span: Column, duration: Column, clean: Column) -> Column:
     """Composite 0 to 100.  A clip of less than a second scores 0."""
     above = lambda x, *steps: _steps(x, steps, lambda a, b: a > b)

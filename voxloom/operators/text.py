@@ -84,8 +84,9 @@ def most_frequent(w: Column) -> Column:
 
 
 def repetition_score(w: Column) -> Column:
-    n = F.nullif(F.size(w), F.lit(0))
-    score = F.greatest(F.size(F.array_distinct(w)) / n - F.least(most_frequent(w) / n * 3, F.lit(0.5)), F.lit(0.0))
+    n, kinds = F.nullif(F.size(w), F.lit(0)), F.size(F.array_distinct(w))
+    # most texts repeat no word: the pass over the sorted words is left to those that do
+    score = F.greatest(kinds / n - F.least(F.when(kinds == n, F.lit(1)).otherwise(most_frequent(w)) / n * 3, F.lit(0.5)), F.lit(0.0))
     return F.when(F.size(w) < 3, 1.0).otherwise(score)
 
 
@@ -100,7 +101,8 @@ def linguistic_complexity(t: Column, w: Column, p: Profile = PERSIAN) -> Column:
 
 def phonetic_coverage(t: Column, p: Profile = PERSIAN) -> Column:
     low = F.lower(t)
-    kinds = F.size(F.array_intersect(F.split(low, ""), F.array(*[F.lit(c) for c in p.letters]))) / len(p.letters)
+    letters = dict.fromkeys(p.letters)
+    kinds = sum((F.contains(low, F.lit(c)).cast("int") for c in letters), F.lit(0)) / len(p.letters)
     both = low.rlike(f"[{p.vowels}]") & low.rlike(f"[{p.consonants}]")
     return F.least(kinds + F.when(both, 0.2).otherwise(0.0), F.lit(1.0))
 
@@ -164,8 +166,8 @@ def has_text(t: Column) -> Column:
 
 # Marks removed and characters mapped before recognition is compared.
 EVAL_MARKS = "".join(chr(c) for c in (*range(0x64B, 0x660), 0x670))
-EVAL_FROM = "يكأإآؤئة" + "١٢٣٤٥٦٧٨٩٠" + "1234567890" + "«»؟؛،٬٫﴾﴿"
-EVAL_TO = "یکاااویه" + "۱۲۳۴۵۶۷۸۹۰" + "۱۲۳۴۵۶۷۸۹۰" + "\"\"?;,,.()"
+EVAL_FROM = "يكةأإآؤئ" + "١٢٣٤٥٦٧٨٩٠" + "1234567890" + "«»؟؛،٬٫﴾﴿"
+EVAL_TO = "یکهاااوی" + "۱۲۳۴۵۶۷۸۹۰" + "۱۲۳۴۵۶۷۸۹۰" + "\"\"?;,,.()"
 EVAL_DROP = "ء‌‍ـ"
 EVAL_SCRIPT = r"\x{600}-\x{6ff}\x{750}-\x{77f}\x{8a0}-\x{8ff}\x{fb50}-\x{fdff}\x{fe70}-\x{feff}"
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,11 +22,6 @@ def is_valid(a: Column, dim: int) -> Column:
     return F.coalesce((F.size(a) == dim) & fine & F.exists(a, lambda x: x != 0), F.lit(False))
 
 
-def unit(a: Column) -> Column:
-    """Vector of length 1; a zero vector stays as it is."""
-    return F.transform(a, lambda x: x.cast("double") / F.when(norm(a) > 0, norm(a)).otherwise(1.0))
-
-
 def with_unit(df: DataFrame, vector: str, name: str = "unit") -> DataFrame:
     """``unit`` with the norm computed once per row."""
     d = df.withColumn("_n", norm(F.col(vector)))
@@ -41,37 +38,41 @@ def rescaled(cos: Column) -> Column:
     return F.round((cos + 1) / 2, 4)
 
 
-def elementwise(df: DataFrame, group: list[str], vector: str, dim: int, how) -> DataFrame:
-    """Aggregate each position of the vectors of a group: ``how(column)`` per position.
+def positions(df: DataFrame, group: list[str], vector: str, **how: Callable[[Column], Column]) -> DataFrame:
+    """Aggregates of each position of the vectors of a group, as arrays in the order of the
+    positions.  The values are combined per task before the shuffle, so a group that holds
+    many vectors sends no more than one that holds few."""
+    each = df.select(*group, F.posexplode(vector).alias("_pos", "_x"))
+    per = each.groupBy(*group, "_pos").agg(*[f(F.col("_x").cast("double")).alias(n) for n, f in how.items()])
+    rows = per.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_pos", *how))).alias("_a"))  # as long as a vector
+    return rows.select(*group, *[F.col("_a").getField(n).alias(n) for n in how])
+
 
-    All positions are aggregated side by side in one pass, without exploding.
-    """
-    aggs = [how(F.element_at(vector, i + 1).cast("double")).alias(f"_v{i}") for i in range(dim)]
-    return df.groupBy(*group).agg(*aggs, F.count("*").alias("n")).select(*group, "n", F.array(*[F.col(f"_v{i}") for i in range(dim)]).alias("centroid"))
+def elementwise(df: DataFrame, group: list[str], vector: str, dim: int, how) -> DataFrame:
+    """``group, n, centroid``: ``how(column)`` of each position of a group's vectors."""
+    return positions(df, group, vector, centroid=how, _n=lambda x: F.count(F.lit(1))).select(*group, F.element_at("_n", 1).alias("n"), "centroid")
 
 
 def weighted_centroids(df: DataFrame, group: list[str], vector: str, weight: str, dim: int, min_samples: int = 2) -> DataFrame:
     """Weighted mean of unit vectors, brought to length 1; groups of fewer samples are left out."""
-    u = with_unit(df, vector, "_u")
     w = F.col(weight).cast("double")
-    total = F.sum(w)
-    c = elementwise(u, group, "_u", dim, lambda x: F.sum(x * w) / F.nullif(total, F.lit(0.0)))
-    mean = u.groupBy(*group).agg(F.avg(weight).alias("avg_confidence"))
-    return with_unit(c.where(F.col("n") >= min_samples), "centroid", "centroid_unit").join(mean, group).drop("centroid").withColumnRenamed("centroid_unit", "centroid")
+    # the mean's direction does not depend on the weights' sum, but a sum of 0 has none
+    u = with_unit(df, vector, "_u").withColumn("_u", F.transform("_u", lambda x: x * w))
+    mean = df.groupBy(*group).agg(F.avg(weight).alias("avg_confidence"), F.sum(w).alias("_w"), F.count("*").alias("n")).where(F.col("n") >= min_samples)
+    c = positions(u, group, "_u", _c=F.sum).join(mean, group)
+    c = c.withColumn("_c", F.transform("_c", lambda x: x / F.nullif(F.col("_w"), F.lit(0.0))))
+    return with_unit(c, "_c", "centroid").select(*group, "n", "avg_confidence", "centroid")
 
 
 def outliers(df: DataFrame, group: str, identifier: str, vector: str, dim: int, limit: float = 3.0, min_left: int = 10) -> DataFrame:
     """``group, identifier, max_z, outlier``: any position further than ``limit`` population
     standard deviations from its group's mean.  Positions that do not vary mark nobody; if
     ``min_left`` or fewer would be left in a group, none of it is an outlier."""
-    stats = df.groupBy(group).agg(
-        F.array(*[F.avg(F.element_at(vector, i + 1).cast("double")) for i in range(dim)]).alias("_m"),
-        F.array(*[F.stddev_pop(F.element_at(vector, i + 1).cast("double")) for i in range(dim)]).alias("_s"),
-    )
+    stats = positions(df, [group], vector, _m=F.avg, _s=F.stddev_pop)
     z = F.zip_with(F.zip_with(vector, "_m", lambda x, m: F.abs(x.cast("double") - m)), "_s", lambda d, s: F.when(s > 1e-12, d / s).otherwise(0.0))
     d = df.join(stats, group).select(group, identifier, F.array_max(z).alias("max_z"))
-    left = F.sum((F.col("max_z") <= limit).cast("int")).over(Window.partitionBy(group))
-    return d.withColumn("outlier", (F.col("max_z") > limit) & (left > min_left))
+    left = d.groupBy(group).agg(F.count_if(F.col("max_z") <= limit).alias("_left"))
+    return d.join(left, group).select(group, identifier, "max_z", ((F.col("max_z") > limit) & (F.col("_left") > min_left)).alias("outlier"))
 
 
 def nearest_centroid(points: DataFrame, centroids: DataFrame, group: str, point: str, vector: str, label: str, centroid: str) -> DataFrame:

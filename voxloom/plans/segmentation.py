@@ -41,6 +41,11 @@ def intervals(spark, d):
     return s.withColumn("s", F.col("audio_book_time")).withColumn("e", F.col("audio_book_time") + F.col("final_duration") * 1000)
 
 
+def span():
+    """Spans of a book's time, so that a book with very many segments is sorted in parts."""
+    return F.floor(F.col("s") / 600_000)
+
+
 INTERVALS = "SELECT segment_id, title_index, processing_timestamp, audio_book_time AS s, audio_book_time + final_duration * 1000 AS e FROM segments"
 
 
@@ -48,14 +53,14 @@ INTERVALS = "SELECT segment_id, title_index, processing_timestamp, audio_book_ti
       first_value(s) OVER (PARTITION BY title_index ORDER BY s, segment_id, processing_timestamp)) AS fixed FROM i)
     SELECT segment_id, processing_timestamp, round(fixed, 6) AS fixed_start, round(e, 6) AS fixed_end FROM w WHERE fixed < e""")
 def timeline_repair(spark, d):
-    r = S.repair_timeline(intervals(spark, d), "title_index", "s", "e", ["s", "segment_id", "processing_timestamp"])
+    r = S.repair_timeline(intervals(spark, d), "title_index", "s", "e", ["s", "segment_id", "processing_timestamp"], bucket=span())
     return r.select("segment_id", "processing_timestamp", F.round("fixed_start", 6).alias("fixed_start"), F.round("fixed_end", 6).alias("fixed_end"))
 
 
 @query(f"""WITH i AS ({INTERVALS}), w AS (SELECT *, greatest(s, max(e) OVER (PARTITION BY title_index ORDER BY s, segment_id, processing_timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS fixed FROM i)
     SELECT segment_id, processing_timestamp, round(fixed, 6) AS fixed_start, round(e, 6) AS fixed_end FROM w WHERE fixed < e""")
 def timeline_repair_overlaps_only(spark, d):
-    r = S.repair_timeline(intervals(spark, d), "title_index", "s", "e", ["s", "segment_id", "processing_timestamp"], fill_gaps=False)
+    r = S.repair_timeline(intervals(spark, d), "title_index", "s", "e", ["s", "segment_id", "processing_timestamp"], fill_gaps=False, bucket=span())
     return r.select("segment_id", "processing_timestamp", F.round("fixed_start", 6).alias("fixed_start"), F.round("fixed_end", 6).alias("fixed_end"))
 
 
@@ -166,4 +171,5 @@ def boundary_extension(spark, d):
 @query("""SELECT title_index, segment_id, processing_timestamp, (row_number() OVER (PARTITION BY title_index ORDER BY audio_book_time, segment_id, processing_timestamp) - 1)::INT AS segment_number FROM segments""")
 def segment_numbering(spark, d):
     s = table(spark, d, "segments", "title_index", "segment_id", "processing_timestamp", "audio_book_time")
-    return number_within(s, "title_index", ["audio_book_time", "segment_id", "processing_timestamp"], "segment_number").drop("audio_book_time")
+    n = number_within(s, "title_index", ["audio_book_time", "segment_id", "processing_timestamp"], "segment_number", F.floor(F.col("audio_book_time") / 600_000))
+    return n.withColumn("segment_number", F.col("segment_number").cast("int")).drop("audio_book_time")

@@ -17,11 +17,11 @@ def embeddings(spark, d):
     """Valid vectors, a segment once, with a confidence derived from its number."""
     e = table(spark, d, "segment_embeddings").where(V.is_valid(F.col("embedding"), DIM))
     e = keep_last(e.select("segment_id", "embedding", "title_index", "speaker_id", "final_duration_ms", "extracted_at"), ["segment_id"], [F.col("extracted_at"), F.col("title_index"), F.col("speaker_id")])
-    return e.withColumn("confidence", F.round(0.4 + 0.6 * (F.col("segment_id") % 7) / 7, 6))
+    return e.withColumn("confidence", F.round((F.col("segment_id") % 11 + F.col("speaker_id") % 3) / 12, 6))
 
 
 OK = "embedding IS NOT NULL AND len(embedding) = 96 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
-VALID = f"""SELECT *, round(0.4 + 0.6 * (segment_id % 7) / 7, 6)::DOUBLE AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY extracted_at DESC, title_index DESC, speaker_id DESC) AS k
+VALID = f"""SELECT *, round((segment_id % 11 + speaker_id % 3) / 12.0::DOUBLE, 6)::DOUBLE AS confidence FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY extracted_at DESC, title_index DESC, speaker_id DESC) AS k
     FROM (SELECT segment_id, embedding::DOUBLE[] AS embedding, title_index, speaker_id, extracted_at FROM segment_embeddings WHERE {OK})) WHERE k = 1"""
 LONG = f"SELECT segment_id, title_index, speaker_id, confidence, unnest(embedding) AS x, unnest(range(96)) AS pos FROM ({VALID})"
 
@@ -81,9 +81,9 @@ def nearest_centroid(spark, d):
     return n.withColumn("confidence", F.round("confidence", 4))
 
 
-@query(f"""WITH h AS (SELECT * FROM ({VALID}) WHERE confidence >= 0.4), n AS (SELECT title_index, speaker_id, count(*) AS n FROM h GROUP BY 1, 2),
-    k AS (SELECT title_index, speaker_id FROM (SELECT *, sum(n) OVER (PARTITION BY title_index) AS a, count(*) OVER (PARTITION BY title_index) AS c FROM n) WHERE n >= greatest(2, floor(a / c)))
-    SELECT segment_id, title_index, speaker_id, (dense_rank() OVER (PARTITION BY title_index ORDER BY speaker_id) - 1)::INT AS new_speaker_id FROM h JOIN k USING (title_index, speaker_id)""")
+@query(f"""WITH e AS ({VALID}), n AS (SELECT title_index, speaker_id, count(*) FILTER (confidence >= 0.4) AS n FROM e GROUP BY 1, 2),
+    k AS (SELECT title_index, speaker_id FROM (SELECT *, sum(n) OVER (PARTITION BY title_index) AS a, count(*) OVER (PARTITION BY title_index) AS c FROM n) WHERE n >= greatest(2, floor(a * (1.0::DOUBLE / c))))
+    SELECT segment_id, title_index, speaker_id, (dense_rank() OVER (PARTITION BY title_index ORDER BY speaker_id) - 1)::INT AS new_speaker_id FROM e JOIN k USING (title_index, speaker_id) WHERE confidence >= 0.4""")
 def speaker_prune(spark, d):
     return C.prune_speakers(embeddings(spark, d), "title_index", "speaker_id", "confidence").select("segment_id", "title_index", "speaker_id", "new_speaker_id")
 

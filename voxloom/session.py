@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -32,13 +33,16 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder for intermediate tables.
 
-    It lies in ``spark.checkpoint.dir``, which every executor sees.  Only where that
-    is unset, as in tests, is a temporary folder of this machine taken.
+    It lies in ``spark.checkpoint.dir``, which every executor sees.  Where that is unset, a
+    local session takes a temporary folder of this machine; a session with executors of
+    its own is refused, since each of them would write where the others cannot read.
     """
     app = spark.sparkContext.applicationId
     if app not in _spaces:
         base = spark.conf.get("spark.checkpoint.dir", "") or ""
         if not base:
+            if not re.match(r"local($|\[)", spark.sparkContext.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="voxloom-")
             _private.append(base[7:])
         _spaces[app] = f"{base.rstrip('/')}/voxloom-{app}-{uuid.uuid4().hex[:8]}"

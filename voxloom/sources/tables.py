@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from voxloom.operators.sequence import first_seen_index, keep_last
+from voxloom.operators.incremental import pending
+from voxloom.operators.sequence import first_seen_index
 
 # Required columns of a catalog.
 REQUIRED = ("title", "narrator", "audio_path")
@@ -39,11 +40,39 @@ def read_catalog(spark: SparkSession, path: str, root: str = "") -> DataFrame:
     return catalog(raw, root)
 
 
-def read_stage(spark: SparkSession, pattern: str, schema: str | StructType, name_column: str | None = None) -> DataFrame:
+def read_stage(
+    spark: SparkSession, pattern: str, schema: str | StructType, name_column: str | None = None, recursive: bool = True, completed: DataFrame | None = None, required: str | None = None
+) -> DataFrame:
     """CSV files of a stage under one schema; the folder's name becomes a column if asked
-    for.  Unreadable files are skipped, empty text is null."""
-    d = spark.read.option("header", True).option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).option("multiLine", True).option("escape", '"').schema(schema).csv(pattern)
-    return d.withColumn(name_column, F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)) if name_column else d
+    for.  Unreadable files are skipped, empty text is null.
+
+    ``recursive`` looks at all depths below the path, otherwise the pattern itself says
+    which files are meant (``*/name.csv``: one level).  Folders named in ``completed`` (a
+    column ``name_column``) and rows whose ``required`` column is null are left out.
+    """
+    d = spark.read.option("header", True).option("recursiveFileLookup", recursive).option("ignoreCorruptFiles", True).option("multiLine", True).option("escape", '"').schema(schema).csv(pattern)
+    if name_column:
+        d = d.withColumn(name_column, F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1))
+    if completed is not None:
+        d = pending(d, completed, [name_column])
+    return d.dropna(subset=[required]) if required else d
+
+
+def union_tables(*tables: DataFrame) -> DataFrame:
+    """All rows of tables whose columns may differ; what a table lacks is null."""
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t, allowMissingColumns=True)
+    return out
+
+
+def embedding_tables(spark: SparkSession, root: str) -> DataFrame:
+    """``folder, path``: of each folder's CSV files whose name contains "embedding" and not
+    "backup", the first by name.  Only the listing is read, no file."""
+    d = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root).select("path")
+    name = F.lower(F.regexp_extract("path", r"([^/]+)$", 1))
+    d = d.where(F.contains(name, F.lit("embedding")) & ~F.contains(name, F.lit("backup")))
+    return d.groupBy(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder")).agg(F.min("path").alias("path"))
 
 
 def read_samples(spark: SparkSession, path: str, key: list[str] | None = None) -> DataFrame:
@@ -72,25 +101,26 @@ def segment_rows(df: DataFrame, path: str = "segment_path", text: str = "final_t
     return df.withColumn(path, F.when(has_text(F.col(text)), F.col(path)))
 
 
-def merge_into(spark: SparkSession, path: str, new: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
-    """Upsert into a parquet table: the last row of each key stays.
-
-    The new state is written beside the old one and takes its name by a rename, so a reader
-    never sees half of it.
-    """
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    target, fresh, old = fs_path(path), fs_path(path + ".new"), fs_path(path + ".old")
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    state = new if not fs.exists(target) else spark.read.schema(new.schema).parquet(path).unionByName(new)
-    keep_last(state, key, order).write.mode("overwrite").parquet(path + ".new")
-    if fs.exists(target):
-        fs.delete(old, True)
-        fs.rename(target, old)
-    fs.rename(fresh, target)
-    fs.delete(old, True)
-    return spark.read.schema(new.schema).parquet(path)
-
-
 def write_manifest(df: DataFrame, path: str, single_file: bool = False) -> None:
     """The release as CSV; one file only where the reader needs it."""
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_outputs(df: DataFrame, path: str) -> None:
+    """An evaluation's rows as CSV with a header, replacing what an earlier run wrote."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_labels(local: DataFrame, global_: DataFrame, summary: DataFrame, root: str, by: str) -> None:
+    """Both label trees, a folder per book each, and the table of global speakers."""
+    write_partitioned(local, f"{root}/local", by, "overwrite")
+    write_partitioned(global_, f"{root}/global", by, "overwrite")
+    summary.write.mode("overwrite").parquet(f"{root}/speakers")
+
+
+def master_table(parts: DataFrame, key: str = "file_path", order: list[str] | None = None, folder: str = "audiobook_folder", name: str = "filename") -> DataFrame:
+    """One table of all per-folder results: the first row of each key, sorted by folder and
+    file name."""
+    from voxloom.operators.sequence import keep_first
+
+    return keep_first(parts, [key], [F.col(c) for c in order or [folder, name]]).orderBy(folder, name)

@@ -10,13 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from voxloom.sources.tables import merge_into
+from voxloom.sources.state import merge_into, read_state
 
 KEY = ["user_id", "audio_index", "question"]
 EVENT = "user_id long, audio_index int, question string, score double, kind string, at timestamp"
+RATED = "user_id long, audio_index int, question string, score double, at timestamp"
 SESSION = "user_id long, answered int, cursor int, scores map<string,double>, last_at timestamp"
 
 
+def _order() -> list:
+    return [F.col("at"), F.col("score")]
+
+
 def rating_events(spark: SparkSession, path: str, schema: str = EVENT, per_trigger: int = 8) -> DataFrame:
     """Events from the files of a folder, some files at a time."""
     reader: DataStreamReader = spark.readStream
@@ -30,16 +35,21 @@ def allowed(question, score):
 
 
 def run_upsert(events: DataFrame, path: str, checkpoint: str):
-    """Merge each batch into the ratings table at ``path``; a repeated batch changes
-    nothing, since the last score of a key stays."""
+    """Merge each batch into the ratings at ``path`` (see ``read_ratings``); a repeated batch
+    changes nothing, since the last score of a key stays.  A batch costs what it holds."""
 
     def merge(batch: DataFrame, _: int) -> None:
         new = batch.where((F.col("kind") == "rate") & allowed(F.col("question"), F.col("score"))).select(*KEY, "score", "at")
-        merge_into(batch.sparkSession, path, new, KEY, [F.col("at"), F.col("score")])
+        merge_into(batch.sparkSession, path, new, KEY, _order())
 
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def read_ratings(spark: SparkSession, path: str) -> DataFrame:
+    """The last score of every rater, item and question merged so far."""
+    return read_state(spark, path, RATED, KEY, _order())
+
+
 def fold_session(state: tuple | None, events: pd.DataFrame) -> tuple:
     """A rater's session after further events: scores, cursor, time.
 
