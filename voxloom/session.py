@@ -49,12 +49,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _spaces[app]
 
 
-def materialize(df: DataFrame, label: str = "t") -> DataFrame:
+def materialize(df: DataFrame, label: str = "t", by: str | None = None) -> DataFrame:
     """Write a DataFrame to the shared folder and read it back: lineage ends here, and
-    a lost executor costs a read of that file instead of the work behind it."""
+    a lost executor costs a read of that file instead of the work behind it.  ``by`` makes
+    a folder per value of a column, so that a filter on it reads no other."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
