@@ -122,11 +122,50 @@ def test_consensus_finds_the_useless(spark):
             rows.append((u, int(i), "q", float(s)))
     cons, rel, agree = consensus.consensus(spark.createDataFrame(rows, "user_id long, audio_index int, question string, score double"))
     r = {x.user_id: x.reliability for x in rel.collect()}
-    assert {u for u, x in r.items() if x < 0.4} == set(range(6))
+    assert {u for u, x in r.items() if x < entries.MIN_RELIABILITY} == set(range(6))
+    assert {x.user_id for x in rel.collect() if x.correlation < 0.4} == set(range(6))  # seen from the others' scores it is the same
     right = [abs(x.consensus_score - truth[x.audio_index]) for x in cons.collect()]
     assert np.mean(np.array(right) < 0.75) > 0.9 and 0 < agree.first().alpha < 1
 
 
+def some_labels(spark, n=40):
+    rng = np.random.default_rng(1)
+    rows = [(u, i, int(np.clip(i % 5 + rng.integers(-1, 2), 0, 4)) if u % 4 else int(rng.integers(0, 5))) for u in range(10) for i in range(n) if rng.random() < 0.6]
+    return spark.createDataFrame(rows, "rater long, item long, k int")
+
+
+def test_the_dual_rises_and_settles(spark):
+    fit = consensus.Fit(some_labels(spark)).ascend(1e-4)
+    assert len(fit.dual) > 3 and all(b >= a - 1e-9 for a, b in zip(fit.dual, fit.dual[1:]))
+    assert fit.dual[-1] - fit.dual[-2] < 1e-4 * fit.n_labels
+    with pytest.raises(RuntimeError):
+        consensus.Fit(some_labels(spark)).ascend(0.0, 2)
+
+
+def test_the_dual_is_what_it_says(spark):
+    labels = some_labels(spark, 12)
+    fit = consensus.Fit(labels)
+    fit.item_step()
+    items = {r.item: (np.array(r.q), np.array(r.t)) for r in fit.items.collect()}
+    raters = {r.rater: np.array(r.s) for r in fit.raters.collect()}
+    want = 0.0
+    for r in labels.collect():
+        z = (raters[r.rater] + items[r.item][1]).reshape(5, 5)
+        want += items[r.item][0] @ (z - np.log(np.exp(z).sum(axis=1, keepdims=True)))[:, r.k]
+    want -= sum((q * np.log(q)).sum() + 0.5 * fit.item_penalty * (t**2).sum() for q, t in items.values())
+    want -= sum(0.5 * fit.rater_penalty * (s**2).sum() for s in raters.values())
+    assert abs(fit.rater_step() - want) < 1e-6
+
+
+def test_chunks_and_joined_raters_change_nothing(spark):
+    labels = some_labels(spark)
+    fits = [consensus.Fit(labels, **how).ascend(1e-3) for how in ({}, {"chunk": 3}, {"few_raters": 0, "chunk": 4})]
+    first = {r.rater: r.s for r in fits[0].raters.collect()}
+    for f in fits[1:]:
+        assert np.allclose(f.dual, fits[0].dual)
+        assert all(np.allclose(r.s, first[r.rater]) for r in f.raters.collect())
+
+
 def test_snapshots(spark):
     rows = [(1, '{"3_naturalness": "۳٫۵", "3_similarity": 9, "x": 2}', 1), (1, '{"3_naturalness": 4', 9), (1, "", 8), (1, None, 7), (2, "{}", 5), (2, '{"1_text_match": null}', 6), (3, '{"1_text_match": "4.5", "2_text_match": true}', 1)]
     d = spark.createDataFrame(rows, "user_id long, scores string, saved_at int").withColumn("question", F.lit(0))
