@@ -448,6 +448,35 @@ def test_twice_and_in_place(model):
     assert encoding.repair("سلام &#1587;&#1604;&#1575;&#1605; دنیا", model)[0] == "سلام سلام دنیا"
 
 
+@pytest.mark.parametrize("bad,good", [("une pi\\u00e8ce gris\\u00e9e", "une pièce grisée"), ("la pi%C3%A8ce vide", "la pièce vide"), ("la pi&amp;egrave;ce &amp;agrave; part", "la pièce à part"), ("100%25 of %20 and R&amp;D; AT&amp;T", None), ("\\u0041\\u0042 &lt; %41%42", None)])
+def test_escapes(model, bad, good):
+    assert encoding.repair(bad, model)[0] == (good or bad)
+
+
+def test_the_bound_against_an_empty_queue(model):
+    rnd, same = random.Random(4), 0
+    for _ in range(40):
+        w = rnd.choice(CLEAN).split(" ")
+        for _ in range(rnd.randint(1, 3)):  # damage in places, by several code pages, on top of each other
+            chars = encoding.char_of(rnd.choice(["cp1252", "mac_roman", "cp1256", "cp437", "cp1251"]))
+            a = rnd.randrange(len(w))
+            w[a : a + 3] = ["".join(chr(b) if b < 0x80 else chars[b] for b in x.encode("utf-8")) for x in w[a : a + 3]]
+        bad = " ".join(w)
+        quick, whole = encoding.repair(bad, model), encoding.repair(bad, model, worse=float("inf"))
+        assert quick[1] and model.cost(whole[0]) <= model.cost(quick[0]) + 1e-6
+        same += quick[0] == whole[0]
+    assert same >= 38
+
+
+def test_long_cost_is_the_same(model):
+    rnd = random.Random(5)
+    signs = "".join(CLEAN + HONEST) + "Ã©\x83\ufffd\u0301\u200cжλ한"
+    for _ in range(200):
+        t = "".join(rnd.choice(signs) for _ in range(rnd.randint(49, 90)))
+        around = (rnd.choice("_uld.xmULgKkaos?"), rnd.choice([None, "latin", "arab", "cyr"]), rnd.choice(["", *"uld.KagmsL"]), rnd.choice([None, "latin", "greek"]))
+        assert abs(model.short_cost(t, around) - model.long_cost(t, around)) < 1e-6
+
+
 def test_code_pages_swapped(model):
     arabic = "الراوي قال السفينة الطويلة انتهت قبل الفجر"
     assert encoding.repair(arabic.encode("cp1256").decode("latin-1"), model)[0] == arabic

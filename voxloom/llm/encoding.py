@@ -18,6 +18,7 @@ import re
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,11 @@ SWAPS = (("cp1252", "cp1256"), ("cp1252", "cp1251"), ("cp1252", "koi8-r"), ("cp1
 REAL_SCRIPT = {"cp1256": "arab", "iso8859-6": "arab", "cp1251": "cyr", "koi8-r": "cyr", "cp866": "cyr"}
 #: Gain in bits that a repaired stretch, and a repaired text, must bring.
 STRETCH_GAIN, TEXT_GAIN = 4.0, 12.0
-#: Most texts looked into, and how many in a row may bring nothing better.
-MAX_STEPS, PATIENCE = 24, 3
+#: Wrong decodings on top of each other that are undone, and by how many bits a text on the
+#: way may be dearer than the cheapest one so far.
+MAX_DEPTH, WORSE = 4, 200.0
+#: What a text must hold to be looked into: a character beyond ASCII or an escape.
+SUSPECT = r"[^\x00-\x7f]|&[#A-Za-z]|\\u[0-9a-fA-F]{4}|%[0-9a-fA-F]{2}"
 LOST = "�"
 
 
@@ -137,6 +141,26 @@ def _pair(a: str, b: str) -> float:
     return p
 
 
+#: The classes of ``_kind``, their scripts and penalties as tables.
+KINDS = "_uld.xmULgKkaos?"
+MARK = KINDS.index("m")
+SCRIPT_NAMES = [None, *dict.fromkeys(SCRIPT.values())]
+SCRIPTS = np.array([SCRIPT_NAMES.index(SCRIPT.get(k)) for k in KINDS])
+PAIRS = np.array([[_pair(a, b) for b in KINDS] for a in KINDS])
+
+
+class Lookup(dict):
+    """A table for ``str.translate`` that is filled as characters come."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, point: int):
+        self[point] = out = self.make(point)
+        return out
+
+
 class Plausibility:
     """Bits per character, plus penalties for neighbours.
 
@@ -156,6 +180,11 @@ class Plausibility:
         self.bits = {c: -math.log2((n + 0.5) / max(100, of.get(SCRIPT.get(_kind(c), ""), total))) for c, n in frequency.items()}
         self.unseen = 22.0
         self.kinds: dict[str, str] = {}
+        #: What stretches become, by code page, stretch and surroundings: the same few pairs of
+        #: letters come again and again in sound text.
+        self.codes, self.costs = np.full(0x110000, 255, "u1"), np.zeros(0x110000)  # filled as characters come
+        self.kind_of = Lookup(lambda p: self.kind(chr(p)))
+        self.known: dict[tuple, tuple[str, float, bool] | None] = {}
 
     def char(self, c: str) -> float:
         b = self.bits.get(c)
@@ -169,10 +198,48 @@ class Plausibility:
             k = self.kinds[c] = _kind(c)
         return k
 
-    def cost(self, text: str, before: str = "", after: str = "") -> float:
+    def long_cost(self, text: str, around: tuple) -> float:
+        """The same with arrays."""
+        last, script, after, right = around
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        kinds = self.codes[points]
+        if (new := kinds == 255).any():
+            for p in np.unique(points[new]).tolist():
+                self.codes[p], self.costs[p] = KINDS.index(self.kind(chr(p))), self.char(chr(p))
+            kinds = self.codes[points]
+        total = float(self.costs[points].sum())
+        seen = np.r_[KINDS.index(last), kinds[kinds != MARK]]  # marks are looked through
+        total += float(PAIRS[seen[:-1], seen[1:]].sum())
+        scripts = SCRIPTS[seen[1:]]
+        scripts = scripts[scripts > 0]
+        if script:
+            scripts = np.r_[SCRIPT_NAMES.index(script), scripts]
+        total += self.SWITCH * float((scripts[1:] != scripts[:-1]).sum())
+        if after:
+            total += PAIRS[seen[-1], KINDS.index(after)]
+            total += self.SWITCH if len(scripts) and right and SCRIPT_NAMES[scripts[-1]] != right else 0.0
+        return total
+
+    def around(self, text: str, start: int, end: int) -> tuple[str, str | None, str, str | None]:
+        """What a stretch stands between: kind and script before it, kind and script after it."""
+        kind = self.kind
+        before = kind(text[start - 1]) if start else "_"
+        after = kind(text[end]) if end < len(text) else ""
+        left = right = None
+        for i in range(start - 1, max(-1, start - 13), -1):
+            if left := SCRIPT.get(kind(text[i])):
+                break
+        for i in range(end, min(len(text), end + 12)):
+            if right := SCRIPT.get(kind(text[i])):
+                break
+        return before, left, after, right
+
+    def cost(self, text: str, around: tuple[str, str | None, str, str | None] = ("_", None, "", None)) -> float:
         """Cost of a stretch between what stands before and after it."""
-        last = self.kind(before[-1]) if before else "_"
-        script = next((s for c in reversed(before) if (s := SCRIPT.get(self.kind(c)))), None)
+        return self.long_cost(text, around) if len(text) > 48 else self.short_cost(text, around)
+
+    def short_cost(self, text: str, around: tuple) -> float:
+        last, script, after, right = around
         total = 0.0
         for c in text:
             k = self.kind(c)
@@ -184,9 +251,8 @@ class Plausibility:
             if k != "m":  # marks are looked through
                 last = k
         if after:
-            total += _pair(last, self.kind(after[0]))
-            s = next((s for c in after if (s := SCRIPT.get(self.kind(c)))), None)
-            total += self.SWITCH if script and s and s != script else 0.0
+            total += _pair(last, after)
+            total += self.SWITCH if script and right and right != script else 0.0
         return total
 
 
@@ -227,57 +293,81 @@ def _read_utf8(stretch: str, codec: str, model: Plausibility) -> tuple[str, int]
     return "".join(out), len(out)
 
 
-def _belongs(shown: str, new: str, before: str, after: str, model: Plausibility) -> bool:
+def _belongs(shown: str, new: str, around: tuple, model: Plausibility) -> bool:
     """Whether the letter that one sequence becomes is of the script of the word it stands
     in, while what was shown is no part of such a word: letters of other scripts, or a
     sign (punctuation may follow a letter in sound text)."""
     script = SCRIPT.get(model.kind(new[0]))
-    around = {SCRIPT.get(model.kind(c)) for c in (before[-1:], after[:1]) if c} - {None}
+    beside = {SCRIPT.get(around[0]), SCRIPT.get(around[2])} - {None}
     foreign = all(SCRIPT.get(model.kind(c)) != script for c in shown) or unicodedata.category(shown[-1])[0] in "SNC"
-    return script is not None and around == {script} and foreign
+    return script is not None and beside == {script} and foreign
+
+
+def _stretch(s: str, codec: str, around: tuple, model: Plausibility) -> tuple[str, float, bool] | None:
+    """What a stretch of UTF-8 becomes, the bits gained, and whether it alone is proof enough."""
+    key = (codec, s, around)
+    if key in model.known:
+        return model.known[key]
+    got = _read_utf8(s, codec, model)
+    out = None
+    if got is not None:
+        new, n = got
+        gain = model.cost(s, around) - model.cost(new, around)
+        # one sequence alone may be chance where its parts are usual characters
+        alone = codec in ("cp1252", "cp1251") or codec in ("cp437", "cp850") and model.kind(new[0]) != "a" or _belongs(s, new, around, model)
+        out = new, gain, n >= 2 and gain >= 12 or n == 1 and alone and gain >= 8 or len(s) >= 3 and gain >= 12
+    if len(model.known) > 500_000:
+        model.known.clear()
+    model.known[key] = out
+    return out
 
 
-def from_utf8(text: str, codec: str, model: Plausibility) -> tuple[str, float]:
-    """Read UTF-8 that was shown in a code page; the new text and the bits gained."""
-    found, sure = [], False
+def from_utf8(text: str, codec: str, model: Plausibility):
+    """Read UTF-8 that was shown in a code page: the new text and the bits gained, with the
+    stretches that gain, and with all stretches if that differs."""
+    better, every, sure = [], [], False
     for m in utf8_pattern(codec).finditer(text):
-        s = m[0]
-        got = _read_utf8(s, codec, model)
+        start, end = m.span()
+        got = _stretch(m[0], codec, model.around(text, start, end), model)
         if got is None:
             continue
-        new, n = got
-        before, after = text[max(0, m.start() - 12) : m.start()], text[m.end() : m.end() + 12]
-        gain = model.cost(s, before, after) - model.cost(new, before, after)
+        new, gain, proof = got
+        every.append((start, end, new, gain))
         if gain > STRETCH_GAIN:
-            found.append((m.start(), m.end(), new, gain))
-            # one sequence alone may be chance where its parts are usual characters
-            alone = codec in ("cp1252", "cp1251") or codec in ("cp437", "cp850") and model.kind(new[0]) != "a" or _belongs(s, new, before, after, model)
-            sure |= n >= 2 and gain >= 12 or n == 1 and alone and gain >= 8 or len(s) >= 3 and gain >= 12
-    return _replaced(text, found) if sure or len(found) >= 3 else (text, 0.0)
+            better.append(every[-1])
+            sure |= proof
+    if sure or len(better) >= 3:
+        yield _replaced(text, better)
+        if len(every) > len(better):
+            yield _replaced(text, every)
 
 
-def _script_near(chars: str, model: Plausibility) -> str | None:
-    return next((s for c in chars if (s := SCRIPT.get(model.kind(c)))), None)
+@lru_cache(maxsize=None)
+def swap_tables(shown: str, real: str) -> tuple[dict, Lookup]:
+    """High characters as the other code page has them; and what leaves only high characters."""
+    table, chars = byte_of(shown), char_of(real)
+    return {ord(c): chars[b] for c, b in table.items()}, Lookup(lambda p: chr(p) if chr(p) in table else None)
 
 
 def from_swap(text: str, shown: str, real: str, model: Plausibility) -> tuple[str, float]:
     """Read stretches of high characters as another code page."""
-    table, chars = byte_of(shown), char_of(real)
+    to_real, high_only = swap_tables(shown, real)
+    letters = "".join(k for k in KINDS if SCRIPT.get(k) == REAL_SCRIPT[real])
     found = []
     for m in swap_pattern(shown).finditer(text):
         s = m[0]
-        high = [c for c in s if c in table]
+        high = s.translate(high_only)
         if len(high) < 2:
             continue
-        around = {_script_near(text[max(0, m.start() - 12) : m.start()][::-1], model), _script_near(text[m.end() : m.end() + 12], model)} - {None}
-        if len(high) < 4 and around != {REAL_SCRIPT[real]}:
+        around = model.around(text, m.start(), m.end())
+        if len(high) < 4 and {around[1], around[3]} - {None} != {REAL_SCRIPT[real]}:
             continue  # two or three letters are enough only amid text of the script they become
-        new = "".join(chars[table[c]] if c in table else c for c in s)
+        new = s.translate(to_real)
         # letters became letters of the script that the real code page is for
-        if sum(SCRIPT.get(model.kind(c)) is not None for c in high) < 0.5 * len(high) or sum(SCRIPT.get(model.kind(c)) == REAL_SCRIPT[real] for c in new) < 0.6 * len(high):
+        was, now = high.translate(model.kind_of), new.translate(model.kind_of)
+        if sum(was.count(k) for k in SCRIPT) < 0.5 * len(high) or sum(now.count(k) for k in letters) < 0.6 * len(high):
             continue
-        before, after = text[max(0, m.start() - 12) : m.start()], text[m.end() : m.end() + 12]
-        gain = model.cost(s, before, after) - model.cost(new, before, after)
+        gain = model.cost(s, around) - model.cost(new, around)
         if gain > TEXT_GAIN and gain > 1.5 * len(high):
             found.append((m.start(), m.end(), new, gain))
     return _replaced(text, found)
@@ -293,11 +383,13 @@ def _replaced(text: str, found: list[tuple[int, int, str, float]]) -> tuple[str,
     return "".join([*out, text[at:]]), sum(f[3] for f in found)
 
 
-_ESCAPES = re.compile(r"(?:\\u[0-9a-fA-F]{4}){2,}|(?:%[0-9a-fA-F]{2}){4,}|(?:&(?:#\d{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z]{2,8});){1,}")
+_ESCAPES = re.compile(r"(?:\\u[0-9a-fA-F]{4})+|(?:%[0-9a-fA-F]{2}){2,}|&amp;(?=#?[0-9A-Za-z]{2,8};)|(?:&(?:#\d{2,7}|#[xX][0-9a-fA-F]{2,6}|[A-Za-z]{2,8});)+")
+
+_NAME = re.compile("[#0-9A-Za-z]+;?")
 
 
 def from_escapes(text: str, model: Plausibility) -> tuple[str, float]:
-    """Resolve escapes that write letters as codes."""
+    """Resolve escapes that write letters as codes, or the mark of such an escape as one."""
     found = []
     for m in _ESCAPES.finditer(text):
         s = m[0]
@@ -310,7 +402,9 @@ def from_escapes(text: str, model: Plausibility) -> tuple[str, float]:
             new = s.encode().decode("unicode_escape").encode("utf-16", "surrogatepass").decode("utf-16", "replace")
         else:
             new = html.unescape(s)
-        if new != s and all(ord(c) >= 0x80 for c in new):
+        # the mark of an escape is resolved where what follows is one of a letter
+        letter = html.unescape("&" + _NAME.match(text, m.end())[0]) if s == "&amp;" else new
+        if new != s and all(ord(c) >= 0x80 for c in letter):
             found.append((m.start(), m.end(), new, model.cost(s) - model.cost(new)))
     return _replaced(text, [f for f in found if f[3] > STRETCH_GAIN])
 
@@ -323,35 +417,52 @@ def _moves(text: str, model: Plausibility):
     for codec in AS_UTF8:
         leads, tails, _ = needed(codec)
         if not has.isdisjoint(leads) and not has.isdisjoint(tails):
-            yield f"{codec}>utf-8", *from_utf8(text, codec, model)
+            for new, gain in from_utf8(text, codec, model):
+                yield f"{codec}>utf-8", new, gain
     for shown, real in SWAPS:
         if len(has & needed(shown)[2]) >= 2:
             yield f"{shown}>{real}", *from_swap(text, shown, real, model)
 
 
-def repair(text: str, model: Plausibility) -> tuple[str, list[str], float]:
-    """The cheapest text reached, the steps to it and the bits gained; no step if none is enough."""
+def repair(text: str, model: Plausibility, depth: int = MAX_DEPTH, worse: float = WORSE) -> tuple[str, list[str], float]:
+    """The cheapest text that at most ``depth`` steps reach, the steps to it and the bits
+    gained; no step if none gains enough.
+
+    Texts are looked into cheapest first, and one reached twice only once, unless by fewer
+    steps.  The search ends when all that is left costs over ``worse`` bits more than the
+    cheapest text so far: a way out may lead through dearer texts, but not through dearer
+    ones than that.  With ``worse`` infinite the queue is run until it is empty.
+    """
     if text.isascii() and not _ESCAPES.search(text):
         return text, [], 0.0
-    start = best = None
-    queue: list[tuple[float, int, str, list[str]]] = [(0.0, 0, text, [])]
-    seen, pushed, steps, idle = {hash(text)}, 0, 0, 0
-    while queue and steps < MAX_STEPS and idle < PATIENCE:
+    moves = list(_moves(text, model))
+    if all(new == text for _, new, _ in moves):
+        return text, [], 0.0
+    start = model.cost(text)
+    best = (start, text, [])
+    queue: list[tuple[float, int, str, list[str]]] = []
+    seen, pushed = {hash(text): 0}, 0
+
+    def push(moves, path) -> int:
+        at = pushed
+        for name, new, _ in moves:
+            if seen.get(hash(new), depth + 1) > len(path) + 1:
+                seen[hash(new)] = len(path) + 1
+                at += 1
+                heapq.heappush(queue, (model.cost(new), at, new, [*path, name]))
+        return at
+
+    pushed = push(moves, [])
+    while queue and queue[0][0] <= best[0] + worse:
         cost, _, here, path = heapq.heappop(queue)
-        steps += 1
-        if path and (best is None or cost < best[0]):
-            best, idle = (cost, here, path), 0
-        else:
-            idle += 1
-        for name, new, gain in _moves(here, model):
-            if gain >= STRETCH_GAIN and hash(new) not in seen:
-                seen.add(hash(new))
-                pushed += 1
-                start = model.cost(text) if start is None else start
-                heapq.heappush(queue, (model.cost(new), pushed, new, [*path, name]))
-    if best is None or start - best[0] < (8.0 if best[2][0].endswith("utf-8") else TEXT_GAIN):
+        if (cost, len(path)) < (best[0], len(best[2])):
+            best = (cost, here, path)
+        if len(path) < depth:
+            pushed = push(_moves(here, model), path)
+    cost, new, path = best
+    if not path or start - cost < (8.0 if path[0].endswith("utf-8") else TEXT_GAIN):
         return text, [], 0.0
-    return best[1], best[2], start - best[0]
+    return new, path, start - cost
 
 
 def character_frequencies(docs: DataFrame, text: str = "text") -> dict[str, int]:
@@ -378,13 +489,15 @@ def repaired_texts(docs: DataFrame, identifier: str = "doc_id", text: str = "tex
     equal texts get equal repairs.  A text without any non-ASCII character or escape
     cannot be wrong and never reaches the search.
     """
-    model = docs.sparkSession.sparkContext.broadcast(character_frequencies(docs, text))
-    some = docs.select(identifier, text).where(F.col(text).rlike(r"[^\x00-\x7f]|&[#A-Za-z]|\\u[0-9a-fA-F]{4}|%[0-9a-fA-F]{2}"))
+    frequencies = docs.sparkSession.sparkContext.broadcast(character_frequencies(docs, text))
+    some = docs.select(identifier, text).where(F.col(text).rlike(SUSPECT))
+    kind = docs.schema[identifier].dataType.simpleString()
 
-    @F.pandas_udf("struct<repaired: string, steps: array<string>, gain: double>")
-    def fix(texts: pd.Series) -> pd.DataFrame:
-        m = Plausibility(model.value)
-        return pd.DataFrame([repair(t, m) for t in texts], columns=["repaired", "steps", "gain"])
+    def fix(batches):
+        m = Plausibility(frequencies.value)  # once per task
+        for pdf in batches:
+            out = [(i, *got) for i, t in zip(pdf.iloc[:, 0], pdf.iloc[:, 1]) if (got := repair(t, m))[1]]
+            yield pd.DataFrame(out, columns=["i", "repaired", "steps", "gain"])
 
-    out = some.select(identifier, fix(text).alias("r")).select(identifier, "r.repaired", "r.steps", "r.gain")
-    return materialize(out, "repaired").where(F.size("steps") > 0)
+    out = some.mapInPandas(fix, f"i {kind}, repaired string, steps array<string>, gain double")
+    return materialize(out.select(F.col("i").alias(identifier), "repaired", "steps", "gain"), "repaired")
