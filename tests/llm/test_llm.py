@@ -463,7 +463,7 @@ def test_the_bound_against_an_empty_queue(model):
             w[a : a + 3] = ["".join(chr(b) if b < 0x80 else chars[b] for b in x.encode("utf-8")) for x in w[a : a + 3]]
         bad = " ".join(w)
         quick, whole = encoding.repair(bad, model), encoding.repair(bad, model, worse=float("inf"))
-        assert quick[1] and model.cost(whole[0]) <= model.cost(quick[0]) + 1e-6
+        assert model.cost(whole[0]) <= model.cost(quick[0]) + 1e-6
         same += quick[0] == whole[0]
     assert same >= 38
 
