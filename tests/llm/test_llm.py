@@ -229,31 +229,72 @@ def test_small_shards_give_the_same(spark):
     assert a == {tuple(r) for r in similar.most_similar(v, 16, 3, 0.5, layout=lay).collect()}
 
 
-def test_clusters_are_exact(spark):
-    t, x = vector_table(spark)
-    members, found = voices.find_voices(vectors.valid_vectors(t, "id", "v", 16, ["at"]), 16, 0.75)
-    s = x @ x.T >= 0.75
+def brute_clusters(x, t):
+    s = x @ x.T >= t
     label = np.arange(len(x))
-    for _ in range(len(x)):
+    while True:
         new = np.where(s, label[None, :], len(x)).min(axis=1)
         if (new == label).all():
-            break
+            return {i: int(c) for i, c in enumerate(label)}
         label = new
-    got = {r.id: r.cluster for r in members.collect()}
-    assert got == {i: int(c) for i, c in enumerate(label)}
-    f = found.collect()
-    assert sum(r.size for r in f) == len(x) and all(1 <= len(r.typical) <= 5 for r in f)
+
+
+def test_clusters_are_exact(spark):
+    t, x = vector_table(spark)
+    v = vectors.valid_vectors(t, "id", "v", 16, ["at"])
+    got, missing = voices.find_clusters(v, 16, 0.75)
+    assert {r.id: r.cluster for r in got.collect()} == brute_clusters(x, 0.75)
+    assert all(r.u != r.v for r in missing.collect())
+    none, missing = voices.find_clusters(v.where("false"), 16, 0.75)
+    assert none.count() == 0 and missing.count() == 0
+
+
+def test_the_graph_knows_no_shards(spark):
+    """Tiny shards: lists still hold the nearest neighbours of all rows, and only true ones."""
+    t, x = vector_table(spark, 1500, 10, seed=3)
+    g = voices.similarity_graph(vectors.valid_vectors(t, "id", "v", 16, ["at"]), 16, 0.75, shard_size=100)
+    assert g.nodes.select("shard").distinct().count() > 8
+    s = np.round(x @ x.T, 9)
+    np.fill_diagonal(s, -9)
+    hit = total = 0
+    for r in g.lists.collect():
+        want = np.sort(s[r.id][s[r.id] >= 0.75])[::-1][: voices.K]
+        got = [round(e.c, 9) for e in r.l]
+        assert got == sorted(got, reverse=True) and len({e.nb for e in r.l}) == len(got)
+        assert all(abs(s[r.id][e.nb] - e.c) < 1e-8 for e in r.l)
+        hit += sum(c >= want[-1] - 1e-9 for c in got) if len(want) else 0
+        total += len(want)
+    assert hit / total >= 0.9
+
+
+def test_voices(spark):
+    t, x = vector_table(spark)
+    members, found = voices.find_voices(vectors.valid_vectors(t, "id", "v", 16, ["at"]), 16, 0.75)
+    m, f = members.toPandas(), found.collect()
+    assert sorted(m["id"]) == list(range(len(x))) and sum(r.size for r in f) == len(x)
+    assert dict(m.groupby("voice")["id"].min()) == {r.voice: r.voice for r in f}  # named by its least member
+    cluster = brute_clusters(x, 0.75)
+    for voice, rows in m.groupby("voice"):
+        assert len({cluster[i] for i in rows["id"]}) == 1  # no voice spans two clusters
+        best = sorted(zip(-rows["degree"], rows["id"]))[: voices.TYPICAL]
+        assert next(r.typical for r in f if r.voice == voice) == [i for _, i in best]
+    assert len(f) <= 1.5 * len(set(cluster.values())) + 3
+    none = voices.find_voices(vectors.valid_vectors(t.where("false"), "id", "v", 16, ["at"]), 16)
+    assert none[0].count() == 0 and none[1].count() == 0
 
 
 def test_descent_recall():
     rng = np.random.default_rng(1)
-    x = np.repeat(rng.normal(size=(8, 32)), 150, axis=0) + 0.3 * rng.normal(size=(1200, 32))
+    x = np.repeat(rng.normal(size=(8, 32)), 400, axis=0) + 0.3 * rng.normal(size=(3200, 32))
     x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype("f4")
-    nb, _ = voices.neighbour_descent(x)
+    nb, cos = voices.neighbour_descent(x, least=0.75)
     s = x @ x.T
     np.fill_diagonal(s, -9)
     true = np.argsort(-s, axis=1)[:, : voices.K]
     assert np.mean([len(set(a) & set(b)) / voices.K for a, b in zip(nb, true)]) >= 0.9
+    for n in (0, 1, 2, 5):
+        nb, cos = voices.neighbour_descent(x[:n])
+        assert nb.shape == (n, min(voices.K, max(0, n - 1))) and (cos > -3).all()
 
 
 def test_louvain_separates_cliques():

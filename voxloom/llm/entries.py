@@ -119,8 +119,19 @@ def p5_centroid_voices(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    m = p5_members(spark, d)
-    return m.where("segment_id != cluster").select(F.col("cluster").alias("segment_id_a"), F.col("segment_id").alias("segment_id_b"))
+    from voxloom.llm.voices import find_clusters
+
+    m = find_clusters(_segments(spark, d), DIMENSIONS)[0]
+    return m.where("id != cluster").select(F.col("cluster").alias("segment_id_a"), F.col("id").alias("segment_id_b"))
+
+
+def p5_check(spark: SparkSession, d: str) -> DataFrame:
+    """What the exact check adds to the graph's links: clusters it joined, and their number after."""
+    from voxloom.llm.voices import find_clusters
+
+    m, missing = find_clusters(_segments(spark, d), DIMENSIONS)
+    rows = [m.agg(F.lit("vectors").alias("figure"), F.count("*").alias("n")), m.agg(F.lit("clusters"), F.count_distinct("cluster")), missing.agg(F.lit("links the check added"), F.count("*"))]
+    return rows[0].union(rows[1]).union(rows[2])
 
 
 # Problem 6

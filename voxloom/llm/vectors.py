@@ -83,7 +83,8 @@ class Cells:
 
 @dataclass
 class Layout:
-    """``placed``: id, v, cell, shard.  ``outliers``: id, v.  Both are written tables."""
+    """``placed``: id, v, cell, shard.  ``outliers``: id, v, near (the pivot of the last level
+    that is nearest, however far), and group, which packs neighbouring pivots' outliers."""
 
     placed: DataFrame
     outliers: DataFrame
@@ -115,9 +116,9 @@ def _nearest(v: DataFrame, pivots: np.ndarray, first: int, dim: int, reach: floa
             at = cos.argmax(axis=1) if len(pdf) else np.zeros(0, int)
             d = np.sqrt(np.maximum(0, 2 - 2 * cos[np.arange(len(pdf)), at].astype("f8"))) if len(pdf) else np.zeros(0)
             # 32-bit products: the margin keeps radii upper bounds
-            yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "cell": np.where(d <= reach, at + first, -1).astype("int32"), "d": d + 1e-3})
+            yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "cell": np.where(d <= reach, at + first, -1).astype("int32"), "d": d + 1e-3, "near": np.asarray(at, "int32")})
 
-    return v.mapInPandas(assign, "id long, v binary, cell int, d double")
+    return v.mapInPandas(assign, "id long, v binary, cell int, d double, near int")
 
 
 def _pack_cells(pivots: np.ndarray, count: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -172,7 +173,12 @@ def lay_out(v: DataFrame, dim: int, reach: float, per_pivot: int = 32, shard_siz
     table = F.broadcast(spark.createDataFrame(rows, "cell int, c int, s long, p long"))
     out = placed.join(table, "cell").select("id", "v", F.col("c").alias("cell"), (F.col("s") + F.pmod(F.xxhash64("id"), F.col("p"))).cast("int").alias("shard"))
     n_out = n_far - second.where("cell >= 0").count() if n_far else 0
-    outliers = second.where("cell < 0").select("id", "v")
+    outliers = second.where("cell < 0").select("id", "v", "near")
+    counts = {r["near"]: r["n"] for r in outliers.groupBy("near").agg(F.count("*").alias("n")).collect()} if n_out else {}  # one row per pivot
+    lone = np.array(sorted(counts), "int64")
+    group, pieces = _pack_cells(more[lone], np.array([counts[c] for c in lone.tolist()]), shard_size) if len(lone) else (lone, lone)
+    table = spark.createDataFrame([(int(c), int(g), int(p)) for c, g, p in zip(lone, group, pieces)], "near int, g long, p long")
+    outliers = outliers.join(F.broadcast(table), "near").select("id", "v", "near", (F.col("g") + F.pmod(F.xxhash64("id"), F.col("p"))).cast("int").alias("group"))
     return Layout(out, outliers, cells, dim, n, n_out, (first, second) if n_far else (first,))
 
 

@@ -1,84 +1,91 @@
 """Problem 5: clusters of similar vectors, their sizes and most typical members.
 
-In each shard neighbour descent builds an approximate graph of nearest neighbours, and
-modularity-based moves (Louvain) divide it into communities; in a second level the
-communities of all shards are moved the same way along the links between shards.  A member
-is the more typical the higher its weighted degree inside its community.
-
-An exact check follows for clusters in the sense of "cosine at least t, directly or
-through others": parts of the graph are joined along every remaining pair of vectors that
-is that similar.  Cells that cannot hold such a partner are ruled out by the triangle
-inequality of angles, cells of the same cluster need not be looked at.
+One graph over all vectors links each to its ``K`` nearest neighbours that are similar
+enough.  It is built by neighbour descent in blocks: what a block of rows is compared with
+next are the blocks in which its neighbours' neighbours lie.  Inside a shard of neighbouring
+rows this runs in one task.  Then the vectors themselves travel: each visits the shards whose
+cells are nearest, and from then on, round by round, those that hold its neighbours'
+neighbours, a few shards a round, until hardly a list gets better.  Lists keep the best of
+all visits, so the graph knows no shards.
+
+*Communities* are looked for by modularity-based moves, inside shards first, then between
+the communities of all shards with the weights of all links of the graph, as joins and
+aggregations.  A member is the more typical the higher its weighted degree inside.
+
+*Clusters* in the sense of "cosine at least t, directly or through others" join what the
+graph's links join.  As the graph is approximate, a check follows that is exact: whatever
+pair it still finds between two clusters joins them.  Cells that cannot hold such a partner
+are ruled out by the triangle inequality of angles, cells of the same cluster need not be
+looked at.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.operators.components import connected_components
 from voxloom.llm.vectors import lay_out, outlier_blocks, unpack
+from voxloom.operators.components import connected_components
 from voxloom.session import materialize, release
 
 K = 10
 TYPICAL = 5
-REPS = 3
+#: Rows of a block, blocks first looked into, shards visited a round, visitors per task.
+BLOCK, FIRST_BLOCKS, VISITS, LOT = 128, 4, 4, 4096
+LIST = "array<struct<c:double,nb:bigint,s:int>>"
+
+
+def _best(nb: np.ndarray, cos: np.ndarray, cand: np.ndarray, cs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best of old lists and candidates that are none of them."""
+    k = nb.shape[1]
+    ids, val = np.hstack([nb, cand]), np.hstack([cos, cs])
+    top = np.argpartition(-val, k - 1, axis=1)[:, :k]
+    return np.take_along_axis(ids, top, 1), np.take_along_axis(val, top, 1)
 
 
-def neighbour_descent(x: np.ndarray, k: int = K, rounds: int = 18, sample: int = 6, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """Approximate k nearest neighbours (indices, cosines) of unit vectors.
+def neighbour_descent(x: np.ndarray, k: int = K, least: float = -1.0) -> tuple[np.ndarray, np.ndarray]:
+    """Approximate ``k`` nearest neighbours (indices, cosines) of unit vectors; places that no
+    neighbour takes have cosine -3.  Similar rows should stand together.
 
-    Rows should be ordered so that similar rows tend to stand together.  A neighbour's
-    neighbours and those that name a row are its candidates, until few lists change.
+    Rows are handled in blocks.  A block first looks into itself and the few blocks whose
+    means are nearest, then into the blocks where its neighbours' neighbours are, as far as
+    the links have a cosine of ``least``, until there are no new ones.
     """
     n = len(x)
     k = min(k, n - 1)
+    nb, cos = np.zeros((n, max(k, 0)), "int64"), np.full((n, max(k, 0)), -3.0, x.dtype)
     if k < 1:
-        return np.zeros((n, 0), "int64"), np.zeros((n, 0), "f4")
-    if n <= 4 * k:  # too few for candidates to be fewer than all
-        cos = x @ x.T
-        np.fill_diagonal(cos, -3)
-        nb = np.argsort(-cos, axis=1, kind="stable")[:, :k]
-        return nb, np.take_along_axis(cos, nb, 1)
-    rng = np.random.default_rng(seed)
-    nb = (np.arange(n)[:, None] + np.arange(1, k + 1)[None, :]) % n
-    cos = np.einsum("nd,nkd->nk", x, x[nb])
-    for _ in range(rounds):
-        rev = np.full((n, k), -1)
-        src, dst = np.repeat(np.arange(n), k), nb.ravel()
-        order = rng.permutation(n * k)
-        src, dst = src[order], dst[order]
-        by = np.argsort(dst, kind="stable")
-        src, dst = src[by], dst[by]
-        place = np.arange(n * k) - np.searchsorted(dst, dst)
-        fit = place < k
-        rev[dst[fit], place[fit]] = src[fit]
-        pool = np.hstack([nb, rev])
-        changed = 0
-        for i in range(0, n, 256):  # small blocks stay in the cache
-            at = np.arange(i, min(n, i + 256))
-            some = pool[at][:, rng.choice(pool.shape[1], min(sample, pool.shape[1]), replace=False)]
-            cand = pool[some][:, :, rng.choice(pool.shape[1], min(sample, pool.shape[1]), replace=False)].reshape(len(at), -1)
-            cand = np.hstack([cand, rev[at], rng.integers(0, n, (len(at), 2))])
-            cand = np.where(cand < 0, at[:, None], cand)
-            cs = np.matmul(x[cand], x[at][:, :, None])[:, :, 0]
-            cs[cand == at[:, None]] = -3
-            # what is no better than the worst neighbour is out before repeats are looked for
-            wide = min(cand.shape[1], 3 * k)
-            top = np.argpartition(-cs, wide - 1, axis=1)[:, :wide]
-            ids = np.hstack([nb[at], np.take_along_axis(cand, top, 1)])
-            val = np.hstack([cos[at], np.take_along_axis(cs, top, 1)])
-            o = np.argsort(ids, axis=1, kind="stable")
-            ids, val = np.take_along_axis(ids, o, 1), np.take_along_axis(val, o, 1)
-            val[:, 1:][ids[:, 1:] == ids[:, :-1]] = -3
-            top = np.argpartition(-val, k - 1, axis=1)[:, :k]
-            new, newcos = np.take_along_axis(ids, top, 1), np.take_along_axis(val, top, 1)
-            changed += int((newcos.sum(axis=1) > cos[at].sum(axis=1) + 1e-6).sum())
-            nb[at], cos[at] = new, newcos
-        if changed < 0.01 * n:
-            break
+        return nb, cos
+    block = np.arange(n) // BLOCK
+    count = int(block[-1]) + 1
+    rows = [np.flatnonzero(block == b) for b in range(count)]
+    mean = np.array([x[r].mean(axis=0) for r in rows])
+    near = np.argsort(-(mean @ mean.T), axis=1, kind="stable")[:, : FIRST_BLOCKS + 1]
+    todo = [sorted({b, *near[b].tolist()}) for b in range(count)]
+    seen = np.zeros((count, count), bool)
+    while any(len(into) for into in todo):
+        for b, into in enumerate(todo):
+            if not len(into):
+                continue
+            seen[b, into] = True
+            at, cand = rows[b], np.concatenate([rows[i] for i in into])
+            cs = x[at] @ x[cand].T
+            cs[at[:, None] == cand[None, :]] = -3
+            if cs.shape[1] > k:
+                top = np.argpartition(-cs, k - 1, axis=1)[:, :k]
+                nb[at], cos[at] = _best(nb[at], cos[at], cand[top], np.take_along_axis(cs, top, 1))
+            else:
+                nb[at], cos[at] = _best(nb[at], cos[at], np.tile(cand, (len(at), 1)), cs)
+        links = np.zeros((count, count), bool)
+        i, j = np.nonzero(cos >= max(least, -1.0))
+        links[block[i], block[nb[i, j]]] = True
+        links |= links.T  # those that name a row are its neighbours as well
+        further = (links.astype("f4") @ links.astype("f4") > 0) & ~seen
+        todo = [np.flatnonzero(further[b]) for b in range(count)]
     return nb, cos
 
 
@@ -94,197 +101,255 @@ def _least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
-def exact_parts(x: np.ndarray, label: np.ndarray, threshold: float) -> np.ndarray:
-    """Join labels along every pair of rows with at least this cosine that they separate."""
-    y, label = x.astype("f4"), label.astype("int32")
-    while len(label) and label.min() < label.max():
-        pairs = set()
-        for i in range(0, len(x), 512):
-            apart = label[i : i + 512, None] < label[None, :]
-            a, b = np.nonzero((y[i : i + 512] @ y.T >= threshold - 1e-5) & apart)
-            a = a + i
-            if len(a):
-                sure = np.einsum("nd,nd->n", x[a], x[b]) >= threshold
-                pairs.update(zip(label[a[sure]].tolist(), label[b[sure]].tolist()))
-        if not pairs:
-            return label
-        p = np.array(sorted(pairs))
-        label = _least_labels(len(x), p[:, 0], p[:, 1])[label].astype("int32")
-    return label
-
-
-def louvain(n: int, a: np.ndarray, b: np.ndarray, w: np.ndarray, total: float, levels: int = 3, inner: np.ndarray | None = None) -> np.ndarray:
+def louvain(n: int, a: np.ndarray, b: np.ndarray, w: np.ndarray, total: float, levels: int = 4, seed: int = 1) -> np.ndarray:
     """Communities by modularity moves; ``total`` is the weight of the whole graph's edges.
 
-    Edges are undirected and named once.  Nodes are visited in order and move to the
-    neighbouring community of greatest gain, then communities become nodes.
+    Edges are undirected and named once.  In a round about half of the nodes may move, each
+    to the neighbouring community of greatest gain; then communities become nodes.
     """
-    member = np.arange(n)
-    inner = np.zeros(n) if inner is None else inner
+    member, rng = np.arange(n), np.random.default_rng(seed)
+    i, j, w = np.r_[a, b], np.r_[b, a], np.r_[w, w].astype("f8")
+    degree = np.bincount(i, w, n)
     for _ in range(levels):
-        adj: list[dict[int, float]] = [{} for _ in range(n)]
-        for i, j, x in zip(a.tolist(), b.tolist(), w.tolist()):
-            if i != j:
-                adj[i][j] = adj[i].get(j, 0.0) + x
-                adj[j][i] = adj[j].get(i, 0.0) + x
-        degree = [sum(d.values()) + 2 * s for d, s in zip(adj, inner.tolist())]
-        com, tot = list(range(n)), degree[:]
-        for _ in range(8):
-            moved = 0
-            for i in range(n):
-                if not adj[i]:
-                    continue
-                own, to = com[i], {}
-                for j, x in adj[i].items():
-                    to[com[j]] = to.get(com[j], 0.0) + x
-                tot[own] -= degree[i]
-                scale = degree[i] / (2 * total)
-                best, gain = own, to.get(own, 0.0) - tot[own] * scale
-                for c, x in to.items():
-                    g = x - tot[c] * scale
-                    if g > gain + 1e-12 or abs(g - gain) <= 1e-12 and c < best:
-                        best, gain = c, g
-                tot[best] += degree[i]
-                if best != own:
-                    com[i] = best
-                    moved += 1
-            if moved <= n // 500:
+        com, still = np.arange(n), 0
+        for _ in range(40):
+            tot = np.bincount(com, degree, n)
+            key, place = np.unique(i * n + com[j], return_inverse=True)
+            node, c = key // n, key % n
+            gain = np.bincount(place, w, len(key)) - degree[node] * (tot[c] - np.where(c == com[node], degree[node], 0)) / (2 * total)
+            own = -degree * (tot[com] - degree) / (2 * total)
+            mine = c == com[node]
+            own[node[mine]] = gain[mine]
+            order = np.lexsort((c, -np.round(gain, 12), node))
+            first = order[np.r_[True, node[order][1:] != node[order][:-1]]] if len(order) else order
+            better = gain[first] > own[node[first]] + 1e-9
+            move = first[better & (rng.random(len(first)) < 0.5)]
+            com[node[move]] = c[move]
+            still = 0 if better.any() else still + 1
+            if still or better.sum() <= n // 500 and not len(move):
                 break
-        names, com = np.unique(np.array(com), return_inverse=True)
+        names, com = np.unique(com, return_inverse=True)
         if len(names) == n:
             break
-        member = com[member]
-        same = com[a] == com[b]
-        new = np.zeros(len(names))
-        np.add.at(new, com, inner)
-        np.add.at(new, com[a[same]], w[same])
-        a, b, w, n, inner = com[a[~same]], com[b[~same]], w[~same], len(names), new
+        member, degree = com[member], np.bincount(com, degree)
+        i, j, n = com[i], com[j], len(names)
+        apart = i != j
+        i, j, w = i[apart], j[apart], w[apart]
     return member
 
 
-NODE = "kind string, id long, v binary, shard int, cell int, part long, community long, degree double, kth double, typical boolean, radius double, n long"
+NODE = f"kind string, id long, v binary, shard int, cell int, part long, community long, kth double, l {LIST}, radius double"
 
 
 def _shard_graph(dim: int, n_all: int, threshold: float):
+    """The graph of one shard: lists, parts that its links join, communities; and its cells."""
+
     def work(key, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["cell", "id"], kind="stable")
-        ids, x = pdf["id"].to_numpy("int64"), unpack(pdf["v"], dim)
+        ids, x, shard = pdf["id"].to_numpy("int64"), unpack(pdf["v"], dim), int(pdf["shard"].iloc[0])
         n = len(ids)
-        nb, cos = neighbour_descent(x.astype("f4"))
-        k = nb.shape[1]
-        a, b, w = np.repeat(np.arange(n), k), nb.ravel(), cos.ravel().astype("f8")
-        use = w > 0
-        lo, hi = np.minimum(a, b)[use], np.maximum(a, b)[use]
-        key_, first = np.unique(lo * n + hi, return_index=True)
-        lo, hi, w = key_ // n, key_ % n, w[use][first]
-        strong = w >= threshold + 1e-5
-        part = exact_parts(x, _least_labels(n, lo[strong], hi[strong]), threshold)
-        # communities are looked for along links that count as similar
-        l, h, ww = lo[strong], hi[strong], w[strong]
-        com = louvain(n, l, h, ww, max(1e-9, ww.sum()) * n_all / n)
-        # a community never spans two parts: its links are links of one part
-        degree = np.zeros(n)
-        inside = com[l] == com[h]
-        np.add.at(degree, l[inside], ww[inside])
-        np.add.at(degree, h[inside], ww[inside])
-        least = np.full(com.max() + 1 if n else 0, np.iinfo("int64").max)
-        np.minimum.at(least, com, ids)
-        order = np.lexsort((ids, -degree, com))
-        rank = np.empty(n, int)
-        c = com[order]
-        starts = np.r_[0, np.flatnonzero(c[1:] != c[:-1]) + 1]
-        rank[order] = np.arange(n) - np.repeat(starts, np.diff(np.r_[starts, n]))
-        kth = cos.min(axis=1) if k else np.full(n, -1.0)
-        least_part = np.full(n, np.iinfo("int64").max)
+        nb, cos = neighbour_descent(x.astype("f4"), K, threshold)
+        i, j = np.nonzero(cos >= threshold - 1e-5)
+        a, b = i, nb[i, j]
+        w = np.einsum("nd,nd->n", x[a], x[b])  # in 64 bits, so that the threshold is sharp
+        sure = w >= threshold
+        a, b, w = a[sure], b[sure], w[sure]
+        part = _least_labels(n, a, b)
+        once = np.unique(np.minimum(a, b) * n + np.maximum(a, b), return_index=True)[1]
+        com = louvain(n, a[once], b[once], w[once], max(1e-9, w[once].sum()) * n_all / n)
+        least_com, least_part = (np.full(n, np.iinfo("int64").max) for _ in range(2))
+        np.minimum.at(least_com, com, ids)
         np.minimum.at(least_part, part, ids)
-        nodes = pd.DataFrame({"kind": "node", "id": ids, "v": pdf["v"].to_numpy(), "shard": pdf["shard"].to_numpy(), "cell": pdf["cell"].to_numpy(), "part": least_part[part], "community": least[com], "degree": degree, "kth": kth, "typical": rank < TYPICAL, "radius": 0.0, "n": 1})
-        stats = []
-        cell = pdf["cell"].to_numpy()
-        for c in np.unique(cell[cell >= 0]):
+        order = np.lexsort((ids[b], -w, a))
+        a, b, w = a[order], b[order], w[order]
+        start = np.searchsorted(a, np.arange(n + 1))
+        lists = [[{"c": c, "nb": o, "s": shard} for c, o in zip(w[s:e].tolist(), ids[b[s:e]].tolist())] for s, e in zip(start[:-1], start[1:])]
+        kth = np.array([x[-1]["c"] if len(x) >= K else threshold for x in lists])
+        nodes = pd.DataFrame({"kind": "node", "id": ids, "v": pdf["v"].to_numpy(), "shard": shard, "cell": pdf["cell"].to_numpy(), "part": least_part[part], "community": least_com[com], "kth": kth, "l": lists, "radius": 0.0})
+        stats, cell = [], pdf["cell"].to_numpy()
+        for c in np.unique(cell):
             m = np.flatnonzero(cell == c)
             center = x[m].mean(axis=0)
             norm = np.linalg.norm(center)
             center = center / norm if norm > 1e-9 else x[m[0]]
             angle = float(np.arccos(np.clip((x[m] @ center).min(), -1, 1))) + 1e-3
             parts = np.unique(least_part[part[m]])
-            stats.append(("cell", 0, center.astype("<f4").tobytes(), int(pdf["shard"].iloc[0]), int(c), int(parts[0]) if len(parts) == 1 else -1, -1, 0.0, 0.0, False, angle, len(m)))
+            stats.append(("cell", 0, center.astype("<f4").tobytes(), shard, int(c), int(parts[0]) if len(parts) == 1 else -1, -1, 0.0, [], angle))
         return pd.concat([nodes, pd.DataFrame(stats, columns=nodes.columns)], ignore_index=True) if stats else nodes
 
     return work
 
 
-def _routes(asks: DataFrame, cells: pd.DataFrame, dim: int, threshold: float) -> DataFrame:
-    """``id, v, part, community, kth, shard``: shards with a cell of another part (or of
-    several) that may hold a vector of at least this cosine.  ``cells`` has a row per pivot."""
-    if not len(cells):
-        return asks.select("id", "v", "part", "community", "kth", "shard").where("false")
-    table = (unpack(cells["v"], dim).astype("f4"), cells["radius"].to_numpy(), cells["part"].to_numpy("int64"), cells["shard"].to_numpy("int32"))
-    shared = asks.sparkSession.sparkContext.broadcast(table)
-    wide = float(np.arccos(threshold))
+def _nearest_shards(nodes: DataFrame, cells: pd.DataFrame, dim: int, threshold: float) -> DataFrame:
+    """``id, shard``: the few other shards whose cells' means are nearest to a vector, and
+    for a vector that lies in a cell similar to it."""
+    shared = nodes.sparkSession.sparkContext.broadcast((unpack(cells["v"], dim).astype("f4"), cells["shard"].to_numpy("int32")))
 
     def go(batches):
-        centre, radius, part, shard = shared.value
-        least = np.cos(np.minimum(np.pi, radius + wide)).astype("f4") - 1e-4
+        centre, shard = shared.value
         for pdf in batches:
             for i in range(0, len(pdf), 4000):
                 p = pdf.iloc[i : i + 4000]
-                mine = p["part"].to_numpy("int64")
-                a, c = np.nonzero(unpack(p["v"], dim).astype("f4") @ centre.T >= least[None, :])
-                other = (part[c] != mine[a]) & (shard[c] != p["shard"].to_numpy()[a])
-                pair = np.unique(np.stack([a[other], shard[c[other]]], axis=1), axis=0)
-                sel = p.iloc[pair[:, 0]]
-                yield pd.DataFrame({"id": sel["id"].to_numpy(), "v": sel["v"].to_numpy(), "part": sel["part"].to_numpy(), "community": sel["community"].to_numpy(), "kth": sel["kth"].to_numpy(), "shard": pair[:, 1].astype("int32")})
+                cos = unpack(p["v"], dim).astype("f4") @ centre.T
+                cos[p["shard"].to_numpy()[:, None] == shard[None, :]] = -3
+                wide = min(cos.shape[1], 4 * VISITS)
+                top = np.argpartition(-cos, wide - 1, axis=1)[:, :wide]
+                val = np.take_along_axis(cos, top, 1)
+                order = np.argsort(-val, axis=1, kind="stable")
+                val, where = np.take_along_axis(val, order, 1), shard[np.take_along_axis(top, order, 1)]
+                a, b = np.nonzero((val >= threshold) | (p["cell"].to_numpy()[:, None] < 0) & (val > -2))
+                pair = pd.DataFrame({"id": p["id"].to_numpy()[a], "shard": where[a, b]}).drop_duplicates()
+                yield pair[pair.groupby("id").cumcount() < VISITS]
+
+    return nodes.select("id", "v", "shard", "cell").mapInPandas(go, "id long, shard int")
+
+
+def _lots(visits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Visits with their lot, and the lots of each shard: so many that a lot is about ``LOT`` visitors."""
+    many = materialize(visits.groupBy("shard").agg(F.ceil(F.count("*") / LOT).cast("int").alias("lots")), "lots")
+    return visits.join(many, "shard").withColumn("lot", F.pmod(F.xxhash64("id", F.lit(3)), F.col("lots")).cast("int")).drop("lots"), many
+
 
-    return asks.select("id", "v", "part", "community", "kth", "shard").mapInPandas(go, "id long, v binary, part long, community long, kth double, shard int")
+def _meet(nodes: DataFrame, visits: DataFrame, call, schema: str, columns: list[str]) -> DataFrame:
+    """Hosts and visitors of each shard together, a lot of visitors at a time."""
+    guests, many = _lots(visits)
+    guests = guests.select(*[F.col(c).alias(c) for c in guests.columns])  # hosts may come from the same table
+    hosts = nodes.select(*columns, "shard").join(many, "shard").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).drop("lots")
+    return hosts.groupBy("shard", "lot").cogroup(guests.groupBy("shard", "lot")).applyInPandas(call, schema)
 
 
-def _meet(nodes: DataFrame, visits: DataFrame, dim: int, threshold: float) -> DataFrame:
-    """Distinct ``u, v`` parts that a visitor and a host link, and ``ca, cb, w`` communities."""
+def _call(dim: int, threshold: float):
+    """What visitors find that is better than the worst of their lists."""
 
     def call(host: pd.DataFrame, guest: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out_id, out_l = [], []
         if len(host) and len(guest):
-            y, hp, hc = unpack(host["v"], dim), host["part"].to_numpy("int64"), host["community"].to_numpy("int64")
+            ids, y, shard = host["id"].to_numpy("int64"), unpack(host["v"], dim), int(host["shard"].iloc[0])
             y4 = y.astype("f4")
             for i in range(0, len(guest), 1024):
                 g = guest.iloc[i : i + 1024]
-                x, gp, gc, kth = unpack(g["v"], dim), g["part"].to_numpy("int64"), g["community"].to_numpy("int64"), g["kth"].to_numpy()
+                x, kth = unpack(g["v"], dim), g["kth"].to_numpy()
                 cos = x.astype("f4") @ y4.T
-                a, b = np.nonzero(cos >= threshold - 1e-5)
-                apart = gp[a] != hp[b]
-                a, b = a[apart], b[apart]
-                if not len(a):
-                    continue
-                sure = np.einsum("nd,nd->n", x[a], y[b]) >= threshold
-                a, b = a[sure], b[sure]
-                w = (cos[a, b] >= kth[a]).astype("f8") * cos[a, b]
-                out.append(pd.DataFrame({"u": gp[a], "v": hp[b], "ca": gc[a], "cb": hc[b], "w": w}))
-        if not out:
-            return pd.DataFrame({"u": [], "v": [], "ca": [], "cb": [], "w": []}).astype({c: "int64" for c in ("u", "v", "ca", "cb")})
-        return pd.concat(out).groupby(["u", "v", "ca", "cb"], as_index=False)["w"].sum()
+                k = min(K, cos.shape[1])
+                top = np.argpartition(-cos, k - 1, axis=1)[:, :k]
+                a, b = np.nonzero(np.take_along_axis(cos, top, 1) >= np.maximum(threshold, kth)[:, None] - 1e-5)
+                b = top[a, b]
+                c = np.einsum("nd,nd->n", x[a], y[b])
+                sure = (c >= threshold) & (c >= kth[a])
+                a, b, c = a[sure], b[sure], c[sure]
+                start = np.searchsorted(a, np.arange(len(g) + 1))
+                for r, (s, e) in enumerate(zip(start[:-1], start[1:])):
+                    if e > s:
+                        out_id.append(int(g["id"].iloc[r]))
+                        out_l.append([{"c": q, "nb": o, "s": shard} for q, o in zip(c[s:e].tolist(), ids[b[s:e]].tolist())])
+        if not out_id:  # Arrow converts no empty column of lists of structs
+            out_id, out_l = [-1], [[]]
+        return pd.DataFrame({"id": np.array(out_id, "int64"), "l": out_l})
+
+    return call
+
+
+@dataclass
+class Graph:
+    """``nodes``: id, v, shard, cell, part, community.  ``lists``: id, part, community, l -
+    the neighbours, best first.  ``cells``: about a row per pivot.  All are written tables."""
+
+    nodes: DataFrame
+    lists: DataFrame
+    cells: pd.DataFrame
+    n_outliers: int
+    dim: int
+    threshold: float
+
+
+def similarity_graph(v: DataFrame, dim: int, threshold: float = 0.75, settle: float = 0.01, shard_size: int = 4096) -> Graph:
+    """The graph of nearest neighbours with a cosine of ``threshold`` or more, over all rows.
+
+    ``v`` has unique ``id`` and packed ``v`` (see ``valid_vectors``).  Rounds of visits end
+    when at most ``settle`` of the lists got better, or nothing is left to visit.
+    """
+    lay = lay_out(v, dim, 0.75, per_pivot=128, shard_size=shard_size)
+    # vectors that lie alone share shards with those that are nearest to the same pivots
+    lone = lay.outliers.select("id", "v", (-1 - F.col("near")).cast("int").alias("cell"), (F.lit(lay.cells.shards) + F.col("group")).cast("int").alias("shard"))
+    rows = materialize(lay.placed.unionByName(lone).groupBy("shard").applyInPandas(_shard_graph(dim, max(1, lay.n), threshold), NODE), "nodes")
+    lay.release()
+    nodes, cells = rows.where("kind = 'node'"), rows.where("kind = 'cell'").select("v", "shard", "cell", "part", "radius").toPandas()
+    lists = nodes.select("id", "part", "community", "l", F.array("shard").alias("seen"), F.lit(False).alias("better"))
+    visits, owned = (_nearest_shards(nodes, cells, dim, threshold) if len(cells) else None), False
+    while visits is not None:
+        visits = materialize(visits, "visits")
+        guests = visits.join(nodes.select("id", "v"), "id").join(lists.select("id", F.when(F.size("l") >= K, F.element_at("l", -1)["c"]).otherwise(F.lit(threshold)).alias("kth")), "id")
+        found = _meet(nodes, guests, _call(dim, threshold), f"id long, l {LIST}", ["id", "v"]).where("size(l) > 0")
+        was = visits.groupBy("id").agg(F.collect_set("shard").alias("_s"))  # a few shards each
+        news = found.groupBy("id").agg(F.flatten(F.collect_list("l")).alias("_l"))  # K of each visit at most
+        # a shard is visited once, so no neighbour is found twice
+        best = F.slice(F.sort_array(F.concat("l", F.coalesce("_l", F.array().cast(LIST))), asc=False), 1, K)
+        grown = lists.join(was, "id", "left").join(news, "id", "left")
+        grown = grown.select("id", "part", "community", best.alias("l"), F.concat("seen", F.coalesce("_s", F.array().cast("array<int>"))).alias("seen"), F.col("_l").isNotNull().alias("better"))
+        grown = materialize(grown, "lists")
+        release(visits)
+        if owned:
+            release(lists)
+        lists, owned = grown, True
+        changed = lists.where("better").count()
+        if changed <= settle * lay.n:
+            break
+        # where the neighbours' neighbours of changed lists are
+        edges = lists.where("better").select("id", "seen", F.explode("l.nb").alias("nb"))
+        homes = lists.select(F.col("id").alias("nb"), F.array_distinct("l.s").alias("h"))
+        far = edges.join(homes, "nb").select("id", F.explode(F.array_except("h", "seen")).alias("shard")).distinct()
+        pick = Window.partitionBy("id").orderBy(F.xxhash64("id", "shard"))
+        visits = far.withColumn("_r", F.row_number().over(pick)).where(F.col("_r") <= VISITS).select("id", "shard")
+    return Graph(nodes, lists, cells, lay.n_outliers, dim, threshold)
+
+
+def _edges(g: Graph) -> DataFrame:
+    """``id, nb, c`` with part and community of both ends."""
+    e = g.lists.select("id", "part", "community", F.explode("l").alias("e")).select("id", "part", "community", F.col("e.nb").alias("nb"), F.col("e.c").alias("c"))
+    return e.join(g.lists.select(F.col("id").alias("nb"), F.col("part").alias("part_b"), F.col("community").alias("community_b")), "nb")
+
+
+def _named(d: DataFrame, names: DataFrame, column: str = "part") -> DataFrame:
+    """``column`` by its component, where it has one."""
+    return d.join(names.withColumnRenamed("node", column), column, "left").withColumn(column, F.coalesce("component", column)).drop("component")
+
 
-    hosts = nodes.select("v", "part", "community", "shard").join(visits.select("shard").distinct(), "shard", "left_semi")
-    return hosts.groupBy("shard").cogroup(visits.groupBy("shard")).applyInPandas(call, "u long, v long, ca long, cb long, w double")
+def _routes(asks: DataFrame, cells: pd.DataFrame, dim: int, threshold: float) -> DataFrame:
+    """``id, v, part, shard``: shards with a cell of another part (or of several) that may
+    hold a vector of at least this cosine."""
+    table = (unpack(cells["v"], dim).astype("f4"), cells["radius"].to_numpy(), cells["part"].to_numpy("int64"), cells["shard"].to_numpy("int32"))
+    shared = asks.sparkSession.sparkContext.broadcast(table)
+    wide = float(np.arccos(threshold))
+
+    def go(batches):
+        centre, radius, part, shard = shared.value
+        least = np.cos(np.minimum(np.pi, radius + wide)).astype("f4") - 1e-4
+        for pdf in batches:
+            for i in range(0, len(pdf), 4000):
+                p = pdf.iloc[i : i + 4000]
+                a, c = np.nonzero(unpack(p["v"], dim).astype("f4") @ centre.T >= least[None, :])
+                other = part[c] != p["part"].to_numpy("int64")[a]
+                pair = np.unique(np.stack([a[other], shard[c[other]]], axis=1), axis=0)
+                sel = p.iloc[pair[:, 0]]
+                yield pd.DataFrame({"id": sel["id"].to_numpy(), "v": sel["v"].to_numpy(), "part": sel["part"].to_numpy(), "shard": pair[:, 1].astype("int32")})
 
+    return asks.select("id", "v", "part").mapInPandas(go, "id long, v binary, part long, shard int")
 
-def find_voices(v: DataFrame, dim: int, threshold: float = 0.75) -> tuple[DataFrame, DataFrame]:
-    """Members (``id, voice, cluster, degree``) and voices (``voice, cluster, size, typical``).
 
-    ``v`` has unique ``id`` and packed ``v`` (see ``valid_vectors``).  A voice is a
-    community, named by its least id; a cluster joins all that is linked by cosines of at
-    least ``threshold``, likewise named.  A vector like no other is its own voice.
+def missing_links(g: Graph, names: DataFrame) -> DataFrame:
+    """The exact check: distinct ``u, v`` clusters that a pair of the threshold still links.
+
+    ``names`` gives the cluster (``component``) of a part (``node``).  Vectors that lie alone
+    are compared with each other directly, a bounded block at a time.
     """
-    lay = lay_out(v, dim, 0.75, per_pivot=128)
-    spark = v.sparkSession
-    spread = max(1, -(-lay.n_outliers // 4096))
-    lone = lay.outliers.withColumn("cell", F.lit(-1)).withColumn("shard", (F.lit(lay.cells.shards) + F.pmod(F.xxhash64("id"), F.lit(spread))).cast("int"))
-    rows = materialize(lay.placed.unionByName(lone).groupBy("shard").applyInPandas(_shard_graph(dim, max(1, lay.n), threshold), NODE), "nodes")
-    lay.release()
-    nodes, cells = rows.where("kind = 'node'"), rows.where("kind = 'cell'").select("v", "shard", "part", "radius").toPandas()  # about a row per pivot
-    # the vectors that lie alone against each other, a bounded block at a time; the cells
-    # that may hold partners of theirs they visit below, like all others
-    links = None
-    for alone, x in outlier_blocks(nodes.where("cell < 0").select("id", "v", "part"), lay.n_outliers, dim):
+    dim, threshold, spark = g.dim, g.threshold, g.nodes.sparkSession
+    rows = materialize(_named(g.nodes.select("id", "v", "shard", "cell", "part"), names), "check")
+    own = spark.createDataFrame(pd.DataFrame({"node": sorted({int(p) for p in g.cells["part"] if p >= 0})}, dtype="int64"), "node long") if len(g.cells) else None
+    where = {r["node"]: r["component"] for r in names.join(own, "node").collect()} if own is not None else {}  # at most a row per cell
+    cells = g.cells.assign(part=[where.get(p, p) for p in g.cells["part"]])
+    cells = cells[cells["cell"] >= 0]
+    found = None
+    for alone, x in outlier_blocks(rows.where("cell < 0").select("id", "v", "part"), g.n_outliers, dim):
         block = spark.sparkContext.broadcast((x, x.astype("f4"), alone["part"].to_numpy("int64")))
 
         def direct(batches, block=block):
@@ -299,46 +364,89 @@ def find_voices(v: DataFrame, dim: int, threshold: float = 0.75) -> tuple[DataFr
                     sure = np.einsum("nd,nd->n", z[a], y[b]) >= threshold
                     yield pd.DataFrame({"u": own[a[sure]], "v": p[b[sure]]}).drop_duplicates()
 
-        part = nodes.where("cell < 0").select("v", "part").mapInPandas(direct, "u long, v long")
-        links = part if links is None else links.unionByName(part)
-    # typical members of each part first: they join what spans several shards
-    size = nodes.groupBy("community").agg(F.count("*").alias("n"))
-    reps = nodes.where("typical and cell >= 0")
-    meet = materialize(_meet(nodes, _routes(reps, cells, dim, threshold), dim, threshold), "meet")
-    first = meet.select("u", "v") if links is None else meet.select("u", "v").unionByName(links)
-    joined = materialize(connected_components(first.distinct()), "joined")
-    name = lambda d, c="part": d.join(joined.withColumnRenamed("node", c), c, "left").withColumn(c, F.coalesce("component", c)).drop("component")
-    named = name(nodes.select("id", "v", "shard", "part", "community", "degree", "kth", "typical"))
-    where = {r["node"]: r["component"] for r in joined.join(F.broadcast(spark.createDataFrame([(int(p),) for p in set(cells["part"]) if p >= 0] or [(-1,)], "node long")), "node").collect()} if len(cells) else {}
-    cells["part"] = [where.get(p, p) for p in cells["part"]]
-    rest = materialize(_meet(named, _routes(named, cells, dim, threshold), dim, threshold).select("u", "v").distinct(), "rest")
-    last = connected_components(rest).withColumnRenamed("node", "part")
-    full = named.join(last, "part", "left").withColumn("part", F.coalesce("component", "part")).drop("component", "v")
-    # second level: communities of different shards that the links hold together
-    com = materialize(full.groupBy("community").agg(F.min("part").alias("part"), F.count("*").alias("n"), F.sum("degree").alias("degree")), "communities")
-    edges = meet.where("w > 0").groupBy("ca", "cb").agg(F.sum("w").alias("w")).join(size.select(F.col("community").alias("ca"), "n"), "ca")
-    edges = edges.select("ca", "cb", (F.col("w") * F.col("n") / F.least(F.lit(float(TYPICAL)), F.col("n"))).alias("w"))
-    edges = edges.join(com.select(F.col("community").alias("ca"), "part"), "ca")
-    total = (com.agg(F.sum("degree")).first()[0] or 0.0) / 2
-    both = com.join(edges.select("part").distinct(), "part", "left_semi").select("part", F.col("community").alias("ca"), F.lit(-1).cast("long").alias("cb"), (F.col("degree") / 2).alias("w")).unionByName(edges.select("part", "ca", "cb", "w"))
-
-    def merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf[pdf["cb"] < 0]
-        names = own["ca"].to_numpy("int64")
-        at = {c: i for i, c in enumerate(names.tolist())}
-        e = pdf[(pdf["cb"] >= 0) & pdf["cb"].isin(at.keys()) & pdf["ca"].isin(at.keys())]
-        m = louvain(len(names), e["ca"].map(at).to_numpy("int64"), e["cb"].map(at).to_numpy("int64"), e["w"].to_numpy(), max(total, 1e-9), inner=own["w"].to_numpy())
-        least = np.full(m.max() + 1, np.iinfo("int64").max)
-        np.minimum.at(least, m, names)
-        return pd.DataFrame({"community": names, "voice": least[m]})
-
-    moved = both.groupBy("part").applyInPandas(merge, "community long, voice long")
-    com = com.join(moved, "community", "left").select("community", F.coalesce("voice", "community").alias("voice"))
-    names = full.groupBy("part").agg(F.min("id").alias("cluster"))
-    members = materialize(full.join(com, "community").join(names, "part").select("id", "voice", "cluster", "degree", "typical"), "members")
+        part = rows.where("cell < 0").select("v", "part").mapInPandas(direct, "u long, v long")
+        found = part if found is None else found.unionByName(part)
+
+    def call(host: pd.DataFrame, guest: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"u": [], "v": []}, dtype="int64")]
+        if len(host) and len(guest):
+            y, hp = unpack(host["v"], dim), host["part"].to_numpy("int64")
+            y4 = y.astype("f4")
+            for i in range(0, len(guest), 1024):
+                g_ = guest.iloc[i : i + 1024]
+                x, gp = unpack(g_["v"], dim), g_["part"].to_numpy("int64")
+                a, b = np.nonzero(x.astype("f4") @ y4.T >= threshold - 1e-5)
+                apart = gp[a] != hp[b]
+                a, b = a[apart], b[apart]
+                sure = np.einsum("nd,nd->n", x[a], y[b]) >= threshold
+                out.append(pd.DataFrame({"u": gp[a[sure]], "v": hp[b[sure]]}).drop_duplicates())
+        return pd.concat(out).drop_duplicates()
+
+    if len(cells):
+        met = _meet(rows.where("cell >= 0"), materialize(_routes(rows, cells, dim, threshold), "routes"), call, "u long, v long", ["v", "part"])
+        found = met if found is None else found.unionByName(met)
+    out = materialize((found if found is not None else g.lists.select(F.col("part").alias("u"), F.col("part").alias("v")).where("false")).distinct(), "missing")
     release(rows)
-    best = Window.partitionBy("voice").orderBy(F.desc("degree"), "id")  # over a few members of each shard
-    top = members.where("typical").withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= TYPICAL)
-    top = top.groupBy("voice").agg(F.array_sort(F.collect_list(F.struct("_r", "id"))).alias("t")).select("voice", F.col("t.id").alias("typical"))
-    voices = members.groupBy("voice").agg(F.min("cluster").alias("cluster"), F.count("*").alias("size")).join(top, "voice", "left")
-    return members.drop("typical"), voices
+    return out
+
+
+def find_clusters(v: DataFrame, dim: int, threshold: float = 0.75) -> tuple[DataFrame, DataFrame]:
+    """Clusters (``id, cluster``) and what the exact check added (``u, v``, pairs of clusters).
+
+    A cluster joins all that is linked by cosines of at least ``threshold`` and is named by
+    its least id.  A vector like no other is a cluster of its own.
+    """
+    g = similarity_graph(v, dim, threshold)
+    across = _edges(g).where("part != part_b").select(F.least("part", "part_b").alias("u"), F.greatest("part", "part_b").alias("v")).distinct()
+    names = materialize(connected_components(across), "joined")
+    missing = missing_links(g, names)
+    last = connected_components(missing)
+    full = _named(_named(g.lists.select("id", "part"), names), last)
+    least = full.groupBy("part").agg(F.min("id").alias("cluster"))
+    return full.join(least, "part").select("id", "cluster"), missing
+
+
+def find_voices(v: DataFrame, dim: int, threshold: float = 0.75, rounds: int = 30) -> tuple[DataFrame, DataFrame]:
+    """Members (``id, voice, degree``) and voices (``voice, size, typical``).
+
+    A voice is a community of the graph, named by its least id; ``typical`` lists its members
+    of highest degree inside it.  A vector without a link is a voice of its own.
+    """
+    g = similarity_graph(v, dim, threshold)
+    edges = materialize(_edges(g).select("id", "nb", "c", "community", "community_b"), "edges")
+    pairs = edges.groupBy("community", "community_b").agg(F.sum("c").alias("w"))
+    both = pairs.unionByName(pairs.select(F.col("community_b").alias("community"), F.col("community").alias("community_b"), "w"))
+    w = materialize(both.groupBy(F.col("community").alias("a"), F.col("community_b").alias("b")).agg(F.sum("w").alias("w")), "weights")
+    state = materialize(w.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("degree")).select("node", "degree", F.col("node").alias("voice")), "state")
+    total = state.agg(F.coalesce(F.sum("degree"), F.lit(0.0))).first()[0]
+    apart = w.where("a != b")
+    for r in range(rounds if total else 0):
+        # to each neighbouring community: what the move gains over being alone
+        near = apart.join(state.select(F.col("node").alias("b"), "voice"), "b").groupBy(F.col("a").alias("node"), F.col("voice").alias("to")).agg(F.sum("w").alias("w"))
+        near = near.unionByName(state.select("node", F.col("voice").alias("to"), F.lit(0.0).alias("w"))).groupBy("node", "to").agg(F.sum("w").alias("w"))
+        size = state.groupBy(F.col("voice").alias("to")).agg(F.sum("degree").alias("tot"))
+        gain = near.join(size, "to").join(state, "node")
+        own = F.col("to") == F.col("voice")
+        gain = gain.withColumn("gain", F.round(F.col("w") - F.col("degree") * (F.col("tot") - F.when(own, F.col("degree")).otherwise(0.0)) / F.lit(total), 9))
+        best = gain.groupBy("node").agg(F.max(F.struct("gain", (-F.col("to")).alias("to"))).alias("m"), F.max(F.when(own, F.col("gain"))).alias("now"), F.first("degree").alias("degree"), F.first("voice").alias("voice"))
+        move = (F.col("m.gain") > F.col("now") + 1e-9) & (F.pmod(F.xxhash64("node", F.lit(r)), F.lit(2)) == 0)
+        new = materialize(best.select("node", "degree", F.when(move, -F.col("m.to")).otherwise(F.col("voice")).alias("voice"), (F.col("m.gain") > F.col("now") + 1e-9).alias("restless")), "state")
+        restless = new.where("restless").count()
+        release(state)
+        state = new.drop("restless")
+        if not restless:
+            break
+    # a voice may have lost the community it is named after: its least member names it
+    voice = F.coalesce("voice", "community")
+    who = g.lists.select("id", "community").join(state.select(F.col("node").alias("community"), "voice"), "community", "left").select("id", voice.alias("_v"))
+    same = state.select(F.col("node").alias("community"), F.col("voice").alias("va")), state.select(F.col("node").alias("community_b"), F.col("voice").alias("vb"))
+    inside = w.select(F.col("a").alias("community"), F.col("b").alias("community_b")).join(same[0], "community").join(same[1], "community_b").where("va = vb").select("community", "community_b")
+    e = edges.join(inside, ["community", "community_b"])
+    degree = e.select("id", "c").unionByName(e.select(F.col("nb").alias("id"), "c")).groupBy("id").agg(F.sum("c").alias("degree"))
+    members = materialize(who.join(degree, "id", "left").fillna(0.0, ["degree"]), "members")
+    name = members.groupBy("_v").agg(F.min("id").alias("voice"), F.count("*").alias("size"))
+    best = Window.partitionBy("_v").orderBy(F.desc("degree"), "id")  # only the first of each task are shuffled
+    top = members.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= TYPICAL)
+    top = top.groupBy("_v").agg(F.array_sort(F.collect_list(F.struct("_r", "id"))).alias("t")).select("_v", F.col("t.id").alias("typical"))
+    named = members.join(name.select("_v", "voice"), "_v").select("id", "voice", F.round("degree", 6).alias("degree"))
+    return named, name.join(top, "_v").select("voice", "size", "typical")
