@@ -259,10 +259,10 @@ def test_the_graph_knows_no_shards(spark):
     hit = total = 0
     for r in g.lists.collect():
         want = np.sort(s[r.id][s[r.id] >= 0.75])[::-1][: voices.K]
-        got = [round(e.c, 9) for e in r.l]
+        got = [e.c for e in r.l]
         assert got == sorted(got, reverse=True) and len({e.nb for e in r.l}) == len(got)
-        assert all(abs(s[r.id][e.nb] - e.c) < 1e-8 for e in r.l)
-        hit += sum(c >= want[-1] - 1e-9 for c in got) if len(want) else 0
+        assert all(abs(s[r.id][e.nb] - e.c) < 1e-6 for e in r.l)  # kept in 32 bits
+        hit += sum(c >= want[-1] - 1e-6 for c in got) if len(want) else 0
         total += len(want)
     assert hit / total >= 0.9
 

@@ -159,13 +159,13 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 def p6_centroid_neighbours(spark: SparkSession, d: str) -> DataFrame:
     from voxloom.llm.similar import most_similar
 
-    return most_similar(_centroids(spark, d), DIMENSIONS, 5, 0.0, 0.8).withColumnsRenamed({"id": "centroid_id", "neighbour": "neighbour_id"})
+    return most_similar(_centroids(spark, d), DIMENSIONS, 5, slack=0.8).withColumnsRenamed({"id": "centroid_id", "neighbour": "neighbour_id"})
 
 
 def p6_segment_neighbours(spark: SparkSession, d: str) -> DataFrame:
     from voxloom.llm.similar import most_similar
 
-    return most_similar(_segments(spark, d), DIMENSIONS, 5, 0.0, 0.8, "id % 50 = 0").withColumnsRenamed({"id": "segment_id", "neighbour": "neighbour_id"})
+    return most_similar(_segments(spark, d), DIMENSIONS, 5, slack=0.8, queries="id % 50 = 0").withColumnsRenamed({"id": "segment_id", "neighbour": "neighbour_id"})
 
 
 # Problem 7

@@ -155,7 +155,7 @@ def equal_looks(records: DataFrame, part: int = 500) -> DataFrame:
     """
     h = materialize(_hashed(records), "looks")
     groups = h.groupBy("k").agg(F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo != hi")
-    groups = groups.select("k", F.least(F.lit(256), F.ceil(F.col("n") / part)).cast("int").alias("parts"))
+    groups = groups.select("k", F.ceil(F.col("n") / part).cast("int").alias("parts"))
     m = materialize(h.join(groups, "k"), "several")
     a = m.select(F.col("record").alias("record_a"), "k", F.col("t").alias("ta"), F.pmod(F.hash("record"), F.col("parts")).alias("p"))
     b = m.select(F.col("record").alias("record_b"), "k", F.col("t").alias("tb"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"))

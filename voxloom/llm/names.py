@@ -239,14 +239,16 @@ def link_names(names: DataFrame, threshold: float = WEIGHT_THRESHOLD) -> DataFra
     squares = "aggregate(l, 0D, (s, x) -> s + x.w * x.w)"
     pre = rows.withColumn("l", F.sort_array(heavy, asc=False)).withColumn("l", F.expr(f"""filter(transform(l, (x, i) ->
         struct(x.t as t, aggregate(slice(l, i + 1, size(l)), 0D, (s, y) -> s + y.w * y.w) as rest)), x -> x.rest >= {threshold * threshold / 2} * {squares}).t"""))
-    index = pre.select("id", F.explode(F.array_union("l", F.when(F.size("tokens") < 4, F.array(F.array_join("tokens", ""))).otherwise(F.array().cast("array<string>")))).alias("token")).where(F.length("token") > 1)
+    index = pre.select("id", F.explode(F.array_union("l", F.array(F.array_join("tokens", "")))).alias("token")).where(F.length("token") > 1)
     index = materialize(index.where(~F.col("token").contains("@") | (F.col("token").substr(1, 1) != "@")).distinct(), "index")
     near = similar_tokens(index.select("token").distinct())
     a = index.select(F.col("id").alias("a"), F.col("token").alias("token_a"))
     b = index.select(F.col("id").alias("b"), F.col("token").alias("token_b"))
     pairs = a.join(near, "token_a").join(b, "token_b").where("a < b").select("a", "b").distinct()
     side = lambda x: rows.select(F.col("id").alias(x), F.col("tokens").alias(f"t{x}"), F.col("weights").alias(f"w{x}"))
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b").repartition("a", "b")
+    # a number of its own: adaptive execution would put all pairs, which are small, into one task
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").repartition(tasks, "a", "b")
 
     @F.pandas_udf("struct<s: double, lean: int>")
     def verify(ta: pd.Series, tb: pd.Series, wa: pd.Series, wb: pd.Series) -> pd.DataFrame:

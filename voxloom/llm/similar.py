@@ -172,12 +172,10 @@ def most_similar(v: DataFrame, dim: int, k: int = 5, least: float = -1.0, slack:
             Tree(left["id"].to_numpy("int64"), unpack(left["v"], dim)).search(best, unpack(right["v"], dim), slack)
             return best.rows()
 
-        # visitors come in bounded batches: at most 4096 of them meet a shard in one task
-        lots = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(64)).cast("int")
-        crowd = visits.withColumn("lot", lots)
-        crowd = materialize(crowd, "visits")
-        many = crowd.groupBy("shard").agg(F.count("*").alias("n")).select("shard", F.least(F.lit(64), F.ceil(F.col("n") / 4096)).cast("int").alias("lots"))
-        crowd = crowd.join(many, "shard").withColumn("lot", F.pmod("lot", "lots")).drop("lots")
+        # visitors come in lots: about 4096 of them meet a shard in one task
+        crowd = materialize(visits, "visits")
+        many = materialize(crowd.groupBy("shard").agg(F.ceil(F.count("*") / 4096).cast("int").alias("lots")), "lots")
+        crowd = crowd.join(many, "shard").withColumn("lot", F.pmod(F.xxhash64("id", F.lit(3)), F.col("lots")).cast("int")).drop("lots")
         hosts = placed.select("id", "v", "shard").join(many, "shard").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).drop("lots")
         found.append(hosts.groupBy("shard", "lot").cogroup(crowd.groupBy("shard", "lot")).applyInPandas(call, ROWS))
     rows = found[0]

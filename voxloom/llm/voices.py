@@ -35,8 +35,8 @@ from voxloom.session import materialize, release
 K = 10
 TYPICAL = 5
 #: Rows of a block, blocks first looked into, shards visited a round, visitors per task.
-BLOCK, FIRST_BLOCKS, VISITS, LOT = 128, 4, 4, 4096
-LIST = "array<struct<c:double,nb:bigint,s:int>>"
+BLOCK, FIRST_BLOCKS, VISITS, LOT = 128, 4, 4, 16384
+LIST = "array<struct<c:float,nb:bigint,s:int>>"
 
 
 def _best(nb: np.ndarray, cos: np.ndarray, cand: np.ndarray, cs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,8 +181,8 @@ def _shard_graph(dim: int, n_all: int, threshold: float):
 
 
 def _nearest_shards(nodes: DataFrame, cells: pd.DataFrame, dim: int, threshold: float) -> DataFrame:
-    """``id, shard``: the few other shards whose cells' means are nearest to a vector, and
-    for a vector that lies in a cell similar to it."""
+    """``id, v, kth, shard``: vectors beside the few other shards whose cells' means are
+    nearest to them, as far as they are similar; a vector that lies alone takes the nearest."""
     shared = nodes.sparkSession.sparkContext.broadcast((unpack(cells["v"], dim).astype("f4"), cells["shard"].to_numpy("int32")))
 
     def go(batches):
@@ -198,10 +198,12 @@ def _nearest_shards(nodes: DataFrame, cells: pd.DataFrame, dim: int, threshold:
                 order = np.argsort(-val, axis=1, kind="stable")
                 val, where = np.take_along_axis(val, order, 1), shard[np.take_along_axis(top, order, 1)]
                 a, b = np.nonzero((val >= threshold) | (p["cell"].to_numpy()[:, None] < 0) & (val > -2))
-                pair = pd.DataFrame({"id": p["id"].to_numpy()[a], "shard": where[a, b]}).drop_duplicates()
-                yield pair[pair.groupby("id").cumcount() < VISITS]
+                pair = pd.DataFrame({"row": a, "shard": where[a, b]}).drop_duplicates()
+                pair = pair[pair.groupby("row").cumcount() < VISITS]
+                sel = p.iloc[pair["row"].to_numpy()]
+                yield pd.DataFrame({"id": sel["id"].to_numpy(), "v": sel["v"].to_numpy(), "kth": sel["kth"].to_numpy(), "shard": pair["shard"].to_numpy()})
 
-    return nodes.select("id", "v", "shard", "cell").mapInPandas(go, "id long, shard int")
+    return nodes.select("id", "v", "shard", "cell", "kth").mapInPandas(go, "id long, v binary, kth double, shard int")
 
 
 def _lots(visits: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -243,7 +245,7 @@ def _call(dim: int, threshold: float):
                         out_id.append(int(g["id"].iloc[r]))
                         out_l.append([{"c": q, "nb": o, "s": shard} for q, o in zip(c[s:e].tolist(), ids[b[s:e]].tolist())])
         if not out_id:  # Arrow converts no empty column of lists of structs
-            out_id, out_l = [-1], [[]]
+            out_id, out_l = [0], [[]]
         return pd.DataFrame({"id": np.array(out_id, "int64"), "l": out_l})
 
     return call
@@ -251,8 +253,8 @@ def _call(dim: int, threshold: float):
 
 @dataclass
 class Graph:
-    """``nodes``: id, v, shard, cell, part, community.  ``lists``: id, part, community, l -
-    the neighbours, best first.  ``cells``: about a row per pivot.  All are written tables."""
+    """``nodes``: id, v, shard, cell, part, community.  ``lists``: id, part, community, home
+    (its own shard) and l, the neighbours, best first.  ``cells``: about a row per pivot.  All are written tables."""
 
     nodes: DataFrame
     lists: DataFrame
@@ -274,38 +276,42 @@ def similarity_graph(v: DataFrame, dim: int, threshold: float = 0.75, settle: fl
     rows = materialize(lay.placed.unionByName(lone).groupBy("shard").applyInPandas(_shard_graph(dim, max(1, lay.n), threshold), NODE), "nodes")
     lay.release()
     nodes, cells = rows.where("kind = 'node'"), rows.where("kind = 'cell'").select("v", "shard", "cell", "part", "radius").toPandas()
-    lists = nodes.select("id", "part", "community", "l", F.array("shard").alias("seen"), F.lit(False).alias("better"))
-    visits, owned = (_nearest_shards(nodes, cells, dim, threshold) if len(cells) else None), False
-    while visits is not None:
-        visits = materialize(visits, "visits")
-        guests = visits.join(nodes.select("id", "v"), "id").join(lists.select("id", F.when(F.size("l") >= K, F.element_at("l", -1)["c"]).otherwise(F.lit(threshold)).alias("kth")), "id")
-        found = _meet(nodes, guests, _call(dim, threshold), f"id long, l {LIST}", ["id", "v"]).where("size(l) > 0")
-        was = visits.groupBy("id").agg(F.collect_set("shard").alias("_s"))  # a few shards each
-        news = found.groupBy("id").agg(F.flatten(F.collect_list("l")).alias("_l"))  # K of each visit at most
-        # a shard is visited once, so no neighbour is found twice
-        best = F.slice(F.sort_array(F.concat("l", F.coalesce("_l", F.array().cast(LIST))), asc=False), 1, K)
-        grown = lists.join(was, "id", "left").join(news, "id", "left")
-        grown = grown.select("id", "part", "community", best.alias("l"), F.concat("seen", F.coalesce("_s", F.array().cast("array<int>"))).alias("seen"), F.col("_l").isNotNull().alias("better"))
-        grown = materialize(grown, "lists")
-        release(visits)
+    lists = nodes.select("id", "part", "community", F.col("shard").alias("home"), "l", F.array("shard").alias("seen"), F.lit(False).alias("better"))
+    guests, owned, none = (_nearest_shards(nodes, cells, dim, threshold) if len(cells) else None), False, F.array().cast(LIST)
+    while guests is not None:
+        guests = materialize(guests, "visits")
+        found = _meet(nodes, guests, _call(dim, threshold), f"id long, l {LIST}", ["id", "v"])
+        # what a list was, whom it found and where it was, in one aggregation; a shard is visited
+        # once, so no neighbour is found twice
+        news = lists.withColumn("was", F.lit(True)).unionByName(found.where("size(l) > 0"), True).unionByName(guests.select("id", F.array("shard").alias("seen")), True)
+        grown = news.groupBy("id").agg(
+            *[F.max(c).alias(c) for c in ("part", "community", "home")], F.flatten(F.collect_list("l")).alias("l"), F.array_sort(F.flatten(F.collect_list("seen"))).alias("seen"), F.bool_or(F.col("was").isNull() & F.col("l").isNotNull()).alias("better")
+        )
+        grown = materialize(grown.withColumn("l", F.slice(F.sort_array("l", asc=False), 1, K)), "lists")
+        release(guests)
         if owned:
             release(lists)
         lists, owned = grown, True
         changed = lists.where("better").count()
         if changed <= settle * lay.n:
             break
-        # where the neighbours' neighbours of changed lists are
-        edges = lists.where("better").select("id", "seen", F.explode("l.nb").alias("nb"))
-        homes = lists.select(F.col("id").alias("nb"), F.array_distinct("l.s").alias("h"))
-        far = edges.join(homes, "nb").select("id", F.explode(F.array_except("h", "seen")).alias("shard")).distinct()
-        pick = Window.partitionBy("id").orderBy(F.xxhash64("id", "shard"))
-        visits = far.withColumn("_r", F.row_number().over(pick)).where(F.col("_r") <= VISITS).select("id", "shard")
+        # where the neighbours of a list's own part are: its neighbours' neighbours among them
+        homes = lists.select("part", F.explode("l.s").alias("s")).distinct().groupBy("part").agg(F.collect_set("s").alias("h"))  # shards
+        far = lists.where("better").join(_small(homes), "part").select("id", F.when(F.size("l") >= K, F.element_at("l", -1)["c"]).otherwise(F.lit(threshold)).cast("double").alias("kth"), F.array_except("h", "seen").alias("h"))
+        pick = F.slice(F.array_sort(F.transform("h", lambda x: F.struct(F.xxhash64("id", x).alias("r"), x.alias("s")))), 1, VISITS).getField("s")
+        visits = materialize(far.select("id", "kth", F.explode(pick).alias("shard")), "pairs")
+        guests = nodes.select("id", "v").join(_small(visits), "id")
     return Graph(nodes, lists, cells, lay.n_outliers, dim, threshold)
 
 
+def _small(d: DataFrame, most: int = 500_000) -> DataFrame:
+    """A table of narrow rows, to be broadcast if it has at most so many."""
+    return F.broadcast(d) if d.limit(most + 1).count() <= most else d
+
+
 def _edges(g: Graph) -> DataFrame:
     """``id, nb, c`` with part and community of both ends."""
-    e = g.lists.select("id", "part", "community", F.explode("l").alias("e")).select("id", "part", "community", F.col("e.nb").alias("nb"), F.col("e.c").alias("c"))
+    e = g.lists.select("id", "part", "community", F.explode("l").alias("e")).select("id", "part", "community", F.col("e.nb").alias("nb"), F.col("e.c").cast("double").alias("c"), F.col("e.s").alias("s"))
     return e.join(g.lists.select(F.col("id").alias("nb"), F.col("part").alias("part_b"), F.col("community").alias("community_b")), "nb")
 
 
@@ -343,7 +349,7 @@ def missing_links(g: Graph, names: DataFrame) -> DataFrame:
     are compared with each other directly, a bounded block at a time.
     """
     dim, threshold, spark = g.dim, g.threshold, g.nodes.sparkSession
-    rows = materialize(_named(g.nodes.select("id", "v", "shard", "cell", "part"), names), "check")
+    rows = materialize(_named(g.nodes.select("id", "v", "shard", "cell", "part"), _small(names)), "check")
     own = spark.createDataFrame(pd.DataFrame({"node": sorted({int(p) for p in g.cells["part"] if p >= 0})}, dtype="int64"), "node long") if len(g.cells) else None
     where = {r["node"]: r["component"] for r in names.join(own, "node").collect()} if own is not None else {}  # at most a row per cell
     cells = g.cells.assign(part=[where.get(p, p) for p in g.cells["part"]])
@@ -397,7 +403,9 @@ def find_clusters(v: DataFrame, dim: int, threshold: float = 0.75) -> tuple[Data
     its least id.  A vector like no other is a cluster of its own.
     """
     g = similarity_graph(v, dim, threshold)
-    across = _edges(g).where("part != part_b").select(F.least("part", "part_b").alias("u"), F.greatest("part", "part_b").alias("v")).distinct()
+    # a link inside the first shard joins one part already
+    far = g.lists.select("part", "home", F.explode("l").alias("e")).where("e.s != home").select("part", F.col("e.nb").alias("nb"))
+    across = far.join(g.lists.select(F.col("id").alias("nb"), F.col("part").alias("part_b")), "nb").where("part != part_b").select(F.least("part", "part_b").alias("u"), F.greatest("part", "part_b").alias("v")).distinct()
     names = materialize(connected_components(across), "joined")
     missing = missing_links(g, names)
     last = connected_components(missing)
