@@ -76,6 +76,14 @@ def resample(x: np.ndarray, rate: int, to: int, zeros: int = 16) -> np.ndarray:
     return out.astype("f4")
 
 
+def prepared(decoder: Decoder, content: bytes, rate: int = RATE, peak: float = PEAK) -> np.ndarray:
+    """One channel of a recording at the working rate, brought to a peak unless silent."""
+    x, r = decoder(content)
+    y = resample(np.atleast_2d(x).mean(axis=0), r, rate)
+    top = float(np.abs(y).max()) if len(y) else 0.0
+    return y * np.float32(peak / top) if top > 0 else y
+
+
 def decoded(
     files: DataFrame, rate: int | None = RATE, peak: float | None = PEAK, only_above_mb: float = 0.0, silence_on_error: bool = False, decoder: Decoder = decode_wav, mono: bool = True
 ) -> DataFrame:

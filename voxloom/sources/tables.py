@@ -35,9 +35,12 @@ def catalog(df: DataFrame, root: str = "", position: str | None = None) -> DataF
     return d.drop("_pos")
 
 
+def read_catalog_file(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+
+
 def read_catalog(spark: SparkSession, path: str, root: str = "") -> DataFrame:
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return catalog(raw, root)
+    return catalog(read_catalog_file(spark, path), root)
 
 
 def read_stage(
