@@ -155,12 +155,31 @@ def test_global_speakers_follow_the_merge(spark, data):
     from voxloom.plans import speakers as P
 
     want = {r.centroid_id: r.final_cluster for r in P.global_merge(spark, data).collect()}
-    found = P.merged_summary(spark, data).collect()
+    found = P.global_summary(spark, data).collect()
     assert len(found) == len(set(want.values())) and sorted(r.global_speaker_id for r in found) == list(range(len(found)))
     samples = {r.centroid_id: r.num_samples for r in P.centroids(spark, data).collect()}
     sums = {}
     for c, f in want.items():
         sums[f] = sums.get(f, 0) + samples[c]
     assert [r.total_samples for r in sorted(found, key=lambda r: r.global_speaker_id)] == sorted(sums.values(), reverse=True)
-    checked = P.merged_validation(spark, data).collect()
+    checked = P.cluster_validation(spark, data).collect()
     assert len(checked) == len(found) and all(r.validation == 1 for r in checked if r.least is None)
+
+
+def test_speakers_from_vectors_to_names(spark):
+    from voxloom.pipeline.stages import global_labels, local_labels
+
+    rng = np.random.default_rng(2)
+    voice = C.normalize(rng.normal(size=(3, 24)))
+    rows = []
+    for book, voices_, n in (("a", (0, 1), 60), ("b", (0, 2), 55), ("c", (1,), 3)):
+        for v in voices_:
+            rows += [(book, f"{book}{v}{i}", (3 * (voice[v] + 0.02 * rng.normal(size=24))).tolist()) for i in range(n)]
+    d = spark.createDataFrame(rows, "book string, path string, embedding array<double>").withColumn("speaker_id", F.lit(-7))
+    local = local_labels(d, "book", "path", 24)
+    labels, summary = global_labels(local, "book", "path", 24)
+    got = labels.toPandas()
+    of = lambda p: set(got[got["path"].str.startswith(p)]["global_speaker_id"])
+    assert of("a0") == of("b0") and len(of("a0")) == 1 and len({*of("a0"), *of("a1"), *of("b2")}) == 3 and "c" not in set(got["book"])
+    s = {r.global_speaker_id: r for r in summary.collect()}
+    assert s[0].books == "a, b" and s[0].num_books == 2 and s[0].global_speaker_id in of("a0") and all(0 <= r.confidence_score <= 1 for r in s.values())

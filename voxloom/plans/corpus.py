@@ -8,7 +8,7 @@ from voxloom.functions.models import with_punctuation
 from voxloom.operators import release as L
 from voxloom.operators.sequence import keep_last
 from voxloom.plans.base import query, table
-from voxloom.plans.text_quality import SCORED, scored
+from voxloom.plans.text_quality import CLEAN, JOINED, SCORED, SPLIT, scored
 from voxloom.sources.tables import catalog
 
 
@@ -62,17 +62,12 @@ MERGED = f"WITH {LATEST} {TXT}, merged AS (SELECT * FROM seg JOIN who USING (seg
 PASSES = "audio_quality_score >= 75 AND text_quality_score >= 0.5 AND NOT coalesce(has_background_music, false) AND global_speaker_id <> -1"
 
 
-@query(f"""{MERGED} SELECT segment_path, final_duration_ms, global_speaker_id, round(speaker_confidence, 6) AS speaker_confidence, round(audio_quality_score, 6) AS audio_quality_score,
-    round(text_quality_score, 6) AS text_quality_score FROM merged WHERE {PASSES} AND completion_status IS DISTINCT FROM 'Incomplete'""")
+@query(f"""{MERGED} SELECT segment_path, {JOINED} AS final_transcript_punctuated, final_duration_ms, global_speaker_id, round(speaker_confidence, 6) AS speaker_confidence,
+    round(audio_quality_score, 6) AS audio_quality_score, round(text_quality_score, 6) AS text_quality_score
+    FROM (SELECT *, {SPLIT} AS w FROM (SELECT *, {CLEAN} AS c FROM merged WHERE {PASSES} AND completion_status IS DISTINCT FROM 'Incomplete'))""")
 def release_manifest(spark, d):
-    r = L.present(released(spark, d), COLUMNS)
-    return r.withColumns({c: F.round(c, 6) for c in ("speaker_confidence", "audio_quality_score", "text_quality_score")})
-
-
-@query()
-def release_manifest_punctuated(spark, d):
     r = with_punctuation(released(spark, d), "final_transcript", "final_transcript_punctuated")
-    return L.present(r, COLUMNS)
+    return L.present(r, COLUMNS).withColumns({c: F.round(c, 6) for c in ("speaker_confidence", "audio_quality_score", "text_quality_score")})
 
 
 @query(f"{MERGED} SELECT count(*) AS segments, round(sum(final_duration_ms) / 3600000, 6) AS hours, count(DISTINCT global_speaker_id) AS speakers FROM merged WHERE {PASSES} AND completion_status IS DISTINCT FROM 'Incomplete'")

@@ -142,7 +142,9 @@ def trim_search(spark, d):
     return t.select(*key, "start_trimmed_ms", "end_trimmed_ms")
 
 
-@query()
+@query(f"""WITH t AS ({TRIMS}), a AS (SELECT *, coalesce((SELECT max(x) FROM unnest(range(0, budget + 1, 100)) u(x) WHERE duration_ms - x >= 500 AND x <= safe_end), 0)::INT AS e FROM t),
+    b AS (SELECT *, coalesce((SELECT max(x) FROM unnest(range(0, budget + 1, 100)) u(x) WHERE duration_ms - e - x >= 500 AND x <= safe_start), 0)::INT AS s FROM a)
+    SELECT segment_id, s AS start_trimmed_ms, e AS end_trimmed_ms, (duration_ms - s - e)::INT AS final_duration_ms FROM b""")
 def trim_search_visiting(spark, d):
     """The bisection with a transcriber in Python, called only where the search looks."""
 

@@ -141,13 +141,13 @@ def ranked(members, own):
 
 
 @query(f"{RULE} SELECT global_speaker_id, total_samples, num_books, books FROM r")
-def global_summary(spark, d):
+def fixed_summary(spark, d):
     return ranked(fixed(spark, d), F.col("centroid_id") + 1_000_000)[1].select("global_speaker_id", "total_samples", "num_books", "books")
 
 
 @query(f"""{RULE} SELECT e.segment_id, coalesce(max(global_speaker_id), -1) AS global_speaker_id FROM ({VALID}) e
     LEFT JOIN (SELECT title_index, local_speaker_id, min(global_speaker_id) AS global_speaker_id FROM m JOIN r USING (final_cluster) GROUP BY 1, 2) x ON e.title_index = x.title_index AND e.speaker_id = x.local_speaker_id GROUP BY 1""")
-def global_ids(spark, d):
+def fixed_ids(spark, d):
     return segment_ids(spark, d, *ranked(fixed(spark, d), F.col("centroid_id") + 1_000_000))
 
 
@@ -162,7 +162,7 @@ LEAST = f"SELECT a.title_index, min(list_cosine_similarity(a.embedding, b.embedd
 
 
 @query(f"SELECT title_index, round(least, 5) AS least, round(CASE WHEN least >= 0.9 THEN 1.0 WHEN least >= 0.85 THEN 0.5 + (least - 0.85) / 0.05 * 0.5 ELSE 0.0 END, 4)::DOUBLE AS validation FROM ({LEAST})")
-def cluster_validation(spark, d):
+def book_validation(spark, d):
     p = V.pairs_within(centroids(spark, d), "title_index", "centroid_id", "centroid_embedding").groupBy("title_index").agg(F.min("cos").alias("least"))
     return p.select("title_index", F.round("least", 5).alias("least"), F.round(C.validation_score(F.col("least")), 4).alias("validation"))
 
@@ -174,19 +174,38 @@ def merged_ranked(spark, d):
 
 
 @query()
-def merged_summary(spark, d):
+def global_summary(spark, d):
     return merged_ranked(spark, d)[1].select("global_speaker_id", "total_samples", "num_books", "books")
 
 
 @query()
-def merged_ids(spark, d):
+def global_ids(spark, d):
     return segment_ids(spark, d, *merged_ranked(spark, d))
 
 
 @query()
-def merged_validation(spark, d):
+def cluster_validation(spark, d):
     """Least cosine inside each global speaker's cluster; 1 for a speaker of one centroid."""
     m, t = merged_ranked(spark, d)
     p = V.pairs_within(m, "final_cluster", "centroid_id", "centroid_embedding").groupBy("final_cluster").agg(F.min("cos").alias("least"))
     v = t.join(p, "final_cluster", "left")
     return v.select("global_speaker_id", F.round("least", 5).alias("least"), F.round(F.when(F.col("least").isNull(), 1.0).otherwise(C.validation_score(F.col("least"))), 4).alias("validation"))
+
+
+def chain(spark, d):
+    """Clustering inside books, pruning, centroids, the merge across books and its names, one
+    after the other, over the stored vectors."""
+    from voxloom.pipeline.stages import global_labels, local_labels
+
+    e = embeddings(spark, d).select("segment_id", "title_index", "embedding")
+    return global_labels(materialize(local_labels(e, "title_index", "segment_id", DIM), "local"), "title_index", "segment_id", DIM)
+
+
+@query()
+def speaker_chain(spark, d):
+    return chain(spark, d)[0].select("segment_id", "title_index", "speaker_id", "speaker_confidence", "global_speaker_id")
+
+
+@query()
+def speaker_chain_summary(spark, d):
+    return chain(spark, d)[1]

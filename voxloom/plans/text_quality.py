@@ -135,17 +135,21 @@ def transcript_validity(spark, d):
 CLEAN = sql_squeeze(f"translate(coalesce(translate(final_transcript, '{T.MARK_FROM}', '{T.MARK_TO}'), ''), '{T.MARKS}', '')")
 
 
-@query(f"""SELECT segment_id, processing_timestamp, array_to_string(list_transform(range(len(w)), lambda i: w[i + 1] || CASE WHEN i = len(w) - 1 THEN '.'
-    WHEN w[i + 2] IN ('اما', 'ولی', 'زیرا', 'که') THEN '،' ELSE '' END), ' ') AS punctuated
-    FROM (SELECT *, CASE WHEN c = '' THEN [] ELSE string_split(c, ' ') END AS w FROM (SELECT segment_id, processing_timestamp, {CLEAN} AS c FROM segments))""")
+#: Marks after the words w of a cleaned text, and the words of c.
+JOINED = "array_to_string(list_transform(range(len(w)), lambda i: w[i + 1] || CASE WHEN i = len(w) - 1 THEN '.' WHEN w[i + 2] IN ('اما', 'ولی', 'زیرا', 'که') THEN '،' ELSE '' END), ' ')"
+SPLIT = "CASE WHEN c = '' THEN [] ELSE string_split(c, ' ') END"
+
+
+@query(f"SELECT segment_id, processing_timestamp, {JOINED} AS punctuated FROM (SELECT *, {SPLIT} AS w FROM (SELECT segment_id, processing_timestamp, {CLEAN} AS c FROM segments))")
 def punctuation_restored(spark, d):
     return with_punctuation(segments(spark, d), "final_transcript", "punctuated").select("segment_id", "processing_timestamp", "punctuated")
 
 
-@query()
+@query(f"""SELECT segment_id, processing_timestamp, len(w) AS n_words, array_to_string(list_transform(range(len(w)), lambda i: CASE WHEN i = len(w) - 1 THEN 'B-.' WHEN w[i + 2] IN ('اما', 'ولی', 'زیرا', 'که') THEN 'B-،' ELSE 'O' END), ' ') AS labels
+    FROM (SELECT *, {SPLIT} AS w FROM (SELECT segment_id, processing_timestamp, {sql_normalize('final_transcript')} AS c FROM segments))""")
 def punctuation_labels(spark, d):
-    s = segments(spark, d).select("segment_id", T.words(T.normalize(F.col("final_transcript"))).alias("words"))
-    return s.withColumn("labels", mark_labels(F.col("words")))
+    s = segments(spark, d).select("segment_id", "processing_timestamp", T.words(T.normalize(F.col("final_transcript"))).alias("words"))
+    return s.select("segment_id", "processing_timestamp", F.size("words").alias("n_words"), F.array_join(mark_labels(F.col("words")), " ").alias("labels"))
 
 
 @query()
