@@ -236,6 +236,47 @@ SQL: dict[str, str] = {
             coalesce(CASE WHEN isnan(audio_quality_score) THEN NULL ELSE -audio_quality_score END, 'infinity'::DOUBLE), segment_id) AS k FROM m)
         SELECT segment_id FROM r WHERE k > (SELECT floor(0.02 * count(*)) FROM m)""",
 }
+SQL["p3_capped_manifest"] = SQL["p3_found"].replace("SELECT segment_id, row_number() OVER (PARTITION BY global", "SELECT *, row_number() OVER (PARTITION BY global").replace(
+    "SELECT segment_id FROM r WHERE k > (", "SELECT segment_id, global_speaker_id, audio_quality_score FROM r WHERE k <= ("
+)
+
+#: Vectors of 96 finite values that are not all zero, an id once by its latest row, as doubles.
+VECTORS = """(SELECT {0} AS id, {1}::DOUBLE[] AS v FROM (SELECT *, row_number() OVER (PARTITION BY {0} ORDER BY {2} DESC, {1} DESC) AS k FROM {3}
+    WHERE {0} IS NOT NULL AND {1} IS NOT NULL AND len({1}) = 96 AND len(list_filter({1}, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter({1}, lambda x: x <> 0)) > 0) WHERE k = 1)"""
+SQL["p5_found"] = f"""
+    WITH RECURSIVE x AS MATERIALIZED {VECTORS.format('segment_id', 'embedding', 'extracted_at', 'segment_embeddings')},
+    e AS MATERIALIZED (SELECT a.id AS u, b.id AS w FROM x a, x b WHERE a.id <> b.id AND list_cosine_similarity(a.v, b.v) >= 0.75),
+    r(id, other) AS (SELECT u, w FROM e WHERE w < u UNION SELECT r.id, e.w FROM r JOIN e ON e.u = r.other WHERE e.w <> r.id),
+    c AS (SELECT u AS id, least(u, coalesce(min(other), u)) AS cluster FROM (SELECT DISTINCT u FROM e) LEFT JOIN r ON r.id = u GROUP BY u)
+    SELECT cluster AS segment_id_a, id AS segment_id_b FROM c WHERE cluster <> id"""
+SQL["p6_found"] = f"""
+    WITH x AS MATERIALIZED {VECTORS.format('centroid_id', 'centroid_embedding', 'computed_at', 'speaker_centroids')},
+    p AS (SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.v, b.v), 12) AS c FROM x a, x b WHERE a.id <> b.id),
+    n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY c DESC, b) AS k FROM p) WHERE k <= 5 AND c >= 0.8)
+    SELECT DISTINCT least(a, b) AS centroid_id_a, greatest(a, b) AS centroid_id_b FROM n"""
+
+#: Scores of each rater's latest readable snapshot.
+LABELS = r"""(SELECT user_id, regexp_extract(k, '^(\d+)_(.+)$', 1)::INT AS audio_index, regexp_extract(k, '^(\d+)_(.+)$', 2) AS question, score FROM (
+    SELECT user_id, j.key AS k, try_cast(translate(trim(j.value->>'$', ' '), '۰۱۲۳۴۵۶۷۸۹٠١٢٣٤٥٦٧٨٩０１２３４５６７８９٫，,．', '012345678901234567890123456789....') AS DOUBLE) AS score FROM (
+      SELECT user_id, s, row_number() OVER (PARTITION BY user_id ORDER BY saved_at DESC, len(json_keys(s)) DESC, s DESC) AS n FROM (
+        SELECT user_id, saved_at, CASE WHEN json_valid(scores) AND json_type(scores) = 'OBJECT' THEN scores::JSON ELSE '{}'::JSON END AS s FROM user_sessions WHERE user_id IS NOT NULL)
+      WHERE len(json_keys(s)) > 0) q, json_each(q.s) j WHERE n = 1) WHERE regexp_matches(k, '^\d+_.+$') AND score BETWEEN 1 AND 5)"""
+SQL["p4_agreement"] = f"""
+    WITH i AS (SELECT question, audio_index, count(*) AS n, sum(score) AS s, sum(score * score) AS ss FROM {LABELS} GROUP BY 1, 2 HAVING count(*) > 1),
+    q AS (SELECT question, count(*) AS n_items, sum(n)::BIGINT AS n, sum(2 * (n * ss - s * s) / (n - 1)) AS inside, sum(s) AS s, sum(ss) AS ss FROM i GROUP BY 1)
+    SELECT question, n_items, n AS n_scores, round(CASE WHEN n * ss > s * s THEN 1 - (inside / n) / (2 * (n * ss - s * s) / (n * (n - 1.0::DOUBLE))) END, 6) AS alpha FROM q"""
+
+#: A segment's component follows from its one speaker; the hash of the component falls into a range.
+SPLITS = """
+    r AS (SELECT segment_id, max(CASE WHEN global_speaker_id <> -1 THEN global_speaker_id END) AS s FROM release_manifest GROUP BY 1),
+    c AS (SELECT segment_id, md5(CASE WHEN s IS NULL THEN '=' || segment_id ELSE 'global_speaker_id=' || s END) AS component FROM r),
+    t AS (SELECT split, sum(target_share) OVER (ORDER BY split) / sum(target_share) OVER () AS upto, row_number() OVER (ORDER BY split DESC) AS last FROM split_targets WHERE target_share > 0),
+    a AS (SELECT segment_id, component, (SELECT arg_min(split, upto) FROM t WHERE ('0x' || substr(md5('42:' || component), 1, 12))::BIGINT / 281474976710656.0::DOUBLE < upto OR last = 1) AS split FROM c)"""
+SQL["p7_splits"] = f"WITH {SPLITS} SELECT segment_id, component, split FROM a"
+SQL["p7_split_shares"] = f"""
+    WITH {SPLITS}, n AS (SELECT split, component, count(*) AS n FROM a GROUP BY 1, 2), g AS (SELECT split, sum(n)::BIGINT AS n_segments, count(*) AS n_components, max(n) AS most FROM n GROUP BY 1)
+    SELECT split, target_share, coalesce(n_segments, 0) AS n_segments, coalesce(n_components, 0) AS n_components,
+      coalesce(n_segments, 0) / (SELECT sum(n_segments) FROM g)::DOUBLE AS reached_share, coalesce(most, 0) / (SELECT sum(n_segments) FROM g)::DOUBLE AS largest_component_share FROM split_targets LEFT JOIN g USING (split)"""
 
 
 def oracle_sql() -> dict[str, str]:
