@@ -249,6 +249,32 @@ def test_clusters_are_exact(spark):
     assert none.count() == 0 and missing.count() == 0
 
 
+def test_the_margin_of_halves_holds():
+    rng = np.random.default_rng(6)
+    for d in (2, 16, 96):
+        x = rng.normal(size=(400, d)) * 10.0 ** rng.integers(-3, 4, (400, d))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        h = voices._halves([r.tobytes() for r in x.astype("<f2")], d)
+        assert np.abs(x @ x.T - h @ h.T).max() < voices.MARGIN
+
+
+def test_pairs_near_the_threshold_are_looked_at_again(spark):
+    """Chains whose links lie within a hair of the threshold, on either side."""
+    rows = []
+    for i in range(120):
+        c = 0.75 + (i % 7 - 3) * 1e-4
+        a = np.zeros(16)
+        a[i % 14] = 1.0
+        b = np.zeros(16)
+        b[i % 14], b[14 + i % 2] = c, np.sqrt(1 - c * c)
+        rows += [(2 * i, a.astype("f4")), (2 * i + 1, b.astype("f4"))]
+    x = np.array([r[1] for r in rows]).astype("f8")
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    t = spark.createDataFrame([(i, v.tolist(), 1) for i, v in rows], "id long, v array<float>, at int")
+    got, _ = voices.find_clusters(vectors.valid_vectors(t, "id", "v", 16, ["at"]), 16, 0.75)
+    assert {r.id: r.cluster for r in got.collect()} == brute_clusters(x, 0.75)
+
+
 def test_the_graph_knows_no_shards(spark):
     """Tiny shards: lists still hold the nearest neighbours of all rows, and only true ones."""
     t, x = vector_table(spark, 1500, 10, seed=3)
@@ -261,8 +287,8 @@ def test_the_graph_knows_no_shards(spark):
         want = np.sort(s[r.id][s[r.id] >= 0.75])[::-1][: voices.K]
         got = [e.c for e in r.l]
         assert got == sorted(got, reverse=True) and len({e.nb for e in r.l}) == len(got)
-        assert all(abs(s[r.id][e.nb] - e.c) < 1e-6 for e in r.l)  # kept in 32 bits
-        hit += sum(c >= want[-1] - 1e-6 for c in got) if len(want) else 0
+        assert all(abs(s[r.id][e.nb] - e.c) < voices.MARGIN and s[r.id][e.nb] >= 0.75 for e in r.l)
+        hit += sum(s[r.id][e.nb] >= want[-1] - 1e-9 for e in r.l) if len(want) else 0
         total += len(want)
     assert hit / total >= 0.9
 

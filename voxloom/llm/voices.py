@@ -138,7 +138,10 @@ def louvain(n: int, a: np.ndarray, b: np.ndarray, w: np.ndarray, total: float, l
     return member
 
 
-NODE = f"kind string, id long, v binary, shard int, cell int, part long, community long, kth double, l {LIST}, radius double"
+#: Vectors travel as unit vectors of 16-bit floats.  A component is off by at most 2**-11 of
+#: itself, so a cosine by less than this; whatever lies nearer to the threshold is looked at again.
+MARGIN = 1.2e-3
+NODE = f"kind string, id long, v binary, h binary, shard int, cell int, part long, community long, kth double, l {LIST}, radius double"
 
 
 def _shard_graph(dim: int, n_all: int, threshold: float):
@@ -165,7 +168,8 @@ def _shard_graph(dim: int, n_all: int, threshold: float):
         start = np.searchsorted(a, np.arange(n + 1))
         lists = [[{"c": c, "nb": o, "s": shard} for c, o in zip(w[s:e].tolist(), ids[b[s:e]].tolist())] for s, e in zip(start[:-1], start[1:])]
         kth = np.array([x[-1]["c"] if len(x) >= K else threshold for x in lists])
-        nodes = pd.DataFrame({"kind": "node", "id": ids, "v": pdf["v"].to_numpy(), "shard": shard, "cell": pdf["cell"].to_numpy(), "part": least_part[part], "community": least_com[com], "kth": kth, "l": lists, "radius": 0.0})
+        half = [r.tobytes() for r in x.astype("<f2")]
+        nodes = pd.DataFrame({"kind": "node", "id": ids, "v": pdf["v"].to_numpy(), "h": half, "shard": shard, "cell": pdf["cell"].to_numpy(), "part": least_part[part], "community": least_com[com], "kth": kth, "l": lists, "radius": 0.0})
         stats, cell = [], pdf["cell"].to_numpy()
         for c in np.unique(cell):
             m = np.flatnonzero(cell == c)
@@ -174,14 +178,14 @@ def _shard_graph(dim: int, n_all: int, threshold: float):
             center = center / norm if norm > 1e-9 else x[m[0]]
             angle = float(np.arccos(np.clip((x[m] @ center).min(), -1, 1))) + 1e-3
             parts = np.unique(least_part[part[m]])
-            stats.append(("cell", 0, center.astype("<f4").tobytes(), shard, int(c), int(parts[0]) if len(parts) == 1 else -1, -1, 0.0, [], angle))
+            stats.append(("cell", 0, center.astype("<f4").tobytes(), b"", shard, int(c), int(parts[0]) if len(parts) == 1 else -1, -1, 0.0, [], angle))
         return pd.concat([nodes, pd.DataFrame(stats, columns=nodes.columns)], ignore_index=True) if stats else nodes
 
     return work
 
 
 def _nearest_shards(nodes: DataFrame, cells: pd.DataFrame, dim: int, threshold: float) -> DataFrame:
-    """``id, v, kth, shard``: vectors beside the few other shards whose cells' means are
+    """``id, h, kth, shard``: vectors beside the few other shards whose cells' means are
     nearest to them, as far as they are similar; a vector that lies alone takes the nearest."""
     shared = nodes.sparkSession.sparkContext.broadcast((unpack(cells["v"], dim).astype("f4"), cells["shard"].to_numpy("int32")))
 
@@ -201,9 +205,9 @@ def _nearest_shards(nodes: DataFrame, cells: pd.DataFrame, dim: int, threshold:
                 pair = pd.DataFrame({"row": a, "shard": where[a, b]}).drop_duplicates()
                 pair = pair[pair.groupby("row").cumcount() < VISITS]
                 sel = p.iloc[pair["row"].to_numpy()]
-                yield pd.DataFrame({"id": sel["id"].to_numpy(), "v": sel["v"].to_numpy(), "kth": sel["kth"].to_numpy(), "shard": pair["shard"].to_numpy()})
+                yield pd.DataFrame({"id": sel["id"].to_numpy(), "h": sel["h"].to_numpy(), "kth": sel["kth"].to_numpy(), "shard": pair["shard"].to_numpy()})
 
-    return nodes.select("id", "v", "shard", "cell", "kth").mapInPandas(go, "id long, v binary, kth double, shard int")
+    return nodes.select("id", "v", "h", "shard", "cell", "kth").mapInPandas(go, "id long, h binary, kth double, shard int")
 
 
 def _lots(visits: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -220,25 +224,25 @@ def _meet(nodes: DataFrame, visits: DataFrame, call, schema: str, columns: list[
     return hosts.groupBy("shard", "lot").cogroup(guests.groupBy("shard", "lot")).applyInPandas(call, schema)
 
 
+def _halves(col, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(col), "<f2").reshape(len(col), -1).astype("f4") if len(col) else np.zeros((0, dim), "f4")
+
+
 def _call(dim: int, threshold: float):
-    """What visitors find that is better than the worst of their lists."""
+    """What visitors surely find that is better than the worst of their lists."""
 
     def call(host: pd.DataFrame, guest: pd.DataFrame) -> pd.DataFrame:
         out_id, out_l = [], []
         if len(host) and len(guest):
-            ids, y, shard = host["id"].to_numpy("int64"), unpack(host["v"], dim), int(host["shard"].iloc[0])
-            y4 = y.astype("f4")
+            ids, y, shard = host["id"].to_numpy("int64"), _halves(host["h"], dim), int(host["shard"].iloc[0])
             for i in range(0, len(guest), 1024):
                 g = guest.iloc[i : i + 1024]
-                x, kth = unpack(g["v"], dim), g["kth"].to_numpy()
-                cos = x.astype("f4") @ y4.T
+                cos = _halves(g["h"], dim) @ y.T
                 k = min(K, cos.shape[1])
                 top = np.argpartition(-cos, k - 1, axis=1)[:, :k]
-                a, b = np.nonzero(np.take_along_axis(cos, top, 1) >= np.maximum(threshold, kth)[:, None] - 1e-5)
-                b = top[a, b]
-                c = np.einsum("nd,nd->n", x[a], y[b])
-                sure = (c >= threshold) & (c >= kth[a])
-                a, b, c = a[sure], b[sure], c[sure]
+                val = np.take_along_axis(cos, top, 1)
+                a, b = np.nonzero(val >= np.maximum(threshold + MARGIN, g["kth"].to_numpy())[:, None])
+                c, b = val[a, b], top[a, b]
                 start = np.searchsorted(a, np.arange(len(g) + 1))
                 for r, (s, e) in enumerate(zip(start[:-1], start[1:])):
                     if e > s:
@@ -280,14 +284,16 @@ def similarity_graph(v: DataFrame, dim: int, threshold: float = 0.75, settle: fl
     guests, owned, none = (_nearest_shards(nodes, cells, dim, threshold) if len(cells) else None), False, F.array().cast(LIST)
     while guests is not None:
         guests = materialize(guests, "visits")
-        found = _meet(nodes, guests, _call(dim, threshold), f"id long, l {LIST}", ["id", "v"])
+        found = _meet(nodes, guests, _call(dim, threshold), f"id long, l {LIST}", ["id", "h"])
         # what a list was, whom it found and where it was, in one aggregation; a shard is visited
         # once, so no neighbour is found twice
-        news = lists.withColumn("was", F.lit(True)).unionByName(found.where("size(l) > 0"), True).unionByName(guests.select("id", F.array("shard").alias("seen")), True)
+        who = _small(materialize(guests.select("id").distinct(), "who"))
+        news = lists.join(who, "id", "left_semi").withColumn("was", F.lit(True)).unionByName(found.where("size(l) > 0"), True).unionByName(guests.select("id", F.array("shard").alias("seen")), True)
         grown = news.groupBy("id").agg(
             *[F.max(c).alias(c) for c in ("part", "community", "home")], F.flatten(F.collect_list("l")).alias("l"), F.array_sort(F.flatten(F.collect_list("seen"))).alias("seen"), F.bool_or(F.col("was").isNull() & F.col("l").isNotNull()).alias("better")
         )
-        grown = materialize(grown.withColumn("l", F.slice(F.sort_array("l", asc=False), 1, K)), "lists")
+        grown = grown.where("home is not null").withColumn("l", F.slice(F.sort_array("l", asc=False), 1, K))
+        grown = materialize(grown.unionByName(lists.join(who, "id", "left_anti").withColumn("better", F.lit(False))), "lists")
         release(guests)
         if owned:
             release(lists)
@@ -300,7 +306,9 @@ def similarity_graph(v: DataFrame, dim: int, threshold: float = 0.75, settle: fl
         far = lists.where("better").join(_small(homes), "part").select("id", F.when(F.size("l") >= K, F.element_at("l", -1)["c"]).otherwise(F.lit(threshold)).cast("double").alias("kth"), F.array_except("h", "seen").alias("h"))
         pick = F.slice(F.array_sort(F.transform("h", lambda x: F.struct(F.xxhash64("id", x).alias("r"), x.alias("s")))), 1, VISITS).getField("s")
         visits = materialize(far.select("id", "kth", F.explode(pick).alias("shard")), "pairs")
-        guests = nodes.select("id", "v").join(_small(visits), "id")
+        if visits.isEmpty():
+            break
+        guests = nodes.select("id", "h").join(_small(visits), "id")
     return Graph(nodes, lists, cells, lay.n_outliers, dim, threshold)
 
 
@@ -321,7 +329,7 @@ def _named(d: DataFrame, names: DataFrame, column: str = "part") -> DataFrame:
 
 
 def _routes(asks: DataFrame, cells: pd.DataFrame, dim: int, threshold: float) -> DataFrame:
-    """``id, v, part, shard``: shards with a cell of another part (or of several) that may
+    """``id, h, part, shard``: shards with a cell of another part (or of several) that may
     hold a vector of at least this cosine."""
     table = (unpack(cells["v"], dim).astype("f4"), cells["radius"].to_numpy(), cells["part"].to_numpy("int64"), cells["shard"].to_numpy("int32"))
     shared = asks.sparkSession.sparkContext.broadcast(table)
@@ -337,9 +345,9 @@ def _routes(asks: DataFrame, cells: pd.DataFrame, dim: int, threshold: float) ->
                 other = part[c] != p["part"].to_numpy("int64")[a]
                 pair = np.unique(np.stack([a[other], shard[c[other]]], axis=1), axis=0)
                 sel = p.iloc[pair[:, 0]]
-                yield pd.DataFrame({"id": sel["id"].to_numpy(), "v": sel["v"].to_numpy(), "part": sel["part"].to_numpy(), "shard": pair[:, 1].astype("int32")})
+                yield pd.DataFrame({"id": sel["id"].to_numpy(), "h": sel["h"].to_numpy(), "part": sel["part"].to_numpy(), "shard": pair[:, 1].astype("int32")})
 
-    return asks.select("id", "v", "part").mapInPandas(go, "id long, v binary, part long, shard int")
+    return asks.select("id", "v", "h", "part").mapInPandas(go, "id long, h binary, part long, shard int")
 
 
 def missing_links(g: Graph, names: DataFrame) -> DataFrame:
@@ -349,7 +357,7 @@ def missing_links(g: Graph, names: DataFrame) -> DataFrame:
     are compared with each other directly, a bounded block at a time.
     """
     dim, threshold, spark = g.dim, g.threshold, g.nodes.sparkSession
-    rows = materialize(_named(g.nodes.select("id", "v", "shard", "cell", "part"), _small(names)), "check")
+    rows = _named(g.nodes.select("id", "v", "h", "shard", "cell", "part"), _small(names))
     own = spark.createDataFrame(pd.DataFrame({"node": sorted({int(p) for p in g.cells["part"] if p >= 0})}, dtype="int64"), "node long") if len(g.cells) else None
     where = {r["node"]: r["component"] for r in names.join(own, "node").collect()} if own is not None else {}  # at most a row per cell
     cells = g.cells.assign(part=[where.get(p, p) for p in g.cells["part"]])
@@ -374,26 +382,36 @@ def missing_links(g: Graph, names: DataFrame) -> DataFrame:
         found = part if found is None else found.unionByName(part)
 
     def call(host: pd.DataFrame, guest: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"u": [], "v": []}, dtype="int64")]
+        """Clusters that a pair surely links (ids -1), and pairs that lie too near to tell."""
+        out = [pd.DataFrame({"u": [], "v": [], "a": [], "b": []}, dtype="int64")]
         if len(host) and len(guest):
-            y, hp = unpack(host["v"], dim), host["part"].to_numpy("int64")
-            y4 = y.astype("f4")
+            y, hp, hi = _halves(host["h"], dim), host["part"].to_numpy("int64"), host["id"].to_numpy("int64")
             for i in range(0, len(guest), 1024):
                 g_ = guest.iloc[i : i + 1024]
-                x, gp = unpack(g_["v"], dim), g_["part"].to_numpy("int64")
-                a, b = np.nonzero(x.astype("f4") @ y4.T >= threshold - 1e-5)
+                gp, gi = g_["part"].to_numpy("int64"), g_["id"].to_numpy("int64")
+                cos = _halves(g_["h"], dim) @ y.T
+                a, b = np.nonzero(cos >= threshold - MARGIN)
                 apart = gp[a] != hp[b]
                 a, b = a[apart], b[apart]
-                sure = np.einsum("nd,nd->n", x[a], y[b]) >= threshold
-                out.append(pd.DataFrame({"u": gp[a[sure]], "v": hp[b[sure]]}).drop_duplicates())
+                sure = cos[a, b] >= threshold + MARGIN
+                out.append(pd.DataFrame({"u": gp[a], "v": hp[b], "a": np.where(sure, -1, gi[a]), "b": np.where(sure, -1, hi[b])}).drop_duplicates())
         return pd.concat(out).drop_duplicates()
 
     if len(cells):
-        met = _meet(rows.where("cell >= 0"), materialize(_routes(rows, cells, dim, threshold), "routes"), call, "u long, v long", ["v", "part"])
-        found = met if found is None else found.unionByName(met)
-    out = materialize((found if found is not None else g.lists.select(F.col("part").alias("u"), F.col("part").alias("v")).where("false")).distinct(), "missing")
-    release(rows)
-    return out
+        met = materialize(_meet(rows.where("cell >= 0"), materialize(_routes(rows, cells, dim, threshold), "routes"), call, "u long, v long, a long, b long", ["id", "h", "part"]), "met")
+        sure = met.where("a = -1 and b = -1").select("u", "v")
+        # what two clusters surely link need not be looked at again; of the rest the vectors are fetched
+        near = _small(met.where("a != -1 or b != -1").join(sure.distinct(), ["u", "v"], "left_anti"))
+
+        @F.pandas_udf("double")
+        def cosine(p: pd.Series, q: pd.Series) -> pd.Series:
+            return pd.Series(np.einsum("nd,nd->n", unpack(p, dim), unpack(q, dim)) if len(p) else [], dtype="float64")
+
+        side = lambda x: g.nodes.select(F.col("id").alias(x), F.col("v").alias(f"v{x}"))
+        near = materialize(side("a").join(near, "a"), "near")
+        told = side("b").join(_small(near), "b").where(cosine("va", "vb") >= threshold).select("u", "v")
+        found = (sure if found is None else found.unionByName(sure)).unionByName(told)
+    return materialize((found if found is not None else g.lists.select(F.col("part").alias("u"), F.col("part").alias("v")).where("false")).distinct(), "missing")
 
 
 def find_clusters(v: DataFrame, dim: int, threshold: float = 0.75) -> tuple[DataFrame, DataFrame]:
