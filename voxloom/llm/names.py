@@ -254,6 +254,7 @@ def link_names(names: DataFrame, threshold: float = WEIGHT_THRESHOLD) -> DataFra
     def verify(ta: pd.Series, tb: pd.Series, wa: pd.Series, wb: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([name_similarity(list(p), list(q), list(x), list(y)) for p, q, x, y in zip(ta, tb, wa, wb)], columns=["s", "lean"])
 
+    verify = verify.asNondeterministic()  # else the filter on its result is put before the repartition, and it with it
     links = materialize(pairs.select("a", "b", verify("ta", "tb", "wa", "wb").alias("v")).where(F.col("v.s") >= threshold).select("a", "b", "v.s", "v.lean"), "links")
     firm = connected_components(links.where("lean = 0").select(F.col("a").alias("u"), F.col("b").alias("v")))
     comp = parsed.select("id", "n").join(firm.withColumnRenamed("node", "id"), "id", "left").select("id", "n", F.coalesce("component", "id").alias("c"))
