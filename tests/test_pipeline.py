@@ -130,3 +130,44 @@ def test_command_line(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(str(tmp_path / "segments")).count() == 4
     assert main(["trim", "--root", str(tmp_path), "--transcriber", "tests.test_pipeline:listen"]) == 0
     assert main(["score-text", "--root", str(tmp_path)]) == 0
+
+
+def test_evaluation(spark, tmp_path):
+    from voxloom.__main__ import main
+    from voxloom.functions.models import spectral_embedding
+    from voxloom.pipeline import evaluation as E
+
+    for name, y in (("a", tone(1, 220)), ("b", tone(1, 220) * 0.5), ("c", tone(1, 900))):
+        (tmp_path / f"{name}.wav").write_bytes(A.wav_bytes(y))
+    text = listen(tone(1, 220), RATE)
+    rows = [(text, "a.wav", "b.wav", "f"), ("چیز دیگری", "a.wav", "c.wav", "m"), (text, "a.wav", "missing.wav", None), (None, "a.wav", "b.wav", "f")]
+    samples = spark.createDataFrame(rows, "transcript string, reference_audio string, generated_audio string, Gender string")
+    rates, summary = E.word_error_rates(spark, samples, str(tmp_path), E.transcribing(listen))
+    got = {(r.transcript, r.generated_audio): r for r in rates.collect()}
+    assert len(got) == 3 and got[(text, "missing.wav")].hypothesis == "" and got[(text, "missing.wav")].wer == 1 and summary.first().n == 3
+    assert got[(text, "b.wav")].wer < 0.5 and got[("چیز دیگری", "c.wav")].wer > 1
+    rows_, tiers, means = E.speaker_similarity(spark, samples, str(tmp_path), spectral_embedding(), out=str(tmp_path / "out"))
+    s = {r.generated_audio: r.similarity for r in rows_.collect()}
+    assert s["b.wav"] > s["c.wav"] and s["missing.wav"] is None and tiers.first().n == 3 and {r.gender for r in means.collect()} == {"f", "m"}
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 4
+    (tmp_path / "s.csv").write_text(f"transcript,reference_audio,generated_audio,Gender\n{text},a.wav,b.wav,f\n")
+    assert main(["wer", "--root", str(tmp_path), "--samples", str(tmp_path / "s.csv"), "--transcriber", "tests.test_pipeline:listen"]) == 0
+    assert main(["similarity", "--root", str(tmp_path), "--samples", str(tmp_path / "s.csv")]) == 0
+
+
+def test_tagged_punctuation(spark):
+    from voxloom.functions.models import with_tagged_punctuation
+
+    def factory():
+        def tag(text):
+            if "خطا" in text:
+                raise RuntimeError
+            out = [(None, "O")]
+            for i, w in enumerate(text.split(" ")[:3]):  # the model's limit: three words
+                out += [(i, "B-؟"), (i, "B-." if i == 2 else "O")] if len(w) > 2 else [(i, "B-،")]
+            return out + [(None, "B-.")]
+
+        return tag
+
+    d = spark.createDataFrame([(1, "او رفت خانه  دیر"), (2, "خطا, اینجا"), (3, "  "), (4, None)], "i int, t string")
+    assert {r.i: r.p for r in with_tagged_punctuation(d, "t", "p", factory).collect()} == {1: "او، رفت خانه. دیر", 2: "خطا, اینجا", 3: "", 4: ""}

@@ -84,6 +84,45 @@ def with_punctuation(df: DataFrame, text: str, name: str) -> DataFrame:
     return d.withColumn(name, join_marks(F.col("_w"), F.col("_l"))).drop("_w", "_l")
 
 
+#: A text to its sub-tokens' (place of their word, or None; label), cut off at the model's limit.
+Tagger = Callable[[str], list[tuple[int | None, str]]]
+
+
+def marked(text: str, words_: list[str], tags: list[tuple[int | None, str]]) -> str:
+    """Words with the marks of their labels: of a word's sub-tokens the last one speaks for it;
+    words beyond the model's limit have none."""
+    marks = [""] * len(words_)
+    for i, (place, label) in enumerate(tags):
+        last = i + 1 == len(tags) or tags[i + 1][0] != place
+        if place is not None and place < len(words_) and last:
+            marks[place] = "" if label == "O" else label.replace("B-", "")
+    return " ".join(w + m for w, m in zip(words_, marks))
+
+
+def with_tagged_punctuation(df: DataFrame, text: str, name: str, tagger: Callable[[], Tagger]) -> DataFrame:
+    """Add text with the marks that a model of sub-tokens restores.  ``tagger`` is called once
+    per worker.  A text it fails at stays as it is; blank and null become empty."""
+    from voxloom.operators.text import squeeze
+
+    clean = squeeze(strip_marks(unify_marks(F.col(text))))
+
+    @F.pandas_udf("string")
+    def restore(cleaned: pd.Series, raw: pd.Series) -> pd.Series:
+        model = once("tagger", tagger)
+
+        def one(c, r) -> str:
+            if not c:
+                return ""
+            try:
+                return marked(c, c.split(" "), model(c))
+            except Exception:
+                return r
+
+        return pd.Series([one(c, r) for c, r in zip(cleaned, raw)], dtype=object)
+
+    return df.withColumn(name, restore(clean, F.coalesce(F.col(text), F.lit(""))))
+
+
 def has_music(labels: Column) -> Column:
     """Whether a segmenter's labels name music; null means none."""
     return F.coalesce(F.array_contains(labels, "music"), F.lit(False))
