@@ -92,18 +92,18 @@ def slow_cap(rows, limit):
     return kept
 
 
-@pytest.mark.parametrize("cuts", [4, 64])
-def test_caps_against_brute_force(spark, cuts):
+@pytest.mark.parametrize("cuts,per_task", [(4, 100_000), (64, 100_000), (4, 5)])
+def test_caps_against_brute_force(spark, cuts, per_task):
     rnd = random.Random(cuts)
     score = lambda: rnd.choice([None, float("nan"), 0.0, 1.0, 50.0, 50.0, 50.0, rnd.random() * 100])
     rows = [(i, rnd.choice([None, 1, 1, 1, 2, 3]), score()) for i in range(600)]
     d = spark.createDataFrame(rows, "i long, c int, q double").withColumn("kept", F.lit("clash")).withColumn("_q", F.lit(0))
     for limit in (0, 1, 37, 500):
-        out = capping.cap_contributors(d, "c", "i", "q", max_count=limit, cuts=cuts).collect()
+        out = capping.cap_contributors(d, "c", "i", "q", max_count=limit, cuts=cuts, per_task=per_task).collect()
         assert len(out) == sum(r[1] is not None for r in rows)
         assert {r.i for r in out if r.kept} == slow_cap(rows, limit)
     same_quality = [(i, 1, 5.0) for i in range(400)]
-    out = capping.cap_contributors(spark.createDataFrame(same_quality, "i long, c int, q double"), "c", "i", "q", max_share=0.1, cuts=cuts).where("kept").collect()
+    out = capping.cap_contributors(spark.createDataFrame(same_quality, "i long, c int, q double"), "c", "i", "q", max_share=0.1, cuts=cuts, per_task=per_task).where("kept").collect()
     assert {r.i for r in out} == set(range(40))
     assert capping.cap_contributors(d.where("false"), "c", "i", "q", max_share=0.5).count() == 0
 
