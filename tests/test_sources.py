@@ -172,3 +172,8 @@ def test_release_rules(spark):
 def test_config(monkeypatch):
     monkeypatch.setenv("VOXLOOM_ROOT", "/tmp/x")
     assert Config().folder("release") == "/tmp/x/release"
+    monkeypatch.setenv("VOXLOOM_TRIMMED", "/else/where")
+    from voxloom.pipeline.stages import Corpus
+
+    c = Corpus(None, "/r", None, Config())
+    assert (c.at("trimmed"), c.at("speakers/global"), c.at("status")) == ("/else/where", "/r/speakers/global", "/r/status")

@@ -70,7 +70,7 @@ def main(arguments: list[str] | None = None) -> int:
         raise SystemExit("--transcriber is needed to segment and to trim")
     if a.stage in ("wer", "similarity"):
         return evaluate(spark, a, root, made)
-    corpus = Corpus(spark, root, Models(**made))
+    corpus = Corpus(spark, root, Models(**made), Config())
     books = lambda: read_catalog_file(spark, a.catalog or f"{root}/catalog.csv")
     how = {"retry_failed": a.retry_failed, "reset": a.reset, "most_books": a.most_books}
     steps = {

@@ -1,4 +1,4 @@
-"""Folders and thresholds, each overridable by an environment variable."""
+"""Folders and thresholds; each folder is overridable by an environment variable."""
 
 from __future__ import annotations
 
@@ -22,8 +22,15 @@ class Config:
     root: str = _path("VOXLOOM_ROOT", "~/voxloom-data")
     catalog: str = _path("VOXLOOM_CATALOG", "")
     segments: str = _path("VOXLOOM_SEGMENTS", "")
-    scores: str = _path("VOXLOOM_SCORES", "")
+    segments_audio: str = _path("VOXLOOM_SEGMENTS_AUDIO", "")
+    trimmed: str = _path("VOXLOOM_TRIMMED", "")
+    trimmed_audio: str = _path("VOXLOOM_TRIMMED_AUDIO", "")
+    audio_scores: str = _path("VOXLOOM_AUDIO_SCORES", "")
+    text_scores: str = _path("VOXLOOM_TEXT_SCORES", "")
+    embeddings: str = _path("VOXLOOM_EMBEDDINGS", "")
+    speakers: str = _path("VOXLOOM_SPEAKERS", "")
     release: str = _path("VOXLOOM_RELEASE", "")
+    status: str = _path("VOXLOOM_STATUS", "")
     min_audio_score: float = 75.0
     min_text_score: float = 0.5
     merge_similarity: float = 0.85

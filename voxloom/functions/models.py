@@ -50,11 +50,6 @@ def apply_model(df: DataFrame, column: str, name: str, factory: Callable[[], Bat
     return df.mapInPandas(work, schema)
 
 
-def energy_speech(y: Column, level: float = 0.02) -> Column:
-    """Stand-in for the voice detector: a frame's level is above a limit."""
-    return F.abs(y) > level
-
-
 def completion_status(text: Column) -> Column:
     """Stand-in for the completeness model: a text that ends in a mark or a verb form."""
     return F.when(~has_text(text), "Invalid").when(text.rlike(r"(?:[.!?؟]|است|بود|شد|گفت|رفت|ماند|کرد)\s*$"), "Complete").otherwise("Incomplete")

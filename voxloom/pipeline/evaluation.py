@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -37,7 +38,7 @@ def with_clip(spark: SparkSession, samples: DataFrame, column: str, root: str, n
     a second of silence where there is none that can be read."""
     files = A.audio_files(spark, root, A.CLIPS)
     d = A.decoded(files, A.RATE, None, silence_on_error=silence, decoder=decoder)
-    d = d.select(F.regexp_extract("path", f"^(?:[a-z0-9]+:/*(?=/))?{root.rstrip('/')}/(.+)$", 1).alias("_f"), F.col("samples").alias(name))
+    d = d.select(F.regexp_extract("path", f"^(?:[a-z0-9]+:/*(?=/))?{re.escape(root.rstrip('/'))}/(.+)$", 1).alias("_f"), F.col("samples").alias(name))
     out = samples.join(d, samples[column] == d["_f"], "left").drop("_f")
     return out.withColumn(name, F.coalesce(name, F.array_repeat(F.lit(0.0).cast("float"), A.RATE))) if silence else out
 

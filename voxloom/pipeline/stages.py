@@ -16,9 +16,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from voxloom.config import Config
 from voxloom.functions.models import Batch, apply_model, spectral_embedding, with_punctuation
 from voxloom.operators import cluster as C
 from voxloom.operators import release as L
@@ -57,11 +58,18 @@ class Models:
 class Corpus:
     """A root folder that all executors see, its tables and files."""
 
-    def __init__(self, spark: SparkSession, root: str, models: Models):
-        self.spark, self.root, self.models = spark, root.rstrip("/"), models
+    def __init__(self, spark: SparkSession, root: str, models: Models, config: Config | None = None):
+        self.spark, self.root, self.models, self.config = spark, root.rstrip("/"), models, config
 
     def at(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        """The folder of a table or of files: the configured one, else one below the root."""
+        first, _, rest = name.partition("/")
+        folder = (self.config and getattr(self.config, first, "")) or f"{self.root}/{first}"
+        return f"{folder}/{rest}" if rest else folder
+
+    def name_in(self, folder: str) -> Column:
+        """The name of a file's ``path`` relative to a folder."""
+        return F.regexp_extract("path", f"^(?:[a-z0-9]+:/*(?=/))?{re.escape(self.at(folder))}/(.+)$", 1)
 
     def table(self, name: str) -> DataFrame | None:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.at(name))
@@ -75,8 +83,7 @@ class Corpus:
 
     def files(self, folder: str, suffixes=A.CLIPS) -> DataFrame:
         """Audio files below a folder of the root, ``name`` relative to that folder."""
-        f = A.audio_files(self.spark, self.at(folder), suffixes)
-        return f.withColumn("name", F.regexp_extract("path", f"/{folder}/(.+)$", 1))
+        return A.audio_files(self.spark, self.at(folder), suffixes).withColumn("name", self.name_in(folder))
 
     # 1
     def segment(self, books: DataFrame, retry_failed: bool = False, reset: bool = False, most_books: int | None = None) -> DataFrame:
@@ -149,7 +156,7 @@ class Corpus:
         m = self.models
         todo = self.left(self.table("segments").where("segment_path is not null"), "trimmed", "segment_path")
         a = A.decoded(self.files("segments_audio"), None, None, decoder=m.decoder)
-        a = a.withColumn("segment_path", F.regexp_extract("path", "/segments_audio/(.+)$", 1)).select("segment_path", "samples", "sample_rate")
+        a = a.withColumn("segment_path", self.name_in("segments_audio")).select("segment_path", "samples", "sample_rate")
         d = todo.join(a.where("samples is not null"), "segment_path")
         d = materialize(d.withColumns({"duration_ms": F.floor(F.size("samples") * 1000 / F.col("sample_rate")), "target": F.col("final_transcript")}), "to-trim")
 
@@ -170,7 +177,7 @@ class Corpus:
         f = self.left(self.files("trimmed_audio"), "audio_scores", "name", "file_path")
         d = A.decoded(f, A.LARGE_RATE, None, only_above_mb=A.LARGE_MB, decoder=self.models.decoder)
         good, bad = A.readable(d)
-        s = audio_scores(good, self.models.music).withColumn("file_path", F.regexp_extract("path", "/trimmed_audio/(.+)$", 1))
+        s = audio_scores(good, self.models.music).withColumn("file_path", self.name_in("trimmed_audio"))
         s = s.withColumns({"audiobook_folder": F.regexp_extract("file_path", "([^/]+)/[^/]+$", 1), "filename": F.regexp_extract("file_path", "[^/]+$", 0)}).drop("path")
         s = s.join(f.select(F.col("name").alias("file_path"), (F.col("length") / A.MB).alias("file_size_mb")), "file_path")
         s.write.mode("append").parquet(self.at("audio_scores"))
@@ -188,7 +195,7 @@ class Corpus:
         or encoded are tried again by the next run."""
         m = self.models
         f = self.left(self.files("trimmed_audio"), "embeddings", "name", "segment_path")
-        d = A.readable(A.decoded(f, None, None, decoder=m.decoder))[0].withColumn("segment_path", F.regexp_extract("path", "/trimmed_audio/(.+)$", 1))
+        d = A.readable(A.decoded(f, None, None, decoder=m.decoder))[0].withColumn("segment_path", self.name_in("trimmed_audio"))
         e = apply_model(d.select("segment_path", "samples"), "samples", "encoder", m.encoder, "array<double>", "embedding").where("embedding is not null").select("segment_path", "embedding")
         meta = keep_last(self.table("trimmed").select(F.col("fixed_segment_path").alias("segment_path"), "audiobook_name", "title_index", "narrator", "final_transcript", "completion_status", "final_duration_ms", "processing_timestamp"), ["segment_path"], [F.col("processing_timestamp")])
         e.join(meta.drop("processing_timestamp"), "segment_path").write.mode("append").partitionBy("audiobook_name").parquet(self.at("embeddings"))
