@@ -246,9 +246,9 @@ def link_names(names: DataFrame, threshold: float = WEIGHT_THRESHOLD) -> DataFra
     b = index.select(F.col("id").alias("b"), F.col("token").alias("token_b"))
     pairs = a.join(near, "token_a").join(b, "token_b").where("a < b").select("a", "b").distinct()
     side = lambda x: rows.select(F.col("id").alias(x), F.col("tokens").alias(f"t{x}"), F.col("weights").alias(f"w{x}"))
-    # a number of its own: adaptive execution would put all pairs, which are small, into one task
+    # a number and a key of its own: adaptive execution would put all pairs, which are small, into one task
     tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b").repartition(tasks, "a", "b")
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").repartition(tasks, F.xxhash64("a", "b"))
 
     @F.pandas_udf("struct<s: double, lean: int>")
     def verify(ta: pd.Series, tb: pd.Series, wa: pd.Series, wb: pd.Series) -> pd.DataFrame:
