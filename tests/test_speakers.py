@@ -34,6 +34,29 @@ def test_average_link_against_plain_form():
             assert as_sets(C.average_link(x, below=below)) == slow_average_link(x, below)
 
 
+def slow_dbscan(x, eps, points=3):
+    near = (1 - x @ x.T) <= eps
+    core, labels, cur = near.sum(axis=1) >= points, [-1] * len(x), 0
+    for i in range(len(x)):
+        if core[i] and labels[i] < 0:
+            todo = [i]
+            labels[i] = cur
+            while todo:
+                for b in np.flatnonzero(near[todo.pop(0)]):
+                    if labels[b] < 0:
+                        labels[b] = cur
+                        if core[b]:
+                            todo.append(b)
+            cur += 1
+    return labels
+
+
+def test_dbscan_against_plain_form():
+    x, _ = groups(20, 4, d=8, spread=0.6)
+    for eps in (0.02, 0.1, 0.3, 0.6):
+        assert C.dbscan(x, eps).tolist() == slow_dbscan(x, eps)
+
+
 def test_speaker_number_and_labels():
     x, truth = groups(15, 3)
     assert as_sets(C.average_link(x, 3)) == as_sets(truth)

@@ -141,11 +141,12 @@ def dbscan(x: np.ndarray, eps: float, points: int = MIN_POINTS, near: np.ndarray
             continue
         todo = np.array([i])
         labels[i] = cur
-        while len(todo):
+        left = np.flatnonzero(labels < 0)  # only what has no label yet is compared
+        while len(todo) and len(left):
             found = []
             for j in range(0, len(todo), BLOCK):
-                reached = ((1 - x[todo[j : j + BLOCK]] @ x.T) <= eps).any(axis=0)
-                new = np.flatnonzero(reached & (labels < 0))
+                reached = ((1 - x[todo[j : j + BLOCK]] @ x[left].T) <= eps).any(axis=0)
+                new, left = left[reached], left[~reached]
                 labels[new] = cur
                 found.append(new[core[new]])
             todo = np.concatenate(found)
