@@ -114,7 +114,7 @@ def most_similar(v: DataFrame, dim: int, k: int = 5, least: float = -1.0, slack:
     cells, sc = lay.cells, v.sparkSession.sparkContext
     placed = materialize(lay.placed.withColumn("q", F.expr(queries)), "placed")
 
-    def own(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def own(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         x, ids = unpack(pdf["v"], dim), pdf["id"].to_numpy("int64")
         asked = np.flatnonzero(pdf["q"].to_numpy(bool))
         best = Best(ids[asked], k, least)

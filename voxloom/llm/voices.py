@@ -147,7 +147,7 @@ NODE = f"kind string, id long, v binary, h binary, shard int, cell int, part lon
 def _shard_graph(dim: int, n_all: int, threshold: float):
     """The graph of one shard: lists, parts that its links join, communities; and its cells."""
 
-    def work(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def work(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["cell", "id"], kind="stable")
         ids, x, shard = pdf["id"].to_numpy("int64"), unpack(pdf["v"], dim), int(pdf["shard"].iloc[0])
         n = len(ids)
