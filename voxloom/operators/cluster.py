@@ -358,7 +358,7 @@ def local_speakers(df: DataFrame, book: str, identifier: str, vector: str, dim:
     v = materialize(df.where(is_valid(F.col(vector), dim)).select(F.col(book).alias("b"), F.col(identifier).alias("i"), F.col(vector).alias("v")).dropDuplicates(["b", "i"]), "vectors")
     schema = "b long, i long, speaker_id int, speaker_confidence double, status string"
 
-    def cluster(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def cluster(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("i")
         raw = np.vstack(pdf["v"].to_numpy()).astype("f8")
         n = len(raw)
@@ -427,7 +427,7 @@ def global_merge(v: DataFrame, dim: int, distance: float = MERGE_DISTANCE) -> Da
     """
     comp = connected_components(close_pairs(v, dim, 1 - distance))
 
-    def merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
         ids = pdf["id"].to_numpy("int64")
         la = average_link(np.vstack(pdf["v"].to_numpy()).astype("f8"), below=distance)
