@@ -12,9 +12,11 @@ by a bound of the curvature (a softmax curves by at most a half) and goes ``RELA
 far, which below twice as far cannot lower the dual; rounds end when it rises by less than a
 tolerance.
 
-Labels lie in chunks of an item, so that an item that very many rated is never in one row.
-A round reads the chunks twice and shuffles sums per item and per rater, formed per task
-first.  The raters' parameters go to all tasks while they are few, else they are joined in.
+An item whose labels fill one chunk is a row with its labels and its parameters, which are
+updated in place; the labels of an item that more rated lie in several chunks, so it is
+never in one row, and its sums are aggregated.  Of the others only sums per rater are
+shuffled, formed per task first.  The raters' parameters go to all tasks while they are few,
+else they are joined in.
 Agreement is measured apart from the model.
 """
 
@@ -88,14 +90,18 @@ class Fit:
         count = [F.count_if(F.col("k") == c).cast("double").alias(f"n{c}") for c in range(K)]
         near = [sum((F.lit(w) * F.col(f"n{o}") for o in range(K) if (w := (1.0, 0.35, 0.1, 0.02, 0.01)[abs(o - c)])), F.lit(0.0)) for c in range(K)]
         total = sum(near[1:], near[0])
-        self.items = materialize(labels.groupBy("item").agg(*count, F.count("*").alias("n")).select("item", "n", F.array(*[n / total for n in near]).alias("q"), zero.alias("t")), "items")
-        parts = self.items.select("item", F.ceil(F.col("n") / chunk).alias("_p"))
+        items = materialize(labels.groupBy("item").agg(*count, F.count("*").alias("n")).select("item", "n", F.array(*[n / total for n in near]).alias("q"), zero.alias("t")), "items")
+        parts = items.select("item", F.ceil(F.col("n") / chunk).alias("_p"))
         cut = labels.join(parts, "item").withColumn("chunk", F.pmod(F.xxhash64("rater"), F.col("_p")))
         cut = cut.groupBy("item", "chunk").agg(F.collect_list(F.struct("rater", "k")).alias("_l"))  # about `chunk` labels a row
-        self.chunks = materialize(cut.select("item", "chunk", F.col("_l.rater").alias("raters"), F.col("_l.k").alias("ks")), "chunks")
+        cut = materialize(cut.select("item", "chunk", F.col("_l.rater").alias("raters"), F.col("_l.k").alias("ks")), "chunks")
+        #: Items of one chunk, with their labels; chunks of the others, and their parameters.
+        self.solo = materialize(cut.join(items.where(F.col("n") <= chunk), "item"), "solo")
+        self.shared = items.where(F.col("n") > chunk)
+        self.chunks = cut if not self.shared.isEmpty() else None
         trust = F.array(*[F.lit(float(-0.5 * abs(c - k))) for c in range(K) for k in range(K)])
         self.raters = materialize(labels.groupBy("rater").agg(F.count("*").alias("n_labels")).select("rater", "n_labels", trust.alias("s")), "raters")
-        self.n_labels, self.n_raters = self.items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], self.raters.count()
+        self.n_labels, self.n_raters = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], self.raters.count()
         self._spread()
 
     def _spread(self) -> None:
@@ -105,44 +111,73 @@ class Fit:
             r = self.raters.select("rater", "s").toPandas().sort_values("rater")
             self.table = self.raters.sparkSession.sparkContext.broadcast((r["rater"].to_numpy("int64"), _stack(r["s"], KK)))
 
-    def rows(self) -> DataFrame:
-        """Chunks with the state of their item, and of their raters where these are many."""
+    @property
+    def items(self) -> DataFrame:
+        """``item, n, q, t`` of all items."""
+        solo = self.solo.select("item", "n", "q", "t")
+        return solo if self.chunks is None else solo.unionByName(self.shared.select("item", "n", "q", "t"))
+
+    def rows(self, solo: bool = True, shared: bool = True) -> DataFrame:
+        """Chunks with the parameters of their item."""
+        mine = self._with_raters(self.solo) if solo else None
+        if not shared or self.chunks is None:
+            return mine
+        rest = self._with_raters(self.chunks.join(self.shared, "item"))
+        return rest if mine is None else mine.unionByName(rest)
+
+    def _with_raters(self, d: DataFrame) -> DataFrame:
+        """Chunks with the parameters of their raters too, where these are many."""
         if self.table is not None:
-            return self.chunks.join(self.items, "item")
-        each = self.chunks.select("item", "chunk", F.explode(F.arrays_zip("raters", "ks")).alias("_e")).select("item", "chunk", F.col("_e.raters").alias("rater"), F.col("_e.ks").alias("k"))
+            return d
+        each = d.select("item", "chunk", F.explode(F.arrays_zip("raters", "ks")).alias("_e")).select("item", "chunk", F.col("_e.raters").alias("rater"), F.col("_e.ks").alias("k"))
         each = each.join(self.raters.select("rater", "s"), "rater").groupBy("item", "chunk").agg(F.collect_list(F.struct("rater", "k", "s")).alias("_l"))
-        return each.join(self.items, "item").select("item", "n", "q", "t", F.col("_l.rater").alias("raters"), F.col("_l.k").alias("ks"), F.flatten("_l.s").alias("sigma"))
+        return each.join(d.drop("raters", "ks"), ["item", "chunk"]).select("item", "chunk", "n", "q", "t", F.col("_l.rater").alias("raters"), F.col("_l.k").alias("ks"), F.flatten("_l.s").alias("sigma"))
 
     def item_step(self) -> None:
         """Posteriors of the items by their closed form, then their parameters."""
-        table = self.table
+        table, p = self.table, self.item_penalty
 
-        def sums(batches):
+        def sums_of(pdf):
+            row, n, _, x, lp = _unrolled(pdf, table.value if table is not None else None)
+            at = np.arange(len(x))
+            g = -np.exp(lp)
+            g[at, :, x] += 1
+            return np.add.reduceat(np.hstack([g.reshape(-1, KK), lp[at, :, x]]), np.r_[0, np.cumsum(n)[:-1]], axis=0)
+
+        def update(batches):
             for pdf in batches:
                 if not len(pdf):
                     continue
-                row, n, _, x, lp = _unrolled(pdf, table.value if table is not None else None)
-                at = np.arange(len(x))
-                g = -np.exp(lp)
-                g[at, :, x] += 1
-                start = np.r_[0, np.cumsum(n)[:-1]]
-                both = np.hstack([g.reshape(-1, KK), lp[at, :, x]])
-                total = np.add.reduceat(both, start, axis=0)
-                out = pd.DataFrame(total, columns=[f"v{i}" for i in range(KK + K)])
-                out.insert(0, "item", pdf["item"].to_numpy())
-                yield out
+                total, t, n = sums_of(pdf), _stack(pdf["t"], KK), pdf["n"].to_numpy("f8")
+                q = np.exp(total[:, KK:] - total[:, KK:].max(axis=1, keepdims=True))
+                q /= q.sum(axis=1, keepdims=True)
+                w = np.repeat(q, K, axis=1)
+                t = t + RELAX * (w * total[:, :KK] - p * t) / (0.5 * n[:, None] * w + p)
+                yield pdf[["item", "chunk", "raters", "ks", "n"]].assign(q=list(q), t=list(t))
+
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.solo.select("item", "chunk", "raters", "ks", "n").schema)
+        new = materialize(self.rows(shared=False).mapInPandas(update, f"{kinds}, q array<double>, t array<double>"), "solo")
+        release(self.solo)
+        self.solo = new
+        if self.chunks is None:
+            return
+
+        def sums(batches):
+            for pdf in batches:
+                if len(pdf):
+                    out = pd.DataFrame(sums_of(pdf), columns=[f"v{i}" for i in range(KK + K)])
+                    out.insert(0, "item", pdf["item"].to_numpy())
+                    yield out
 
         cols = [f"v{i}" for i in range(KK + K)]
-        got = self.rows().mapInPandas(sums, "item long, " + ", ".join(f"{c} double" for c in cols)).groupBy("item").agg(*[F.sum(c).alias(c) for c in cols])
-        d = got.join(self.items, "item")
+        got = self.rows(solo=False).mapInPandas(sums, "item long, " + ", ".join(f"{c} double" for c in cols)).groupBy("item").agg(*[F.sum(c).alias(c) for c in cols])
+        d = got.join(self.shared, "item")
         lls = [F.col(f"v{KK + c}") for c in range(K)]
         d = d.withColumn("_m", F.greatest(*lls)).withColumn("_e", F.array(*[F.exp(x - F.col("_m")) for x in lls]))
         d = d.withColumn("_z", F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)).withColumn("q", F.transform("_e", lambda x: x / F.col("_z")))
-        p, at = self.item_penalty, lambda a, i: F.element_at(a, i + 1)
+        at = lambda a, i: F.element_at(a, i + 1)
         step = [at("t", i) + RELAX * (at("q", i // K) * F.col(f"v{i}") - p * at("t", i)) / (0.5 * F.col("n") * at("q", i // K) + p) for i in range(KK)]
-        new = materialize(d.select("item", "n", "q", F.array(*step).alias("t")), "items")
-        release(self.items)
-        self.items = new
+        self.shared = materialize(d.select("item", "n", "q", F.array(*step).alias("t")), "items")
 
     def rater_step(self) -> float:
         """Parameters of the raters; the value of the dual before the step."""
