@@ -192,8 +192,8 @@ def _nearest_shards(nodes: DataFrame, cells: pd.DataFrame, dim: int, threshold:
     def go(batches):
         centre, shard = shared.value
         for pdf in batches:
-            for i in range(0, len(pdf), 4000):
-                p = pdf.iloc[i : i + 4000]
+            for i in range(0, len(pdf), 1000):
+                p = pdf.iloc[i : i + 1000]
                 cos = unpack(p["v"], dim).astype("f4") @ centre.T
                 cos[p["shard"].to_numpy()[:, None] == shard[None, :]] = -3
                 wide = min(cos.shape[1], 4 * VISITS)
@@ -339,8 +339,8 @@ def _routes(asks: DataFrame, cells: pd.DataFrame, dim: int, threshold: float) ->
         centre, radius, part, shard = shared.value
         least = np.cos(np.minimum(np.pi, radius + wide)).astype("f4") - 1e-4
         for pdf in batches:
-            for i in range(0, len(pdf), 4000):
-                p = pdf.iloc[i : i + 4000]
+            for i in range(0, len(pdf), 1000):
+                p = pdf.iloc[i : i + 1000]
                 a, c = np.nonzero(unpack(p["v"], dim).astype("f4") @ centre.T >= least[None, :])
                 other = part[c] != p["part"].to_numpy("int64")[a]
                 pair = np.unique(np.stack([a[other], shard[c[other]]], axis=1), axis=0)
