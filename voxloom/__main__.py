@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import importlib
+import time
 
 STAGES = ("segment", "trim", "score-audio", "score-text", "embed", "speakers", "release", "all", "wer", "similarity")
 
@@ -83,7 +84,8 @@ def main(arguments: list[str] | None = None) -> int:
         "release": lambda: corpus.release(a.strict),
         "all": lambda: corpus.everything(books(), **how),
     }
-    print(f"{a.stage}: {steps[a.stage]().count()} rows")
+    start = time.perf_counter()
+    print(f"{a.stage}: {steps[a.stage]().count()} rows after {time.perf_counter() - start:.1f} s")
     return 0
 
 

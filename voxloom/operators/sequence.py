@@ -6,16 +6,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 
 def first_seen_index(df: DataFrame, column: str, position: str, name: str) -> DataFrame:
     """Dense number of each value in order of first appearance, from 0.
 
-    The numbering runs over the distinct values, one small row each, not over the table.
+    The numbering runs over the distinct values, one small row each, not over the table;
+    where positions are whole numbers, in spans of them.
     """
     first = df.groupBy(column).agg(F.min(position).alias("_first"))
-    # a global order of distinct values: ranks within hashed ranges would not be dense
-    numbered = first.withColumn(name, F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("_first")) - 1)
+    whole = isinstance(first.schema["_first"].dataType, IntegralType)
+    numbered = number_within(first, None, ["_first"], name, F.shiftright(F.col("_first").cast("long"), 16) if whole else None)
+    numbered = numbered.withColumn(name, F.col(name).cast("int"))
     return df.join(numbered.select(F.col(column).alias("_k"), name), F.col(column).eqNullSafe(F.col("_k"))).drop("_k")
 
 
@@ -27,7 +30,7 @@ def number_within(df: DataFrame, group: str | None, order: list, name: str, buck
     """
     key = [group] if group else []
     if bucket is None:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)) - 1)
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*(key or [F.lit(1)])).orderBy(*order)) - 1)
     d = df.withColumn("_b", bucket)
     # one small row per bucket
     before = Window.partitionBy(*(key or [F.lit(1)])).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
