@@ -49,19 +49,23 @@ def positions(df: DataFrame, group: list[str], vector: str, **how: Callable[[Col
 
 
 def elementwise(df: DataFrame, group: list[str], vector: str, dim: int, how) -> DataFrame:
-    """``group, n, centroid``: ``how(column)`` of each position of a group's vectors."""
-    return positions(df, group, vector, centroid=how, _n=lambda x: F.count(F.lit(1))).select(*group, F.element_at("_n", 1).alias("n"), "centroid")
+    """``group, n, centroid``: ``how(column)`` of each position of a group's vectors.
+
+    All positions are aggregated side by side in one pass, without a row per position: the
+    form for groups of few vectors each (``positions`` is the one for groups of many).
+    """
+    aggs = [how(F.element_at(vector, i + 1).cast("double")).alias(f"_v{i}") for i in range(dim)]
+    return df.groupBy(*group).agg(*aggs, F.count("*").alias("n")).select(*group, "n", F.array(*[F.col(f"_v{i}") for i in range(dim)]).alias("centroid"))
 
 
 def weighted_centroids(df: DataFrame, group: list[str], vector: str, weight: str, dim: int, min_samples: int = 2) -> DataFrame:
     """Weighted mean of unit vectors, brought to length 1; groups of fewer samples are left out."""
+    u = with_unit(df, vector, "_u")
     w = F.col(weight).cast("double")
-    # the mean's direction does not depend on the weights' sum, but a sum of 0 has none
-    u = with_unit(df, vector, "_u").withColumn("_u", F.transform("_u", lambda x: x * w))
-    mean = df.groupBy(*group).agg(F.avg(weight).alias("avg_confidence"), F.sum(w).alias("_w"), F.count("*").alias("n")).where(F.col("n") >= min_samples)
-    c = positions(u, group, "_u", _c=F.sum).join(mean, group)
-    c = c.withColumn("_c", F.transform("_c", lambda x: x / F.nullif(F.col("_w"), F.lit(0.0))))
-    return with_unit(c, "_c", "centroid").select(*group, "n", "avg_confidence", "centroid")
+    total = F.sum(w)
+    c = elementwise(u, group, "_u", dim, lambda x: F.sum(x * w) / F.nullif(total, F.lit(0.0)))
+    mean = df.groupBy(*group).agg(F.avg(weight).alias("avg_confidence"))
+    return with_unit(c.where(F.col("n") >= min_samples), "centroid", "centroid_unit").join(mean, group).drop("centroid").withColumnRenamed("centroid_unit", "centroid")
 
 
 def outliers(df: DataFrame, group: str, identifier: str, vector: str, dim: int, limit: float = 3.0, min_left: int = 10) -> DataFrame:

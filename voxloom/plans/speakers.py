@@ -8,15 +8,15 @@ from voxloom.operators import cluster as C
 from voxloom.operators import vectors as V
 from voxloom.operators.sequence import keep_last, relabel
 from voxloom.plans.base import query, table
-from voxloom.session import materialize
+from voxloom.session import materialize, spread
 
 DIM = 96
 
 
 def embeddings(spark, d):
     """Valid vectors, a segment once, with a confidence derived from its number."""
-    e = table(spark, d, "segment_embeddings").where(V.is_valid(F.col("embedding"), DIM))
-    e = keep_last(e.select("segment_id", "embedding", "title_index", "speaker_id", "final_duration_ms", "extracted_at"), ["segment_id"], [F.col("extracted_at"), F.col("title_index"), F.col("speaker_id")])
+    e = spread(table(spark, d, "segment_embeddings", "segment_id", "embedding", "title_index", "speaker_id", "final_duration_ms", "extracted_at"), "segment_id")
+    e = keep_last(e.where(V.is_valid(F.col("embedding"), DIM)), ["segment_id"], [F.col("extracted_at"), F.col("title_index"), F.col("speaker_id")])
     return e.withColumn("confidence", F.round((F.col("segment_id") % 11 + F.col("speaker_id") % 3) / 12, 6))
 
 

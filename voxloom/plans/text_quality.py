@@ -8,6 +8,7 @@ from voxloom.functions.models import completion_status, mark_labels, with_punctu
 from voxloom.operators import text as T
 from voxloom.plans.base import query, table
 from voxloom.profiles import LATIN, PERSIAN, Profile
+from voxloom.session import spread
 
 
 PUNCTUATION = r"\p{P}"
@@ -60,7 +61,7 @@ SCORED = f"SELECT *, {TIER} AS quality_tier FROM (SELECT *, {TOTAL} AS total_sco
 
 
 def segments(spark, d):
-    return table(spark, d, "segments", "segment_id", "fixed_segment_path", "final_transcript", "processing_timestamp")
+    return spread(table(spark, d, "segments", "segment_id", "fixed_segment_path", "final_transcript", "processing_timestamp"), "segment_id", "processing_timestamp")
 
 
 def scored(spark, d):
@@ -82,7 +83,7 @@ def text_features(spark, d):
 
 @query(f"SELECT doc_id, {ROUNDED} FROM ({sql_features('documents', 'doc_id', 'text', LATIN)})")
 def text_features_latin(spark, d):
-    f = T.with_text_features(table(spark, d, "documents", "doc_id", "text"), "text", LATIN)
+    f = T.with_text_features(spread(table(spark, d, "documents", "doc_id", "text"), "doc_id"), "text", LATIN)
     return f.select("doc_id", *[F.round(c, 6).alias(c) for c in FEATURES])
 
 

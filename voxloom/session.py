@@ -30,6 +30,14 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A scan that has fewer splits than the cluster has cores - one small file, one row
+    group - dealt to all cores by a hash of its keys, ahead of much work per row.  A scan
+    of as many splits or more is left as it is, so a large table is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder for intermediate tables.
 
