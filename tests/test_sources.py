@@ -177,3 +177,35 @@ def test_config(monkeypatch):
 
     c = Corpus(None, "/r", None, Config())
     assert (c.at("trimmed"), c.at("speakers/global"), c.at("status")) == ("/else/where", "/r/speakers/global", "/r/status")
+
+
+def test_intermediate_tables(spark):
+    from pathlib import Path
+
+    from voxloom import session
+
+    d = spark.range(20).selectExpr("id", "id % 3 as k")
+    plain, parted = session.materialize(d, "a"), session.materialize(d, "b", by="k")
+    assert plain.count() == parted.count() == 20 and parted.where("k = 1").count() == 7
+    folder = Path(session.shared_folder(spark).removeprefix("file://"))
+    before = set(folder.iterdir())
+    session.release(parted.where("k = 1"))
+    session.release(plain)
+    gone = before - set(folder.iterdir())
+    assert {p.name[0] for p in gone} == {"a", "b"} and len(gone) == 2
+    few, many = spark.range(0, 10, 1, 1), spark.range(0, 1000, 1, 64)
+    assert session.spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and session.spread(many, "id") is many
+
+
+def test_no_private_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from voxloom import session
+
+    def fake(master):
+        return SimpleNamespace(sparkContext=SimpleNamespace(applicationId=f"app-{master}", master=master), conf=SimpleNamespace(get=lambda k, d: ""))
+
+    for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_folder(fake(master))
+    assert session.shared_folder(fake("local[2]")).startswith("file://")

@@ -58,6 +58,7 @@ def main(arguments: list[str] | None = None) -> int:
 
     from voxloom.config import Config
     from voxloom.pipeline.stages import Corpus, Models
+    from voxloom.session import release_all
     from voxloom.sources.tables import read_catalog_file
 
     def silent(samples, rate):
@@ -86,6 +87,7 @@ def main(arguments: list[str] | None = None) -> int:
     }
     start = time.perf_counter()
     print(f"{a.stage}: {steps[a.stage]().count()} rows after {time.perf_counter() - start:.1f} s")
+    release_all(spark)
     return 0
 
 

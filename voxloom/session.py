@@ -70,11 +70,20 @@ def materialize(df: DataFrame, label: str = "t", by: str | None = None) -> DataF
 def release(df: DataFrame) -> None:
     """Delete the table behind a materialized DataFrame that nothing reads any more."""
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for name in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        if f"voxloom-{spark.sparkContext.applicationId}" in name:
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    own = re.compile(rf"(.*/voxloom-{re.escape(spark.sparkContext.applicationId)}-[0-9a-f]+/[^/]+)/")
+    for name in {m[1] for p in df.inputFiles() if (m := own.match(p))}:
+        _delete(spark, name)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; no query's result may be read afterwards."""
+    if folder := _spaces.pop(spark.sparkContext.applicationId, None):
+        _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @atexit.register
