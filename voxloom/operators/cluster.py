@@ -122,19 +122,20 @@ def dispersion(x: np.ndarray, labels: np.ndarray) -> float:
     return float((np.bincount(labels) ** 2).sum() - (t * t).sum())
 
 
-def near_counts(x: np.ndarray, radii) -> np.ndarray:
-    """Rows within each radius of each row, itself included; a row per radius."""
-    out = np.zeros((len(radii), len(x)), "int64")
+def core_distances(x: np.ndarray, points: int = MIN_POINTS) -> np.ndarray:
+    """Distance within which each row has so many rows, itself included; infinite if there
+    are fewer rows."""
+    if len(x) < points:
+        return np.full(len(x), np.inf)
+    out = np.empty(len(x))
     for i in range(0, len(x), BLOCK):
-        d = 1 - x[i : i + BLOCK] @ x.T
-        for j, r in enumerate(radii):
-            out[j, i : i + BLOCK] = (d <= r).sum(axis=1)
+        out[i : i + BLOCK] = np.partition(1 - x[i : i + BLOCK] @ x.T, points - 1, axis=1)[:, points - 1]
     return out
 
 
-def dbscan(x: np.ndarray, eps: float, points: int = MIN_POINTS, near: np.ndarray | None = None) -> np.ndarray:
+def dbscan(x: np.ndarray, eps: float, points: int = MIN_POINTS, within: np.ndarray | None = None) -> np.ndarray:
     """Density clusters; a row on the border belongs to the cluster of the lowest core row."""
-    core = (near_counts(x, [eps])[0] if near is None else near) >= points
+    core = (core_distances(x, points) if within is None else within) <= eps
     labels, cur = np.full(len(x), -1), 0
     for i in np.flatnonzero(core):
         if labels[i] >= 0:
@@ -167,8 +168,9 @@ def estimate_speakers(x: np.ndarray, tree: list | None = None) -> int:
     if len(w) > 2:
         found.append(int(np.argmax(np.diff(w, 2))) + 3)  # w starts at one cluster, and the entry two after the bend counts
     best = None
-    for eps, near in zip(EPS, near_counts(x, EPS)):
-        la = dbscan(x, float(eps), near=near)
+    within = core_distances(x)
+    for eps in EPS:
+        la = dbscan(x, float(eps), within=within)
         k = la.max() + 1
         if k >= 2 and (la < 0).mean() < 0.5:
             s = silhouette(x, np.where(la < 0, k, la)).mean()
@@ -194,14 +196,16 @@ def _leading_vectors(x: np.ndarray, k: int, seed: int, limit: float = 1e-7) -> n
     similarities are made a block of rows at a time and never kept."""
 
     def times(y: np.ndarray) -> np.ndarray:
-        out = np.empty((n, y.shape[1]))
-        for i in range(0, n, BLOCK):
-            out[i : i + BLOCK] = np.maximum(x[i : i + BLOCK] @ x.T, 0) @ y
+        out = np.zeros((n, y.shape[1]))
+        for i in range(0, n, BLOCK):  # a similarity is made once for both of its rows
+            s = np.maximum(x[i : i + BLOCK] @ x[i:].T, 0)
+            out[i : i + BLOCK] += s @ y[i:]
+            out[i + BLOCK :] += s[:, BLOCK:].T @ y[i : i + BLOCK]
         return out
 
     n = len(x)
     d = 1 / np.sqrt(np.maximum(times(np.ones((n, 1))), 1e-12))
-    width = k + 8
+    width = k + 40
     new = np.linalg.qr(np.random.default_rng(seed).normal(size=(n, width)))[0]
     basis, image = np.zeros((n, 0)), np.zeros((n, 0))
     for _ in range(300):
