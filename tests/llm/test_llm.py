@@ -229,6 +229,68 @@ def test_small_shards_give_the_same(spark):
     assert a == {tuple(r) for r in similar.most_similar(v, 16, 3, 0.5, layout=lay).collect()}
 
 
+@pytest.mark.parametrize("rare", [False, True])
+def test_memory_does_not_grow_with_what_is_compared(rare):
+    """Vectors that lie alone come 20,000 at a time, queries 10,000: no product of all of them."""
+    import tracemalloc
+
+    rng = np.random.default_rng(8)
+    q, x = rng.normal(size=(4000, 8)), rng.normal(size=(8000, 8))
+    q, x = (y / np.linalg.norm(y, axis=1, keepdims=True) for y in (q, x))
+    best = similar.Best(np.arange(4000) + 10_000, 5, 0.8)
+    tracemalloc.start()
+    best.add_all(np.arange(4000), q, np.arange(8000), x, rare)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 128e6 < q.shape[0] * x.shape[0] * 8
+    got = best.rows()
+    s = np.round(q[:50] @ x.T, 12)
+    for i in range(50):
+        want = [int(j) for j in np.lexsort((np.arange(8000), -s[i]))[:5] if s[i, j] >= 0.8]
+        assert got[got["id"] == 10_000 + i]["neighbour"].tolist() == want
+
+
+def test_equal_vectors_are_not_kept_in_pairs(monkeypatch):
+    monkeypatch.setattr(similar, "PAIRS", 1000)
+    x = np.tile(np.eye(4)[:1], (600, 1))
+    best = similar.Best(np.arange(600), 3, 0.5)
+    for i in range(0, 600, 100):
+        best.add_all(np.arange(600), x, np.arange(i, i + 100), x[i : i + 100])
+        assert best.pairs <= 1000 + 3 * 600
+    got = best.rows()
+    assert [got[got["id"] == i]["neighbour"].tolist() for i in (0, 1, 5)] == [[1, 2, 3], [0, 2, 3], [0, 1, 2]]
+
+
+def test_pivots_follow_the_data(spark, monkeypatch):
+    """More voices than two levels' pivots reach: the rest is not taken for vectors that lie alone."""
+    monkeypatch.setattr(vectors, "MAX_PIVOTS", 16)
+    monkeypatch.setattr(vectors, "MORE_PIVOTS", 32)
+    monkeypatch.setattr(vectors, "OUTLIER_BLOCK", 30)
+    rng = np.random.default_rng(9)
+    c = rng.normal(size=(120, 48))
+    x = np.vstack([np.repeat(c, 6, axis=0) + 0.15 * rng.normal(size=(720, 48)), rng.normal(size=(10, 48))]).astype("f4")
+    t = spark.createDataFrame([(i, y.tolist(), 1) for i, y in enumerate(x)], "id long, v array<float>, at int")
+    v = vectors.valid_vectors(t, "id", "v", 48, ["at"])
+    lay = vectors.lay_out(v, 48, 0.75)
+    alone = lay.outliers.count()
+    assert lay.n_outliers == alone <= 60 and lay.placed.count() + alone == 730
+    u = x.astype("f8") / np.linalg.norm(x.astype("f8"), axis=1, keepdims=True)
+    got, _ = voices.find_clusters(v, 48, 0.75)
+    assert {r.id: r.cluster for r in got.collect()} == brute_clusters(u, 0.75)
+    s = np.round(u @ u.T, 12)
+    np.fill_diagonal(s, -9)
+    want = {(i, int(j)) for i in range(730) for j in np.lexsort((np.arange(730), -s[i]))[:5] if s[i, j] >= 0.8}
+    assert {(r.id, r.neighbour) for r in similar.most_similar(v, 48, 5, 0.8).collect()} == want
+
+
+def test_single_rows_need_no_shuffle(spark):
+    """Of repeated identifiers the last valid row counts, others go past the aggregation."""
+    one, two, bad = [1.0] * 4, [2.0] * 4, [float("nan")] * 4
+    t = spark.createDataFrame([(1, one, 1), (2, one, 1), (2, two, 2), (3, one, 1), (3, bad, 2), (4, None, 1), (4, two, 0), (5, bad, 1), (None, one, 1)], "id long, v array<float>, at int")
+    got = {r.id: float(np.frombuffer(r.v, "<f4")[0]) for r in vectors.valid_vectors(t, "id", "v", 4, ["at"]).collect()}
+    assert got == {1: 1.0, 2: 2.0, 3: 1.0, 4: 2.0}
+
+
 def brute_clusters(x, t):
     s = x @ x.T >= t
     label = np.arange(len(x))

@@ -14,10 +14,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.vectors import Layout, distance, lay_out, outlier_blocks, unpack
+from voxloom.llm.vectors import Layout, distance, lay_out, outlier_blocks, rows_at_once, unpack
 from voxloom.session import materialize
 
 LEAF = 192
+#: Vectors compared with at once, and pairs kept before those that others have overtaken go.
+PIECE, PAIRS = 2048, 500_000
 ROWS = "id long, neighbour long, cos double"
 
 
@@ -28,6 +30,22 @@ class Best:
         self.ids, self.k = ids, k
         self.top = np.full((len(ids), k), least - 1e-12)
         self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.pairs = 0
+
+    def add_all(self, at: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, rare: bool = False) -> None:
+        """``add`` a bounded block at a time.  Where hits are ``rare``, 32-bit products tell
+        first, with a margin above their error, which queries can have one."""
+        step, margin = rows_at_once(4 * PIECE), 1.2e-7 * (x.shape[1] + 8)
+        for i in range(0, len(ids), PIECE):
+            n, y = ids[i : i + PIECE], x[i : i + PIECE]
+            y4 = y.astype("f4").T if rare else None
+            for j in range(0, len(at), step):
+                a, p = at[j : j + step], q[j : j + step]
+                if rare:
+                    some = (p.astype("f4") @ y4).max(axis=1) >= self.top[a, -1] - margin
+                    a, p = a[some], p[some]
+                if len(a):
+                    self.add(a, p, n, y)
 
     def add(self, at: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
         cos = q @ x.T
@@ -41,13 +59,16 @@ class Best:
         rows = at[some]
         both = np.hstack([self.top[rows], cos[some]])
         self.top[rows] = -np.sort(np.partition(-both, self.k - 1, axis=1)[:, : self.k], axis=1)
+        self.pairs += len(i)
+        if self.pairs > PAIRS + self.k * len(self.ids):
+            self.found = [self._best()]
+            self.pairs = len(self.found[0][0])
 
     def reach(self, at: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(0, 2 - 2 * self.top[at, -1])) + 1e-7
 
-    def rows(self) -> pd.DataFrame:
-        if not self.found:
-            return pd.DataFrame({"id": np.zeros(0, "int64"), "neighbour": np.zeros(0, "int64"), "cos": np.zeros(0)})
+    def _best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k best of what was found for each query: its place, the neighbour, the cosine."""
         q, n, c = (np.concatenate(x) for x in zip(*self.found))
         keep = c >= self.top[q, -1] - 1e-12
         q, n, c = q[keep], n[keep], np.round(c[keep], 12)  # equal vectors give equal cosines however they were multiplied
@@ -56,7 +77,13 @@ class Best:
         new = np.r_[True, q[1:] != q[:-1]]
         rank = np.arange(len(q)) - np.maximum.accumulate(np.where(new, np.arange(len(q)), 0))
         keep = rank < self.k
-        return pd.DataFrame({"id": self.ids[q[keep]], "neighbour": n[keep], "cos": c[keep]})
+        return q[keep], n[keep], c[keep]
+
+    def rows(self) -> pd.DataFrame:
+        if not self.found:
+            return pd.DataFrame({"id": np.zeros(0, "int64"), "neighbour": np.zeros(0, "int64"), "cos": np.zeros(0)})
+        q, n, c = self._best()
+        return pd.DataFrame({"id": self.ids[q], "neighbour": n, "cos": c})
 
 
 class Tree:
@@ -88,10 +115,7 @@ class Tree:
         if not len(at):
             return
         if isinstance(node, np.ndarray):
-            for i in range(0, len(node), 2048):
-                part = node[i : i + 2048]
-                for j in range(0, len(at), 4096):
-                    best.add(at[j : j + 4096], q[at[j : j + 4096]], self.ids[part], self.x[part])
+            best.add_all(at, q[at], self.ids[node], self.x[node])
             return
         vp, inner, outer, a, b = node
         d = np.sqrt(np.maximum(0, 2 - 2 * q[at] @ self.x[vp]))
@@ -137,21 +161,23 @@ def most_similar(v: DataFrame, dim: int, k: int = 5, least: float = -1.0, slack:
         def direct(batches, block=block):
             for pdf in batches:
                 best = Best(pdf["id"].to_numpy("int64"), k, least)
-                best.top[:, -1] = np.maximum(least, pdf["cos"].to_numpy()) - 1e-12
+                best.top[:] = np.maximum(least, pdf["cos"].to_numpy())[:, None] - 1e-12
                 q, at = unpack(pdf["v"], dim), np.arange(len(pdf))
                 if len(pdf):
-                    best.add(at, q, *block.value)
+                    best.add_all(at, q, *block.value, rare=True)
                 yield best.rows()
 
-        found.append(asks.mapInPandas(direct, ROWS))
+        found.append(materialize(asks.mapInPandas(direct, ROWS), "alone"))
+        block.destroy()
     if cells.shards:
         shared = sc.broadcast((cells.pivots.astype("f4"), cells.radius, cells.first_shard, cells.parts))
 
         def route(batches):
             pivots, radius, first, parts = shared.value
+            step = rows_at_once(len(pivots))
             for pdf in batches:
-                for i in range(0, len(pdf), 2000):
-                    part = pdf.iloc[i : i + 2000]
+                for i in range(0, len(pdf), step):
+                    part = pdf.iloc[i : i + step]
                     d = np.sqrt(np.maximum(0, 2 - 2 * (unpack(part["v"], dim).astype("f4") @ pivots.T)))
                     limit = np.sqrt(np.maximum(0, 2 - 2 * part["cos"].to_numpy()))
                     a, c = np.nonzero(d - radius[None, :] <= limit[:, None] * slack + 1e-3)
@@ -168,7 +194,7 @@ def most_similar(v: DataFrame, dim: int, k: int = 5, least: float = -1.0, slack:
             if not len(left) or not len(right):
                 return pd.DataFrame({"id": [], "neighbour": [], "cos": []}).astype({"id": "int64", "neighbour": "int64"})
             best = Best(right["id"].to_numpy("int64"), k, least)
-            best.top[:, -1] = np.maximum(least, right["cos"].to_numpy()) - 1e-12
+            best.top[:] = np.maximum(least, right["cos"].to_numpy())[:, None] - 1e-12
             Tree(left["id"].to_numpy("int64"), unpack(left["v"], dim)).search(best, unpack(right["v"], dim), slack)
             return best.rows()
 

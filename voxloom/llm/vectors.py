@@ -1,8 +1,9 @@
 """Vectors laid out for neighbour search: valid rows, pivots, cells, shards.
 
 Pivots are a bounded sample of the vectors.  A cell holds the vectors that have one pivot
-nearest and within ``reach``; vectors far from every pivot get a second set of pivots from
-among themselves, and what is far from those as well are outliers.  Neighbouring cells are
+nearest and within ``reach``; vectors far from every pivot get further sets of pivots from
+among themselves, level by level, until they are few or pivots reach little but themselves;
+what is far from all of them are outliers.  Neighbouring cells are
 packed into shards of bounded size, an overfull cell is cut into several shards by a hash.
 Distances are Euclidean between unit vectors: d = sqrt(2 - 2 cos), so the triangle
 inequality holds.  Raw 32-bit values are kept and normalised in 64 bits where they are used.
@@ -17,12 +18,24 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.session import materialize, release
+from voxloom.session import materialize, release, release_part
 
-#: Bounds of the samples that pivots are taken from, per level.
-MAX_PIVOTS = 2048
+#: Bounds of the samples that pivots are taken from, per level: the first two, those after them.
+MAX_PIVOTS, MORE_PIVOTS = 2048, 8192
 #: Outliers are sent to all tasks in blocks of at most so many vectors.
 OUTLIER_BLOCK = 20_000
+#: Numbers in one product of vectors, so that a task's memory does not grow with the cells.
+PRODUCT = 4_000_000
+
+
+def rows_at_once(others: int, most: int = 2000) -> int:
+    """Rows that one product with so many other vectors may take."""
+    return max(1, min(most, PRODUCT // max(1, others)))
+
+
+def small(d: DataFrame, most: int = 500_000) -> DataFrame:
+    """A table of narrow rows, to be broadcast if it has at most so many."""
+    return F.broadcast(d) if d.limit(most + 1).count() <= most else d
 
 
 def distance(cos: float) -> float:
@@ -62,9 +75,13 @@ def valid_vectors(df: DataFrame, identifier: str, vector: str, dim: int, order:
     keys = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
     src = df.where(F.col(identifier).isNotNull() & F.col(vector).isNotNull()).select(F.col(identifier).cast("long").alias("id"), *keys, F.col(vector).cast("array<float>").alias("_v"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_v") + ", v binary"
-    packed = src.mapInPandas(pack, schema)
+    # vectors of identifiers that stand in one row need no shuffle
+    often = df.where(F.col(identifier).isNotNull()).groupBy(F.col(identifier).cast("long").alias("id")).agg(F.count("*").alias("n"))
+    often = small(materialize(often.where("n > 1").select("id"), "repeated"))
+    once = src.join(often, "id", "left_anti").mapInPandas(pack, schema).select("id", "v")
+    packed = src.join(often, "id", "left_semi").mapInPandas(pack, schema)
     last = packed.groupBy("id").agg(F.max(F.struct(*[f"_o{i}" for i in range(len(order))], "v")).alias("r"))
-    return last.select("id", F.col("r.v").alias("v"))
+    return once.unionByName(last.select("id", F.col("r.v").alias("v")))
 
 
 @dataclass
@@ -110,13 +127,15 @@ def _nearest(v: DataFrame, pivots: np.ndarray, first: int, dim: int, reach: floa
 
     def assign(batches):
         p = shared.value
-        for pdf in batches:
-            x = unpack(pdf["v"], dim).astype("f4")
-            cos = x @ p.T
-            at = cos.argmax(axis=1) if len(pdf) else np.zeros(0, int)
-            d = np.sqrt(np.maximum(0, 2 - 2 * cos[np.arange(len(pdf)), at].astype("f8"))) if len(pdf) else np.zeros(0)
-            # 32-bit products: the margin keeps radii upper bounds
-            yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "cell": np.where(d <= reach, at + first, -1).astype("int32"), "d": d + 1e-3, "near": np.asarray(at, "int32")})
+        step = rows_at_once(len(p))
+        for whole in batches:
+            for i in range(0, len(whole), step):
+                pdf = whole.iloc[i : i + step]
+                cos = unpack(pdf["v"], dim).astype("f4") @ p.T
+                at = cos.argmax(axis=1)
+                d = np.sqrt(np.maximum(0, 2 - 2 * cos[np.arange(len(pdf)), at].astype("f8")))
+                # 32-bit products: the margin keeps radii upper bounds
+                yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "cell": np.where(d <= reach, at + first, -1).astype("int32"), "d": d + 1e-3, "near": np.asarray(at, "int32")})
 
     return v.mapInPandas(assign, "id long, v binary, cell int, d double, near int")
 
@@ -151,16 +170,26 @@ def lay_out(v: DataFrame, dim: int, reach: float, per_pivot: int = 32, shard_siz
     """Place vectors (``id, v``) in cells and shards."""
     spark = v.sparkSession
     v = materialize(v, "vectors")
-    n = v.count()
-    pivots = _pivots(v, min(MAX_PIVOTS, max(16, n // per_pivot)), dim)
-    first = materialize(_nearest(v, pivots, 0, dim, reach), "level-1")
-    release(v)
-    far = first.where("cell < 0").select("id", "v")
-    n_far = far.count()
-    more = _pivots(far, min(MAX_PIVOTS, max(16, n_far // max(2, per_pivot // 4))), dim) if n_far else np.zeros((0, dim))
-    second = materialize(_nearest(far, more, len(pivots), dim, reach), "level-2") if n_far else first.where("false")
-    placed = first.where("cell >= 0").unionByName(second.where("cell >= 0"))
-    pivots = np.vstack([pivots, more])
+    n = n_far = v.count()
+    far, levels, pivots, more = v, [], np.zeros((0, dim)), np.zeros((0, dim))
+    while not levels or n_far:
+        per = max(2, per_pivot // 4) if levels else per_pivot
+        more = _pivots(far, min(MORE_PIVOTS if len(levels) > 1 else MAX_PIVOTS, max(16, n_far // per)), dim)
+        level = _nearest(far, more, len(pivots), dim, reach) if n else far.select("id", "v", *[F.lit(0).cast(t).alias(c) for c, t in (("cell", "int"), ("d", "double"), ("near", "int"))])
+        level = materialize(level.withColumn("far", F.col("cell") < 0), f"level-{len(levels) + 1}", by="far")
+        if levels:
+            release_part(levels[-1], "far=true")
+        else:
+            release(v)
+        levels.append(level)
+        pivots = np.vstack([pivots, more])
+        far = level.where("far").select("id", "v")
+        before, n_far = n_far, far.count() if n else 0
+        if len(levels) > 1 and (n_far <= OUTLIER_BLOCK or before - n_far < 2 * len(more)):
+            break
+    placed = levels[0].where("not far")
+    for level in levels[1:]:
+        placed = placed.unionByName(level.where("not far"))
     stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("d").alias("r")).collect()  # one row per pivot
     count, radius = np.zeros(len(pivots), "int64"), np.zeros(len(pivots))
     for r in stats:
@@ -172,14 +201,14 @@ def lay_out(v: DataFrame, dim: int, reach: float, per_pivot: int = 32, shard_siz
     rows = [(c, i, int(shard[i]), int(parts[i])) for c, i in order.items()]
     table = F.broadcast(spark.createDataFrame(rows, "cell int, c int, s long, p long"))
     out = placed.join(table, "cell").select("id", "v", F.col("c").alias("cell"), (F.col("s") + F.pmod(F.xxhash64("id"), F.col("p"))).cast("int").alias("shard"))
-    n_out = n_far - second.where("cell >= 0").count() if n_far else 0
-    outliers = second.where("cell < 0").select("id", "v", "near")
+    n_out = n_far
+    outliers = levels[-1].where("far").select("id", "v", "near")
     counts = {r["near"]: r["n"] for r in outliers.groupBy("near").agg(F.count("*").alias("n")).collect()} if n_out else {}  # one row per pivot
     lone = np.array(sorted(counts), "int64")
     group, pieces = _pack_cells(more[lone], np.array([counts[c] for c in lone.tolist()]), shard_size) if len(lone) else (lone, lone)
     table = spark.createDataFrame([(int(c), int(g), int(p)) for c, g, p in zip(lone, group, pieces)], "near int, g long, p long")
     outliers = outliers.join(F.broadcast(table), "near").select("id", "v", "near", (F.col("g") + F.pmod(F.xxhash64("id"), F.col("p"))).cast("int").alias("group"))
-    return Layout(out, outliers, cells, dim, n, n_out, (first, second) if n_far else (first,))
+    return Layout(out, outliers, cells, dim, n, n_out, tuple(levels))
 
 
 def outlier_blocks(outliers: DataFrame, n: int, dim: int):

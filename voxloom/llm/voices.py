@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.vectors import lay_out, outlier_blocks, unpack
+from voxloom.llm.vectors import lay_out, outlier_blocks, rows_at_once, small, unpack
 from voxloom.operators.components import connected_components
 from voxloom.session import materialize, release
 
@@ -191,9 +191,10 @@ def _nearest_shards(nodes: DataFrame, cells: pd.DataFrame, dim: int, threshold:
 
     def go(batches):
         centre, shard = shared.value
+        step = rows_at_once(len(centre), 1000)
         for pdf in batches:
-            for i in range(0, len(pdf), 1000):
-                p = pdf.iloc[i : i + 1000]
+            for i in range(0, len(pdf), step):
+                p = pdf.iloc[i : i + step]
                 cos = unpack(p["v"], dim).astype("f4") @ centre.T
                 cos[p["shard"].to_numpy()[:, None] == shard[None, :]] = -3
                 wide = min(cos.shape[1], 4 * VISITS)
@@ -287,7 +288,7 @@ def similarity_graph(v: DataFrame, dim: int, threshold: float = 0.75, settle: fl
         found = _meet(nodes, guests, _call(dim, threshold), f"id long, l {LIST}", ["id", "h"])
         # what a list was, whom it found and where it was, in one aggregation; a shard is visited
         # once, so no neighbour is found twice
-        who = _small(materialize(guests.select("id").distinct(), "who"))
+        who = small(materialize(guests.select("id").distinct(), "who"))
         news = lists.join(who, "id", "left_semi").withColumn("was", F.lit(True)).unionByName(found.where("size(l) > 0"), True).unionByName(guests.select("id", F.array("shard").alias("seen")), True)
         grown = news.groupBy("id").agg(
             *[F.max(c).alias(c) for c in ("part", "community", "home")], F.flatten(F.collect_list("l")).alias("l"), F.array_sort(F.flatten(F.collect_list("seen"))).alias("seen"), F.bool_or(F.col("was").isNull() & F.col("l").isNotNull()).alias("better")
@@ -303,20 +304,15 @@ def similarity_graph(v: DataFrame, dim: int, threshold: float = 0.75, settle: fl
             break
         # where the neighbours of a list's own part are: its neighbours' neighbours among them
         homes = lists.select("part", F.explode("l.s").alias("s")).distinct().groupBy("part").agg(F.collect_set("s").alias("h"))  # shards
-        far = lists.where("better").join(_small(homes), "part").select("id", F.when(F.size("l") >= K, F.element_at("l", -1)["c"]).otherwise(F.lit(threshold)).cast("double").alias("kth"), F.array_except("h", "seen").alias("h"))
+        far = lists.where("better").join(small(homes), "part").select("id", F.when(F.size("l") >= K, F.element_at("l", -1)["c"]).otherwise(F.lit(threshold)).cast("double").alias("kth"), F.array_except("h", "seen").alias("h"))
         pick = F.slice(F.array_sort(F.transform("h", lambda x: F.struct(F.xxhash64("id", x).alias("r"), x.alias("s")))), 1, VISITS).getField("s")
         visits = materialize(far.select("id", "kth", F.explode(pick).alias("shard")), "pairs")
         if visits.isEmpty():
             break
-        guests = nodes.select("id", "h").join(_small(visits), "id")
+        guests = nodes.select("id", "h").join(small(visits), "id")
     return Graph(nodes, lists, cells, lay.n_outliers, dim, threshold)
 
 
-def _small(d: DataFrame, most: int = 500_000) -> DataFrame:
-    """A table of narrow rows, to be broadcast if it has at most so many."""
-    return F.broadcast(d) if d.limit(most + 1).count() <= most else d
-
-
 def _edges(g: Graph) -> DataFrame:
     """``id, nb, c`` with part and community of both ends."""
     e = g.lists.select("id", "part", "community", F.explode("l").alias("e")).select("id", "part", "community", F.col("e.nb").alias("nb"), F.col("e.c").cast("double").alias("c"), F.col("e.s").alias("s"))
@@ -338,9 +334,10 @@ def _routes(asks: DataFrame, cells: pd.DataFrame, dim: int, threshold: float) ->
     def go(batches):
         centre, radius, part, shard = shared.value
         least = np.cos(np.minimum(np.pi, radius + wide)).astype("f4") - 1e-4
+        step = rows_at_once(len(centre), 1000)
         for pdf in batches:
-            for i in range(0, len(pdf), 1000):
-                p = pdf.iloc[i : i + 1000]
+            for i in range(0, len(pdf), step):
+                p = pdf.iloc[i : i + step]
                 a, c = np.nonzero(unpack(p["v"], dim).astype("f4") @ centre.T >= least[None, :])
                 other = part[c] != p["part"].to_numpy("int64")[a]
                 pair = np.unique(np.stack([a[other], shard[c[other]]], axis=1), axis=0)
@@ -357,7 +354,7 @@ def missing_links(g: Graph, names: DataFrame) -> DataFrame:
     are compared with each other directly, a bounded block at a time.
     """
     dim, threshold, spark = g.dim, g.threshold, g.nodes.sparkSession
-    rows = _named(g.nodes.select("id", "v", "h", "shard", "cell", "part"), _small(names))
+    rows = _named(g.nodes.select("id", "v", "h", "shard", "cell", "part"), small(names))
     own = spark.createDataFrame(pd.DataFrame({"node": sorted({int(p) for p in g.cells["part"] if p >= 0})}, dtype="int64"), "node long") if len(g.cells) else None
     where = {r["node"]: r["component"] for r in names.join(own, "node").collect()} if own is not None else {}  # at most a row per cell
     cells = g.cells.assign(part=[where.get(p, p) for p in g.cells["part"]])
@@ -368,9 +365,10 @@ def missing_links(g: Graph, names: DataFrame) -> DataFrame:
 
         def direct(batches, block=block):
             y, y4, p = block.value
+            step = rows_at_once(len(y))
             for pdf in batches:
-                for i in range(0, len(pdf), 2000):
-                    part = pdf.iloc[i : i + 2000]
+                for i in range(0, len(pdf), step):
+                    part = pdf.iloc[i : i + step]
                     z, own = unpack(part["v"], dim), part["part"].to_numpy("int64")
                     a, b = np.nonzero(z.astype("f4") @ y4.T >= threshold - 1e-5)
                     apart = own[a] != p[b]
@@ -378,7 +376,8 @@ def missing_links(g: Graph, names: DataFrame) -> DataFrame:
                     sure = np.einsum("nd,nd->n", z[a], y[b]) >= threshold
                     yield pd.DataFrame({"u": own[a[sure]], "v": p[b[sure]]}).drop_duplicates()
 
-        part = rows.where("cell < 0").select("v", "part").mapInPandas(direct, "u long, v long")
+        part = materialize(rows.where("cell < 0").select("v", "part").mapInPandas(direct, "u long, v long").distinct(), "alone")
+        block.destroy()
         found = part if found is None else found.unionByName(part)
 
     def call(host: pd.DataFrame, guest: pd.DataFrame) -> pd.DataFrame:
@@ -401,7 +400,7 @@ def missing_links(g: Graph, names: DataFrame) -> DataFrame:
         met = materialize(_meet(rows.where("cell >= 0"), materialize(_routes(rows, cells, dim, threshold), "routes"), call, "u long, v long, a long, b long", ["id", "h", "part"]), "met")
         sure = met.where("a = -1 and b = -1").select("u", "v")
         # what two clusters surely link need not be looked at again; of the rest the vectors are fetched
-        near = _small(met.where("a != -1 or b != -1").join(sure.distinct(), ["u", "v"], "left_anti"))
+        near = small(met.where("a != -1 or b != -1").join(sure.distinct(), ["u", "v"], "left_anti"))
 
         @F.pandas_udf("double")
         def cosine(p: pd.Series, q: pd.Series) -> pd.Series:
@@ -409,7 +408,7 @@ def missing_links(g: Graph, names: DataFrame) -> DataFrame:
 
         side = lambda x: g.nodes.select(F.col("id").alias(x), F.col("v").alias(f"v{x}"))
         near = materialize(side("a").join(near, "a"), "near")
-        told = side("b").join(_small(near), "b").where(cosine("va", "vb") >= threshold).select("u", "v")
+        told = side("b").join(small(near), "b").where(cosine("va", "vb") >= threshold).select("u", "v")
         found = (sure if found is None else found.unionByName(sure)).unionByName(told)
     return materialize((found if found is not None else g.lists.select(F.col("part").alias("u"), F.col("part").alias("v")).where("false")).distinct(), "missing")
 
