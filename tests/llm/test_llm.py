@@ -287,7 +287,9 @@ def test_single_rows_need_no_shuffle(spark):
     """Of repeated identifiers the last valid row counts, others go past the aggregation."""
     one, two, bad = [1.0] * 4, [2.0] * 4, [float("nan")] * 4
     t = spark.createDataFrame([(1, one, 1), (2, one, 1), (2, two, 2), (3, one, 1), (3, bad, 2), (4, None, 1), (4, two, 0), (5, bad, 1), (None, one, 1)], "id long, v array<float>, at int")
-    got = {r.id: float(np.frombuffer(r.v, "<f4")[0]) for r in vectors.valid_vectors(t, "id", "v", 4, ["at"]).collect()}
+    v = vectors.valid_vectors(t, "id", "v", 4, ["at"])
+    assert v._jdf.queryExecution().optimizedPlan().toString().startswith("Union")  # an aggregation of all before
+    got = {r.id: float(np.frombuffer(r.v, "<f4")[0]) for r in v.collect()}
     assert got == {1: 1.0, 2: 2.0, 3: 1.0, 4: 2.0}
 
 
