@@ -283,6 +283,27 @@ def test_pivots_follow_the_data(spark, monkeypatch):
     assert {(r.id, r.neighbour) for r in similar.most_similar(v, 48, 5, 0.8).collect()} == want
 
 
+def test_levels_stay_few_as_the_table_grows(spark, monkeypatch):
+    """Samples of later levels grow with the table, and are the rows of least hash however far these are guessed."""
+    monkeypatch.setattr(vectors, "MAX_PIVOTS", 16)
+    monkeypatch.setattr(vectors, "MORE_PIVOTS", 16)
+    monkeypatch.setattr(vectors, "OUTLIER_BLOCK", 30)
+    monkeypatch.setattr(vectors, "PER_SAMPLE", 8, raising=False)
+    rng = np.random.default_rng(14)
+    x = (np.repeat(rng.normal(size=(250, 48)), 6, axis=0) + 0.15 * rng.normal(size=(1500, 48))).astype("f4")
+    v = spark.createDataFrame([(i, bytearray(y.tobytes())) for i, y in enumerate(x)], "id long, v binary")
+    lay = vectors.lay_out(v, 48, 0.75)
+    assert len(lay.written) <= 7  # 16 pivots at a time before: more than 15 levels
+    assert lay.placed.count() + lay.outliers.count() == 1500
+    want = [r.h for r in v.selectExpr("xxhash64(id, 42) AS h").orderBy("h").limit(900).collect()]
+    for count, above in ((3, want[5]), (3, want[800]), (400, want[0]), (2000, -(2**63))):
+        left = v.where(F.xxhash64("id", F.lit(42)) > above)
+        n = left.count()
+        got, last = vectors._pivots(left, count, n, 48, above)
+        assert len(got) == min(count, n) and (above not in want or want.index(above) + count >= 900 or last == want[want.index(above) + count])
+    assert vectors._pivots(v.where("false"), 5, 0, 48)[0].shape == (0, 48)
+
+
 def test_single_rows_need_no_shuffle(spark):
     """Of repeated identifiers the last valid row counts, others go past the aggregation."""
     one, two, bad = [1.0] * 4, [2.0] * 4, [float("nan")] * 4
@@ -357,6 +378,27 @@ def test_the_graph_knows_no_shards(spark):
     assert hit / total >= 0.9
 
 
+def test_rows_meet_few_cells():
+    """Every row meets each cell that may hold a partner, once, and few others: a cell's rows are ruled out together."""
+    rng = np.random.default_rng(12)
+    centre = rng.normal(size=(400, 96))
+    own = np.r_[np.repeat(np.arange(400), 10), np.full(10, -1), np.full(20, 400)]
+    x = np.vstack([np.repeat(centre, 10, axis=0) + 0.2 * rng.normal(size=(4000, 96)), rng.normal(size=(30, 96))])  # 10 lie alone, 20 are no good cell
+    x[7] = centre[0] + 0.8 * rng.normal(size=96)  # a stray row of a tight cell
+    x, centre = (y / np.linalg.norm(y, axis=1, keepdims=True) for y in (x, centre))
+    shuffled = rng.permutation(len(x))
+    x, own = x[shuffled].astype("f4"), own[shuffled]
+    wide = np.full(400, np.arccos(0.75) + 0.25)
+    met, products = np.zeros((len(x), 400), int), 0
+    for rows, cells, cos in voices._near_cells(x, own, centre.astype("f4"), wide):
+        met[np.ix_(rows, cells)] += 1
+        products += cos.size
+        assert np.allclose(cos, x[rows] @ centre[cells].T, atol=1e-5)
+    assert met.max() == 1 and met[x @ centre.T >= np.cos(wide)].min() == 1 and met[own < 0].all()
+    assert products < 0.1 * met.size  # all before
+    assert not list(voices._near_cells(x[:0], own[:0], centre.astype("f4"), wide)) and all(c.size == 0 for _, _, c in voices._near_cells(x, own, centre[:0].astype("f4"), wide[:0]))
+
+
 def test_voices(spark):
     t, x = vector_table(spark)
     members, found = voices.find_voices(vectors.valid_vectors(t, "id", "v", 16, ["at"]), 16, 0.75)

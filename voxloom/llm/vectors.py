@@ -22,10 +22,14 @@ from voxloom.session import materialize, release, release_part
 
 #: Bounds of the samples that pivots are taken from, per level: the first two, those after them.
 MAX_PIVOTS, MORE_PIVOTS = 2048, 8192
+#: In a table of very many vectors the later samples hold one in so many, so that levels stay few.
+PER_SAMPLE = 256
 #: Outliers are sent to all tasks in blocks of at most so many vectors.
 OUTLIER_BLOCK = 20_000
 #: Numbers in one product of vectors, so that a task's memory does not grow with the cells.
 PRODUCT = 4_000_000
+#: Tables of narrow rows are broadcast up to so many.
+BROADCAST = 500_000
 
 
 def rows_at_once(others: int, most: int = 2000) -> int:
@@ -33,7 +37,7 @@ def rows_at_once(others: int, most: int = 2000) -> int:
     return max(1, min(most, PRODUCT // max(1, others)))
 
 
-def small(d: DataFrame, most: int = 500_000) -> DataFrame:
+def small(d: DataFrame, most: int = BROADCAST) -> DataFrame:
     """A table of narrow rows, to be broadcast if it has at most so many."""
     return F.broadcast(d) if d.limit(most + 1).count() <= most else d
 
@@ -117,9 +121,17 @@ class Layout:
             release(t)
 
 
-def _pivots(v: DataFrame, count: int, dim: int) -> np.ndarray:
-    rows = v.orderBy(F.xxhash64("id", F.lit(42)), "id").limit(count).select("v").collect()  # bounded by MAX_PIVOTS
-    return np.unique(unpack([bytes(r["v"]) for r in rows], dim), axis=0) if rows else np.zeros((0, dim))
+def _pivots(v: DataFrame, count: int, total: int, dim: int, above: int = -(2**63)) -> tuple[np.ndarray, int]:
+    """The ``count`` vectors of least hash among ``total``, and the largest of their hashes.
+
+    Hashes up to ``above`` are as good as used up, so a guess of the largest leaves little to sort.
+    """
+    h = F.xxhash64("id", F.lit(42))
+    guess = above + (2**63 - 1 - above) * (2 * count + 1000) // max(1, total)
+    rows = v.where(h <= guess).select("v", h.alias("h"), "id").orderBy("h", "id").limit(count).collect() if guess < 2**63 - 1 else []  # bounded by the samples' bounds
+    if len(rows) < min(count, total):
+        rows = v.select("v", h.alias("h"), "id").orderBy("h", "id").limit(count).collect()
+    return (np.unique(unpack([bytes(r["v"]) for r in rows], dim), axis=0), rows[-1]["h"]) if rows else (np.zeros((0, dim)), above)
 
 
 def _nearest(v: DataFrame, pivots: np.ndarray, first: int, dim: int, reach: float) -> DataFrame:
@@ -145,6 +157,8 @@ def _pack_cells(pivots: np.ndarray, count: np.ndarray, size: int) -> tuple[np.nd
     n = len(pivots)
     shard, parts = np.zeros(n, "int64"), np.maximum(1, -(-count // size))
     free, nxt = np.ones(n, bool), 0
+    at = np.flatnonzero(parts == 1)  # cells that may join another; those taken are left out now and then
+    left, taken = pivots[at].astype("f4"), 0
     for c in np.argsort(-count, kind="stable"):
         if not free[c]:
             continue
@@ -153,15 +167,26 @@ def _pack_cells(pivots: np.ndarray, count: np.ndarray, size: int) -> tuple[np.nd
         if parts[c] > 1:
             nxt += int(parts[c])
             continue
-        total = count[c]
-        near = np.argsort(-(pivots @ pivots[c]), kind="stable")
-        for o in near:
-            if free[o] and parts[o] == 1:
-                if total + count[o] > size:
-                    break
-                free[o] = False
-                shard[o] = nxt
-                total += count[o]
+        if taken > len(at) // 4:
+            keep = free[at]
+            at, left, taken = at[keep], left[keep], 0
+        total, cos, few = count[c], left @ pivots[c].astype("f4"), min(len(at), 2048)
+        while few:
+            near = np.argpartition(-cos, few - 1)[:few] if few < len(at) else np.arange(len(at))
+            full = False
+            for o in at[near[np.lexsort((near, -cos[near]))]]:
+                if free[o]:
+                    if total + count[o] > size:
+                        full = True
+                        break
+                    free[o] = False
+                    shard[o] = nxt
+                    total += count[o]
+                    taken += 1
+            if full or few == len(at):
+                break
+            few = min(len(at), 8 * few)
+        taken += 1
         nxt += 1
     return shard, parts
 
@@ -171,18 +196,19 @@ def lay_out(v: DataFrame, dim: int, reach: float, per_pivot: int = 32, shard_siz
     spark = v.sparkSession
     v = materialize(v, "vectors")
     n = n_far = v.count()
-    far, levels, pivots, more = v, [], np.zeros((0, dim)), np.zeros((0, dim))
+    far, levels, samples, first, more, last = v, [], [], 0, np.zeros((0, dim)), -(2**63)
     while not levels or n_far:
         per = max(2, per_pivot // 4) if levels else per_pivot
-        more = _pivots(far, min(MORE_PIVOTS if len(levels) > 1 else MAX_PIVOTS, max(16, n_far // per)), dim)
-        level = _nearest(far, more, len(pivots), dim, reach) if n else far.select("id", "v", *[F.lit(0).cast(t).alias(c) for c, t in (("cell", "int"), ("d", "double"), ("near", "int"))])
+        more, last = _pivots(far, min(max(MORE_PIVOTS, n // PER_SAMPLE) if len(levels) > 1 else MAX_PIVOTS, max(16, n_far // per)), n_far, dim, last)
+        level = _nearest(far, more, first, dim, reach) if n else far.select("id", "v", *[F.lit(0).cast(t).alias(c) for c, t in (("cell", "int"), ("d", "double"), ("near", "int"))])
         level = materialize(level.withColumn("far", F.col("cell") < 0), f"level-{len(levels) + 1}", by="far")
         if levels:
             release_part(levels[-1], "far=true")
         else:
             release(v)
         levels.append(level)
-        pivots = np.vstack([pivots, more])
+        samples.append(more)
+        first += len(more)
         far = level.where("far").select("id", "v")
         before, n_far = n_far, far.count() if n else 0
         if len(levels) > 1 and (n_far <= OUTLIER_BLOCK or before - n_far < 2 * len(more)):
@@ -190,6 +216,8 @@ def lay_out(v: DataFrame, dim: int, reach: float, per_pivot: int = 32, shard_siz
     placed = levels[0].where("not far")
     for level in levels[1:]:
         placed = placed.unionByName(level.where("not far"))
+    pivots = np.vstack(samples)
+    del samples
     stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("d").alias("r")).collect()  # one row per pivot
     count, radius = np.zeros(len(pivots), "int64"), np.zeros(len(pivots))
     for r in stats:

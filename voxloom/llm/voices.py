@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.vectors import lay_out, outlier_blocks, rows_at_once, small, unpack
+from voxloom.llm.vectors import BROADCAST, lay_out, outlier_blocks, rows_at_once, small, unpack
 from voxloom.operators.components import connected_components
 from voxloom.session import materialize, release
 
@@ -36,6 +36,8 @@ K = 10
 TYPICAL = 5
 #: Rows of a block, blocks first looked into, shards visited a round, visitors per task.
 BLOCK, FIRST_BLOCKS, VISITS, LOT = 128, 4, 4, 16384
+#: Width of a ring of a cell's rows around their mean, in radians.
+RING = 0.08
 LIST = "array<struct<c:float,nb:bigint,s:int>>"
 
 
@@ -184,31 +186,80 @@ def _shard_graph(dim: int, n_all: int, threshold: float):
     return work
 
 
-def _nearest_shards(nodes: DataFrame, cells: pd.DataFrame, dim: int, threshold: float) -> DataFrame:
+def _near_cells(x: np.ndarray, own: np.ndarray, centre: np.ndarray, wide: np.ndarray):
+    """Blocks ``rows, cells, cos`` with every pair whose angle is at most the cell's ``wide``.
+
+    Rows of one cell (``own``) that are about as far from their mean make a ring.  The mean
+    alone rules out the cells that no row of a ring can reach, as angles obey the triangle
+    inequality; rows that lie alone (``own`` below 0) meet every cell.
+    """
+    names, group = np.unique(own, return_inverse=True)
+    mean = np.zeros((len(names), x.shape[1]))
+    np.add.at(mean, group, x)
+    mean /= np.maximum(np.linalg.norm(mean, axis=1, keepdims=True), 1e-9)
+    angle = np.arccos(np.clip(np.einsum("nd,nd->n", x, mean[group]), -1, 1))
+    every = (own < 0) | (angle + wide.max(initial=0) > 3.1)
+    rows = np.flatnonzero(every)
+    step = rows_at_once(len(centre), 1000)
+    for i in range(0, len(rows), step):
+        yield rows[i : i + step], np.arange(len(centre)), x[rows[i : i + step]] @ centre.T
+    rows = np.flatnonzero(~every)
+    if not len(rows):
+        return
+    rows = rows[np.lexsort((angle[rows], group[rows]))]
+    ring = group[rows] * 64 + (angle[rows] / RING).astype("int64")
+    start = np.flatnonzero(np.r_[True, ring[1:] != ring[:-1]])
+    end = np.r_[start[1:], len(rows)]
+    far = angle[rows[end - 1]]  # of a ring's rows the last is the farthest
+    # mean . centre >= cos(far + wide), as one product
+    left = np.hstack([mean[group[rows[start]]], -np.cos(far)[:, None], np.sin(far)[:, None]]).astype("f4")
+    right = np.hstack([centre, np.cos(wide)[:, None], np.sin(wide)[:, None]]).astype("f4")
+    for i in range(0, len(start), step):
+        a, c = np.nonzero(left[i : i + step] @ right.T >= -1e-4)
+        cut = np.searchsorted(a, np.arange(len(left[i : i + step]) + 1))
+        for r in range(len(cut) - 1):
+            cells = c[cut[r] : cut[r + 1]]
+            at, size = rows[start[i + r] : end[i + r]], rows_at_once(len(cells), 1000)
+            for j in range(0, len(at) if len(cells) else 0, size):
+                yield at[j : j + size], cells, x[at[j : j + size]] @ centre[cells].T
+
+
+def _dealt(rows: DataFrame, n_alone: int) -> DataFrame:
+    """Rows in cells as they lie; those that lie alone, which meet every cell, dealt to all cores."""
+    many = max(1, min(4 * rows.sparkSession.sparkContext.defaultParallelism, n_alone // 500))
+    return rows.where("cell >= 0").unionByName(rows.where("cell < 0").repartition(many))
+
+
+def _nearest_shards(nodes: DataFrame, n_alone: int, cells: pd.DataFrame, dim: int, threshold: float) -> DataFrame:
     """``id, h, kth, shard``: vectors beside the few other shards whose cells' means are
     nearest to them, as far as they are similar; a vector that lies alone takes the nearest."""
+    cells = cells.sort_values("shard", kind="stable")
     shared = nodes.sparkSession.sparkContext.broadcast((unpack(cells["v"], dim).astype("f4"), cells["shard"].to_numpy("int32")))
+    angle = float(np.arccos(threshold))
 
     def go(batches):
         centre, shard = shared.value
-        step = rows_at_once(len(centre), 1000)
+        wide = np.full(len(centre), angle + 1e-3)
+        names, start = np.unique(shard, return_index=True)
+        most = min(len(names), VISITS + 1)
         for pdf in batches:
-            for i in range(0, len(pdf), step):
-                p = pdf.iloc[i : i + step]
-                cos = unpack(p["v"], dim).astype("f4") @ centre.T
-                cos[p["shard"].to_numpy()[:, None] == shard[None, :]] = -3
-                wide = min(cos.shape[1], 4 * VISITS)
-                top = np.argpartition(-cos, wide - 1, axis=1)[:, :wide]
-                val = np.take_along_axis(cos, top, 1)
-                order = np.argsort(-val, axis=1, kind="stable")
-                val, where = np.take_along_axis(val, order, 1), shard[np.take_along_axis(top, order, 1)]
-                a, b = np.nonzero((val >= threshold) | (p["cell"].to_numpy()[:, None] < 0) & (val > -2))
-                pair = pd.DataFrame({"row": a, "shard": where[a, b]}).drop_duplicates()
-                pair = pair[pair.groupby("row").cumcount() < VISITS]
-                sel = p.iloc[pair["row"].to_numpy()]
-                yield pd.DataFrame({"id": sel["id"].to_numpy(), "h": sel["h"].to_numpy(), "kth": sel["kth"].to_numpy(), "shard": pair["shard"].to_numpy()})
-
-    return nodes.select("id", "v", "h", "shard", "cell", "kth").mapInPandas(go, "id long, h binary, kth double, shard int")
+            home, own = pdf["shard"].to_numpy(), pdf["cell"].to_numpy("int64")
+            found = [pd.DataFrame({"row": [], "shard": [], "c": []}).astype({"row": "int64", "shard": "int32", "c": "float32"})]
+            for rows, near, cos in _near_cells(unpack(pdf["v"], dim).astype("f4"), own, centre, wide):
+                if len(near) == len(centre):  # a shard's nearest cell stands for it
+                    cos = np.maximum.reduceat(cos, start, axis=1)
+                    top = np.argpartition(-cos, most - 1, axis=1)[:, :most]
+                    cos, to = np.take_along_axis(cos, top, 1), names[top]
+                else:
+                    to = np.broadcast_to(shard[near], cos.shape)
+                a, b = np.nonzero(((cos >= threshold) | (own[rows][:, None] < 0)) & (to != home[rows][:, None]))
+                found.append(pd.DataFrame({"row": rows[a], "shard": to[a, b], "c": cos[a, b]}))
+            pair = pd.concat(found).sort_values(["row", "c"], ascending=[True, False], kind="stable").drop_duplicates(["row", "shard"])
+            pair = pair[pair.groupby("row").cumcount() < VISITS]
+            sel = pdf.iloc[pair["row"].to_numpy()]
+            yield pd.DataFrame({"id": sel["id"].to_numpy(), "h": sel["h"].to_numpy(), "kth": sel["kth"].to_numpy(), "shard": pair["shard"].to_numpy()})
+
+    return _dealt(nodes.select("id", "v", "h", "shard", "cell", "kth"), n_alone).mapInPandas(go, "id long, h binary, kth double, shard int")
 
 
 def _lots(visits: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -282,7 +333,7 @@ def similarity_graph(v: DataFrame, dim: int, threshold: float = 0.75, settle: fl
     lay.release()
     nodes, cells = rows.where("kind = 'node'"), rows.where("kind = 'cell'").select("v", "shard", "cell", "part", "radius").toPandas()
     lists = nodes.select("id", "part", "community", F.col("shard").alias("home"), "l", F.array("shard").alias("seen"), F.lit(False).alias("better"))
-    guests, owned, none = (_nearest_shards(nodes, cells, dim, threshold) if len(cells) else None), False, F.array().cast(LIST)
+    guests, owned, none = (_nearest_shards(nodes, lay.n_outliers, cells, dim, threshold) if len(cells) else None), False, F.array().cast(LIST)
     while guests is not None:
         guests = materialize(guests, "visits")
         found = _meet(nodes, guests, _call(dim, threshold), f"id long, l {LIST}", ["id", "h"])
@@ -331,20 +382,29 @@ def _routes(asks: DataFrame, cells: pd.DataFrame, dim: int, threshold: float) ->
     shared = asks.sparkSession.sparkContext.broadcast(table)
     wide = float(np.arccos(threshold))
 
+    def chosen(pdf: pd.DataFrame, pair: np.ndarray, shards: int) -> pd.DataFrame:
+        sel = pdf.iloc[pair // shards]
+        return pd.DataFrame({"id": sel["id"].to_numpy(), "h": sel["h"].to_numpy(), "part": sel["part"].to_numpy(), "shard": (pair % shards).astype("int32")})
+
     def go(batches):
         centre, radius, part, shard = shared.value
-        least = np.cos(np.minimum(np.pi, radius + wide)).astype("f4") - 1e-4
-        step = rows_at_once(len(centre), 1000)
+        reach = np.minimum(np.pi, radius + wide)
+        least = np.cos(reach).astype("f4") - 1e-4
+        shards = int(shard.max(initial=0)) + 1
         for pdf in batches:
-            for i in range(0, len(pdf), step):
-                p = pdf.iloc[i : i + step]
-                a, c = np.nonzero(unpack(p["v"], dim).astype("f4") @ centre.T >= least[None, :])
-                other = part[c] != p["part"].to_numpy("int64")[a]
-                pair = np.unique(np.stack([a[other], shard[c[other]]], axis=1), axis=0)
-                sel = p.iloc[pair[:, 0]]
-                yield pd.DataFrame({"id": sel["id"].to_numpy(), "h": sel["h"].to_numpy(), "part": sel["part"].to_numpy(), "shard": pair[:, 1].astype("int32")})
+            own, found, n = pdf["part"].to_numpy("int64"), [np.zeros(0, "int64")], 0
+            for rows, near, cos in _near_cells(unpack(pdf["v"], dim).astype("f4"), pdf["cell"].to_numpy("int64"), centre, reach + 1e-3):
+                a, c = np.nonzero(cos >= least[near][None, :])
+                a, c = rows[a], near[c]
+                other = part[c] != own[a]
+                found.append(np.unique(a[other] * shards + shard[c[other]]))
+                n += len(found[-1])
+                if n > 20_000:
+                    yield chosen(pdf, np.concatenate(found), shards)
+                    found, n = [np.zeros(0, "int64")], 0
+            yield chosen(pdf, np.concatenate(found), shards)
 
-    return asks.select("id", "v", "h", "part").mapInPandas(go, "id long, h binary, part long, shard int")
+    return asks.select("id", "v", "h", "part", "cell").mapInPandas(go, "id long, h binary, part long, shard int")
 
 
 def missing_links(g: Graph, names: DataFrame) -> DataFrame:
@@ -397,7 +457,9 @@ def missing_links(g: Graph, names: DataFrame) -> DataFrame:
         return pd.concat(out).drop_duplicates()
 
     if len(cells):
-        met = materialize(_meet(rows.where("cell >= 0"), materialize(_routes(rows, cells, dim, threshold), "routes"), call, "u long, v long, a long, b long", ["id", "h", "part"]), "met")
+        # a join of two large tables parts the rows of a cell, which are looked at together
+        asks = rows if names.limit(BROADCAST + 1).count() <= BROADCAST else rows.sortWithinPartitions("shard", "cell")
+        met = materialize(_meet(rows.where("cell >= 0"), materialize(_routes(_dealt(asks, g.n_outliers), cells, dim, threshold), "routes"), call, "u long, v long, a long, b long", ["id", "h", "part"]), "met")
         sure = met.where("a = -1 and b = -1").select("u", "v")
         # what two clusters surely link need not be looked at again; of the rest the vectors are fetched
         near = small(met.where("a != -1 or b != -1").join(sure.distinct(), ["u", "v"], "left_anti"))
