@@ -82,6 +82,17 @@ def test_int16_cuts_toward_zero(spark):
     assert [r[0] for r in d.select(S.int16(F.col("y"))).collect()] == [int(0.99999 * 32767), int(-0.99999 * 32767), 32767, 0]
 
 
+def test_int16_beyond_full_scale(spark, tmp_path):
+    from voxloom.plans.segmentation import pcm_quantized
+
+    ys = [1.12042, -1.04032, 1.00001, 1.00004, -1.00004, -1.00007, 3.0, 1e6, -1e6, float("nan"), float("inf"), None]
+    got = [r[0] for r in spark.createDataFrame([(y,) for y in ys], "y double").select(S.int16(F.col("y"))).collect()]
+    assert got == [-28824, 31448, 32767, -32768, -32768, 32767, 32765, 0, 0, 0, 0, None]
+    rows = [(0, 560.21), (1, 520.16), (2, 499.99), (3, None)]
+    spark.createDataFrame([(i, 7, v) for i, v in rows], "event_id long, user_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
+    assert sorted(map(tuple, pcm_quantized(spark, str(tmp_path)).collect())) == [(0, -28824, 17926), (1, 31448, 16645), (2, 32766, 15999), (3, None, None)]
+
+
 def test_extension(spark):
     d = spark.createDataFrame([("now", 0), ("never", 99), ("silent", 3), ("fails", 1)], "k string, at int")
 

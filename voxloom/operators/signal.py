@@ -144,8 +144,14 @@ def release_guard(df: DataFrame, min_score: float = 75, min_rate: int = 22050, m
 
 
 def int16(y: Column) -> Column:
-    """A sample between -1 and 1 as 16-bit integer, cut toward zero."""
-    return (y * 32767).cast("int").cast("smallint")
+    """A sample as 16-bit integer, cut toward zero.
+
+    Samples lie between -1 and 1.  One beyond keeps its low 16 bits, as in the original's
+    ``astype(np.int16)``, and ends no job; one beyond 32 bits or not finite gives 0 there.
+    """
+    x = y * 32767
+    low = F.pmod(x.cast("long") + 32768, F.lit(65536)) - 32768
+    return F.when(F.abs(x) < 2**31, low).when(x.isNotNull(), 0).cast("smallint")
 
 
 def sample_at(seconds: Column, rate: int = RATE) -> Column:
