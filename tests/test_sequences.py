@@ -216,3 +216,33 @@ def test_raters_order_all_items(spark, tmp_path):
     for r in rater_shuffle(spark, str(tmp_path)).orderBy("user_id", "place").collect():
         orders.setdefault(r.user_id, []).append(r.audio_index)
     assert all(sorted(o) == list(range(120)) for o in orders.values()) and len({tuple(o) for o in orders.values()}) == 3
+
+
+def test_rater_orders_as_sql(spark, tmp_path):
+    from tests.oracle import same
+    from voxloom.plans.base import SQL
+    from voxloom.plans.work import rater_shuffle
+
+    spark.createDataFrame([(i,) for i in [None, -7, -123456, 2**31 - 1, -(2**31), *range(1200), *range(0, 1200, 3)]], "audio_index int").write.parquet(f"{tmp_path}/samples.parquet")
+    spark.createDataFrame([(i,) for i in [None, 0, 9, 10, 10, -5, 123456789, 2**63 - 1, -(2**63)]], "user_id long").write.parquet(f"{tmp_path}/user_sessions.parquet")
+    d = rater_shuffle(spark, str(tmp_path))
+    same(d, SQL["rater_shuffle"], str(tmp_path))
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "md5" not in plan  # the pairs are neither shuffled nor sorted
+    spark.createDataFrame([], "audio_index int").write.parquet(f"{tmp_path}/none/samples.parquet")
+    spark.range(3).selectExpr("id as user_id").write.parquet(f"{tmp_path}/none/user_sessions.parquet")
+    assert rater_shuffle(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_orders_of_equal_first_digits(monkeypatch):
+    import hashlib
+
+    from voxloom.operators import orders as O
+
+    items = np.array([*range(-20, 3000), 10**18, -(2**63)])
+    heads = [b"42:%d:" % u for u in (10, 77, 99)]
+    want = [sorted(range(len(items)), key=lambda k: (hashlib.md5(h + b"%d" % items[k]).hexdigest(), items[k])) for h in heads]
+    for cells, bits in ((O.CELLS, 0), (500, 0), (500, 60)):  # 4 bits of the hash at last, so all heads are sorted again
+        monkeypatch.setattr(O, "CELLS", cells)
+        got = O.hashed_orders(np.array([list(h) for h in heads], "u1"), items, O.by_length(items), bits)
+        assert got.tolist() == want

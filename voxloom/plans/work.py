@@ -6,14 +6,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from voxloom.operators import incremental as I
+from voxloom.operators.orders import shuffled_orders
 from voxloom.operators.sequence import keep_first, keep_last, shuffled_rank, upsert
 from voxloom.plans.base import query, table
 
 
-#: Blocks that the items of a shuffle are listed in.
-ITEM_BLOCKS = 64
-
-
 def trimmed(spark, d):
     return table(spark, d, "segments", "segment_id", "segment_path", "title_index", "processing_timestamp", "completion_status")
 
@@ -117,12 +114,8 @@ def first_ten_per_book(spark, d):
 @query("SELECT user_id, audio_index, (row_number() OVER (PARTITION BY user_id ORDER BY md5('42:' || user_id || ':' || audio_index), user_id, audio_index))::INT AS place FROM (SELECT DISTINCT user_id FROM user_sessions), (SELECT DISTINCT audio_index FROM samples WHERE audio_index IS NOT NULL)")
 def rater_shuffle(spark, d):
     """Each rater's own order of all items, as the session draws it: raters times items rows
-    are the result itself.  The items are listed in blocks of bounded size, in one row each."""
-    items = table(spark, d, "samples").where("audio_index is not null").select("audio_index").distinct()
-    blocks = items.groupBy(F.pmod(F.hash("audio_index"), F.lit(ITEM_BLOCKS)).alias("block")).agg(F.collect_list("audio_index").alias("items"))
-    raters = table(spark, d, "user_sessions").select("user_id").distinct().withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(ITEM_BLOCKS - 1))))
-    pairs = raters.join(blocks, "block").select("user_id", F.explode("items").alias("audio_index"))
-    return shuffled_rank(pairs, "user_id", ["user_id", "audio_index"], "place")
+    are the result itself.  Only the raters are shuffled, each task orders the items of some."""
+    return shuffled_orders(table(spark, d, "user_sessions", "user_id"), table(spark, d, "samples", "audio_index"), "place")
 
 
 @query("SELECT sample_id, (row_number() OVER (ORDER BY md5('42:' || sample_id), sample_id))::INT AS place FROM (SELECT DISTINCT sample_id FROM samples)")
